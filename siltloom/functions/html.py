@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltloom.common import map_rows
+from siltloom.common import durable, map_rows
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset(["script", "style"])
@@ -228,7 +228,8 @@ def reference_rows(pages: DataFrame, path: str = "file_path", html: str = "html"
 
 def numbered(df: DataFrame, keys: list[str], to: str = "id") -> DataFrame:
     """Rows numbered from 1 in the order of the keys, without one task for all: a range sort, then offsets per partition."""
-    parts = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__p", F.spark_partition_id())
+    # written, so that both uses below see the same partitions
+    parts = durable(df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()))
     sizes = parts.groupBy("__p").count()
     offsets = sizes.withColumn("__before", F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__before")
     own = Window.partitionBy("__p").orderBy(*keys)

@@ -80,7 +80,7 @@ def fenced(text: Column, language: str = "xml") -> Column:
     """The first fence of the language, else the first fence of any, else the text."""
     own = F.regexp_extract(text, rf"(?s)```{language}\s*(.*?)```", 1)
     other = F.regexp_extract(text, r"(?s)```\w*\s*(.*?)```", 1)
-    return F.trim(F.when(own != "", own).when(other != "", other).otherwise(text))
+    return F.regexp_replace(F.when(own != "", own).when(other != "", other).otherwise(text), r"^\s+|\s+$", "")
 
 
 def unescape_newlines(text: Column) -> Column:

@@ -5,6 +5,7 @@ Recursion runs as a loop over frontiers: each round joins only the new nodes wit
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +15,6 @@ from siltloom.functions.code import resolve_path
 
 def import_edges(imports: DataFrame, files: DataFrame) -> DataFrame:
     """(src, dst): relative imports resolved beside their file, where such a file exists."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def target(path: pd.Series, module: pd.Series) -> pd.Series:
         return pd.Series([resolve_path(p, m) if p and m else None for p, m in zip(path, module)])

@@ -215,9 +215,9 @@ def merged(pages: DataFrame, pairs: int, key: str = "unit_id", text: str = "cont
     """(a, b, merged): pages paired by the order of a seeded hash, each used once, up to ``pairs`` pairs."""
     from siltloom.functions.html import numbered
 
-    order = numbered(pages.where(F.col(text).isNotNull()).withColumn("__h", F.xxhash64(F.col(key), F.lit(seed))), ["__h", key], "__n").where(F.col("__n") <= 2 * pairs)
-    left = order.where("__n % 2 = 1").select(F.col(key).alias("a"), F.col(text).alias("ta"), F.col("__n").alias("n"))
-    right = order.where("__n % 2 = 0").select(F.col(key).alias("b"), F.col(text).alias("tb"), (F.col("__n") - 1).alias("n"))
+    order = numbered(pages.where(F.col(text).isNotNull()).withColumn("__h", F.xxhash64(F.col(key), F.lit(seed))), ["__h", key], "__order").where(F.col("__order") <= 2 * pairs)
+    left = order.where("__order % 2 = 1").select(F.col(key).alias("a"), F.col(text).alias("ta"), F.col("__order").alias("n"))
+    right = order.where("__order % 2 = 0").select(F.col(key).alias("b"), F.col(text).alias("tb"), (F.col("__order") - 1).alias("n"))
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for a, ta, b, tb in rows:

@@ -109,7 +109,7 @@ def uses(units: DataFrame, symbols: DataFrame, group: str = "file", boundary: bo
     name = F.coalesce(F.nullif(F.col(alias), F.lit("")), F.col("name")) if alias else F.col("name")
     joined = units.select("unit_id", group, "content").join(symbols.withColumn("__n", name), group).where("__n <> ''")
     if boundary:
-        hit = F.col("content").rlike(F.concat(F.lit(r"(?<![A-Za-z0-9_])\Q"), F.col("__n"), F.lit(r"\E(?![A-Za-z0-9_])")))
+        hit = F.rlike(F.col("content"), F.concat(F.lit(r"(?<![A-Za-z0-9_])\Q"), F.col("__n"), F.lit(r"\E(?![A-Za-z0-9_])")))
     else:
         hit = F.contains(F.col("content"), F.col("__n"))
     return joined.where(hit).drop("content", "__n")
