@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from siltloom.common import durable
 
-K, DROP, ORDERS, BLOCK = 5, 2, 3, 64
+K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 5, 2, 3, 64, 500_000
 
 
 def triple_sets(texts: DataFrame) -> DataFrame:
@@ -32,39 +32,42 @@ def triple_sets(texts: DataFrame) -> DataFrame:
     return hashed.withColumn("triples", F.array_sort(F.array_distinct(triples))).drop("__w", "text")
 
 
-def _variants(order: int) -> Column:
-    """The variants of one order's fingerprint as an array of hashes."""
-    sketch = F.slice(F.array_sort(F.transform("triples", lambda x: F.xxhash64(x, F.lit(order)))), 1, K)
-    return sketch.alias(f"s{order}")
+def _sketch(order: int) -> Column:
+    """One order's fingerprint: the K smallest of the set's hashes under it."""
+    return F.slice(F.array_sort(F.transform("triples", lambda x: F.xxhash64(x, F.lit(order)))), 1, K).alias(f"s{order}")
 
 
 def _combos(order: int) -> Column:
-    keep = K - DROP
+    """The variants of one order's fingerprint: the hashes of its parts that leave out DROP elements."""
     name = f"s{order}"
-    made = [F.when(F.size(name) > max(c), F.xxhash64(F.lit(order), *[F.get(name, F.lit(i)) for i in c])) for c in combinations(range(K), keep)]
+    made = [F.when(F.size(name) > max(c), F.xxhash64(F.lit(order), *[F.get(name, F.lit(i)) for i in c])) for c in combinations(range(K), K - DROP)]
     # sets of one or two triples: equal sets are one class already, and no other likeness reaches the threshold
     return F.filter(F.array(*made), lambda x: x.isNotNull())
 
 
-def classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, sets): source_table, row_id, class_id of every text with a triple; class_id, source_table, triples of every class.
-
-    The class is the hash of table and set; its set is that of any member.
-    """
+def fingerprints(texts: DataFrame) -> DataFrame:
+    """(source_table, row_id, class_id, s0, s1, ...) of every text with a triple; the class is the hash of table and set."""
     sets = triple_sets(texts).withColumn("class_id", F.xxhash64("source_table", "triples", F.hash("triples")))
-    return sets.select("source_table", "row_id", "class_id"), sets.groupBy("class_id").agg(F.first("triples").alias("triples"), F.first("source_table").alias("source_table"))
+    return sets.select("source_table", "row_id", "class_id", *[_sketch(t) for t in range(ORDERS)])
+
 
+def representatives(prints: DataFrame) -> DataFrame:
+    """(class_id, source_table, row_id, n): each class with its smallest row and its number of rows."""
+    return prints.groupBy("class_id").agg(F.min("row_id").alias("row_id"), F.first("source_table").alias("source_table"), F.count("*").alias("n"))
 
-def candidates(sets: DataFrame) -> DataFrame:
+
+def candidates(prints: DataFrame) -> DataFrame:
     """(a, b): pairs of class ids, a < b, that share a variant; each once.
 
     A variant that two classes share gives its pair from the aggregate itself.  Of more classes the lists are made,
     and where a variant is shared by more than BLOCK classes it is cut into blocks of about that many, each pair of
-    blocks in a group of its own: no group is ever gathered whole.
+    blocks in a group of its own: no group is ever gathered whole.  Rows of one class emit the same variants, so they
+    are dropped to one before.
     """
-    sketches = sets.select("class_id", *[_variants(t) for t in range(ORDERS)])
-    variants = durable(sketches.select("class_id", F.explode(F.concat(*[_combos(t) for t in range(ORDERS)])).alias("variant")))
-    counted = durable(variants.groupBy("variant").agg(F.count("*").alias("n"), F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("n > 1 and lo < hi"))
+    one = prints.dropDuplicates(["class_id"])
+    variants = one.select("class_id", F.explode(F.concat(*[_combos(t) for t in range(ORDERS)])).alias("variant"))
+    # nearly all variants occur once: aggregating before the shuffle would only widen the rows
+    counted = durable(variants.repartition("variant").groupBy("variant").agg(F.count("*").alias("n"), F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("n > 1 and lo < hi"))
     two = counted.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     many = variants.join(counted.where("n > 2").select("variant", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "variant")
     own = many.withColumn("own", F.pmod(F.xxhash64("class_id", F.lit(99)), F.col("blocks")).cast("int"))
@@ -74,11 +77,18 @@ def candidates(sets: DataFrame) -> DataFrame:
     return two.unionByName(pairs).distinct()
 
 
-def similar_classes(sets: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """(a, b, likeness): pairs of classes of one table whose sets' Jaccard likeness reaches the threshold."""
-    found = durable(candidates(sets))
+def similar_classes(texts: DataFrame, prints: DataFrame, firsts: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """(a, b, likeness): pairs of classes of one table whose sets' Jaccard likeness reaches the threshold.
+
+    Only the sets of candidates' representatives are made again, from the texts.  Their keys are broadcast where they
+    are counted to be few (BROADCAST_ROWS), and joined by shuffle otherwise.
+    """
+    found = durable(candidates(prints))
     ends = found.select(F.col("a").alias("class_id")).unionByName(found.select(F.col("b").alias("class_id"))).distinct()
-    needed = durable(sets.join(ends, "class_id", "left_semi"))
+    keys = durable(firsts.join(ends, "class_id", "left_semi").select("class_id", "source_table", "row_id"))
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    needed = durable(triple_sets(texts.join(keys, ["source_table", "row_id"])).dropDuplicates(["class_id"]))
     left = needed.select(F.col("class_id").alias("a"), F.col("triples").alias("ta"), F.col("source_table").alias("sa"))
     right = needed.select(F.col("class_id").alias("b"), F.col("triples").alias("tb"), F.col("source_table").alias("sb"))
     both = found.join(left, "a").join(right, "b").where("sa = sb")
@@ -89,12 +99,14 @@ def similar_classes(sets: DataFrame, threshold: float = 0.7) -> DataFrame:
 def similar_pairs(texts: DataFrame, threshold: float = 0.7) -> DataFrame:
     """(source_table, row_a, row_b), row_a < row_b: all pairs of rows of one table above the threshold.
 
-    ``texts`` has source_table, row_id and text.  Rows with equal sets are pairs too; rows without a triple are in none.
+    ``texts`` has source_table, row_id (unique within its table) and text.  Rows with equal sets are pairs too; rows
+    without a triple are in none.
     """
-    members, sets = classes(texts)
-    members, sets = durable(members), durable(sets)
-    links = similar_classes(sets, threshold).select("a", "b")
-    repeated = members.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
+    prints = durable(fingerprints(texts))
+    firsts = durable(representatives(prints))
+    members = prints.select("source_table", "row_id", "class_id")
+    links = similar_classes(texts, prints, firsts, threshold).select("a", "b")
+    repeated = firsts.where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
     m1 = members.select(F.col("class_id").alias("a"), F.col("row_id").alias("r1"), "source_table")
     m2 = members.select(F.col("class_id").alias("b"), F.col("row_id").alias("r2"))
     rows = links.unionByName(repeated).join(m1, "a").join(m2, "b").where("r1 < r2 or (a <> b and r1 <> r2)")
@@ -107,9 +119,9 @@ def groups(texts: DataFrame, threshold: float = 0.7) -> DataFrame:
     group_id is the smallest class id of the group, links the number of other classes its class is like.
     Labels travel along the links until none changes, each round a join and an aggregate on the class, cut by checkpoint.
     """
-    members, sets = classes(texts)
-    members, sets = durable(members), durable(sets)
-    found = durable(similar_classes(sets, threshold).select("a", "b"))
+    prints = durable(fingerprints(texts))
+    members = prints.select("source_table", "row_id", "class_id")
+    found = durable(similar_classes(texts, prints, durable(representatives(prints)), threshold).select("a", "b"))
     edges = durable(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = durable(edges.groupBy("a").agg(F.count("*").alias("links"), F.min("b").alias("m")).select(F.col("a").alias("class_id"), "links", F.least("a", "m").alias("label")))
     while True:
