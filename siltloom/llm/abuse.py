@@ -186,6 +186,12 @@ def _unmask(m: re.Match) -> str:
     return _masks().get((m[1], m[2]), m[0])
 
 
+def _close(m: re.Match) -> str:
+    """Single letters as one word; a first letter that may be a word of its own gives both readings."""
+    whole = re.sub(r"[ *\-_·]", "", m[0])
+    return f"{whole} {whole[1:]}" if whole[0] in "aAiIoOyY" and len(whole) > 3 else whole
+
+
 def normal(text: str) -> str:
     """The text without hidden characters, wide letters and gaps between single letters."""
     if _HIDDEN.search(text):
@@ -193,7 +199,7 @@ def normal(text: str) -> str:
     if _WIDE.search(text):
         text = "".join(unicodedata.normalize("NFKC", c) if "０" <= c <= "ｚ" else c for c in text)
     if _SPACED.search(text):
-        text = _SPACED.sub(lambda m: re.sub(r"[ *\-_·]", "", m[0]), text)
+        text = _SPACED.sub(_close, text)
     return text
 
 

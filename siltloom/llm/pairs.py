@@ -29,7 +29,7 @@ _DENY = re.compile(
 _SELF = re.compile(r"\bI\b|\bI'm\b|\bmy\b|\bme\b|language model|\bAI\b|我|本助手|本模型|语言模型|人工智能|私|わたし|言語モデル|\bich\b|\bmir\b|Sprachmodell|\bje\b|\bj'|modèle|\b(?:soy|mi|yo|me|puedo)\b|modelo|\bя\b|мне|моей|модел|저는|제가|모델", re.I)
 _SORRY = re.compile(r"sorry|apolog|unfortunately|regret|抱歉|对不起|很遗憾|遗憾|不好意思|申し訳|すみません|ごめん|残念|entschuldig|tut mir leid|leider|désolé|malheureusement|lo siento|lamento|disculp|извин|к сожалению|죄송|유감", re.I)
 _TASK = re.compile(r"request|help|assist|write|code|produce|provide|create|generate|answer|documentation|consult|请求|帮助|代码|生成|提供|写出|实现|完成|回答|文档|作成|コード|手伝|要望|リクエスト|提供|Code|Anfrage|helfen|schreiben|demande|aider|écrire|solicitud|ayudar|escribir|запрос|помочь|написать|код|요청|도와|코드|작성", re.I)
-_QUOTE = re.compile(r"[“\"「『'‘].*?[”\"」』'’]")
+_QUOTE = re.compile(r"[“「『‘].*?[”」』’]|\"[^\"\n]*\"|(?<!\w)'[^'\n]*'(?!\w)")
 _OMITTED = re.compile(r"(?://|#|/\*|\*)[^\n]{0,20}(?:\.\.\.|…)[^\n]*|(?://|#|/\*)[^\n]*(?:rest (?:of|is|omitted)|omitted|remaining code|remainder|same as (?:above|before)|省略|同上|以下略|其余|剩余代码|后续代码|余下|以下同様|残りは|Rest (?:der|des|ausgelassen)|weggelassen|le reste|el resto|остальн|나머지|생략)[^\n]*|^\s*(?:\.\.\.|…+)\s*;?\s*$", re.I | re.M)
 _VOID = re.compile(
     r"[\s\W_]*(?:(?:n/?a|null|none|nil|undefined|todo|tbd|fixme|empty|placeholder|pending|to be (?:added|done|filled(?: in)?|completed|written)|coming soon|not available|无|暂无|暂缺|空|无内容|没有|待补充|待完善|待填写|待定|待添加|待实现|略|未填写|なし|未定|未記入|準備中|該当なし|keine?|leer|folgt|aucun|vide|à compléter|ninguno|vacío|pendiente|нет|пусто|없음|추후|미정|xxx+|string|text|code|answer|description|solution|lorem ipsum.*)[\s\W_]*)?",
@@ -128,7 +128,7 @@ def features(field: str, parts: list[tuple[str, str]], grams: list[Counter], ask
             if not rest.strip():
                 row.append("ack")
             w = _within(rest, grams) if rest.strip() else 1.0
-            row.append("echo=" + ("all" if w >= 0.96 else "most" if w >= 0.85 else "half" if w >= 0.5 else "no"))
+            row.append("echo=" + ("all" if w >= 0.96 else "most" if w >= 0.85 else "half" if w >= 0.7 else "no"))
             lang = guess(text)
             row.append("lang=" + ("unknown" if not lang or not asked else "same" if lang == asked else "other"))
             ended = bool(_END.search(text)) and not text.rstrip().endswith(("...", "…"))
