@@ -60,13 +60,15 @@ _SENT = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+|\n|$)")
 _WORDS = re.compile(r"[A-Za-zÀ-ɏЀ-ӿ@$0-9]+(?:'[a-z]+)?")
 _HIDDEN = re.compile("[­​-‏⁠-⁤﻿]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_]\*){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_][-_·]){3,}[^\W\d_](?![^\W_])")
-_DRAWN = re.compile(r"([a-z])\1\1|aa|ii|uu", re.I)
+_SPACED_HINT = re.compile(r"[ *_·-][^\W\d_][ *_·-][^\W\d_](?![^\W_])")
+_DRAWN = re.compile(r"aa|ii|(?<!vac)uu|([b-hj-tv-z])\1\1")
 _MASKED = re.compile(r"(?<![\w*])([^\W\d_])(\*{2,})([^\W\d_])(?![\w*])")
 _CJKGAP = re.compile(r"(?<=[ぁ-ヿ㐀-鿿가-힣])[*\-·_ 　.~]{1,2}(?=[ぁ-ヿ㐀-鿿가-힣])")
 _CJKMASK = re.compile(r"([ぁ-ヿ㐀-鿿])\*{1,3}([ぁ-ヿ㐀-鿿])")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "8": "b", "!": "i"})
 _RUN = re.compile(r"(.)\1{1,}")
-_WIDE = re.compile("[！-～]")
+_WIDE = re.compile("[０-９Ａ-Ｚａ-ｚ＠＄]+")
+_CAMEL = re.compile("[a-z][A-Z]")
 #: Words one edit from a term that are no disguise of it.
 _COMMON = frozenset("regard record reward retry animal women woman parasitic fester fasten kill kills filter filters fifth nudge closer lower loose loses lost user users tool tools food foot salad master inutile inutil animales trust tresh crash brash break breaks beats heart hunt hurts sexes text next dude dick's".split())
 
@@ -157,7 +159,7 @@ def _class(token: str) -> str | None:
         return _seen[token]
     except KeyError:
         pass
-    if len(token) > 24 or token.isdigit() or any(a.islower() and b.isupper() for a, b in zip(token, token[1:])):
+    if len(token) > 24 or token.isdigit() or _CAMEL.search(token):
         return None
     found = word_class(token)
     if len(_seen) < 400_000:
@@ -196,9 +198,9 @@ def normal(text: str) -> str:
     """The text without hidden characters, wide letters and gaps between single letters."""
     if _HIDDEN.search(text):
         text = _HIDDEN.sub("", text)
-    if _WIDE.search(text):
-        text = "".join(unicodedata.normalize("NFKC", c) if "０" <= c <= "ｚ" else c for c in text)
-    if _SPACED.search(text):
+    if not text.isascii():
+        text = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)
+    if _SPACED_HINT.search(text):
         text = _SPACED.sub(_close, text)
     return text
 

@@ -100,4 +100,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_redacted, p4_found, p4_shares, p5_found, p5_rates, p6_found, p7_found, p7_groups, p8_ids, p9_containers, p9_waste, p10_found, p10_scores, p10_rates)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p7_found": """WITH x AS (SELECT 'ui_info' AS source_table, unit_id AS row_id, content AS text FROM ui_info UNION ALL SELECT 'function_info', unit_id, content FROM function_info UNION ALL SELECT 'fim_records', record_id, original_code FROM fim_records),
+w AS (SELECT source_table, row_id, regexp_extract_all(text, '[A-Za-z0-9_]+') AS w FROM x WHERE text IS NOT NULL),
+t AS (SELECT DISTINCT source_table, row_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM w)),
+n AS (SELECT source_table, row_id, count(*) AS n FROM t GROUP BY ALL),
+c AS (SELECT source_table, a.row_id AS row_a, b.row_id AS row_b, count(*) AS c FROM t a JOIN t b USING (source_table, g) WHERE a.row_id < b.row_id GROUP BY ALL)
+SELECT c.source_table, row_a, row_b FROM c JOIN n a ON a.source_table = c.source_table AND a.row_id = row_a JOIN n b ON b.source_table = c.source_table AND b.row_id = row_b WHERE c / (a.n + b.n - c)::DOUBLE >= 0.7""",
+}
