@@ -68,10 +68,10 @@ def shape(t: str) -> str:
         return "number"
     if re.fullmatch(r"#[0-9A-Fa-f]{3,8}", t):
         return "colour"
-    if "/" in t and re.fullmatch(r"[\w.@$-]*(?:/[\w.@$-]+)+/?", t) and not (re.search(r"\d", t) and re.search(r"[A-Z]", t) and n >= 20):
+    if "/" in t and re.fullmatch(r"[\w.@$-]*(?:/[\w.@$-]+)+/?", t) and not (n >= 20 and (re.search(r"\d", t) and re.search(r"[A-Z]", t) or re.search(r"[a-z][A-Z]{2,}|[A-Z]{3,}[a-z]", t))):
         return "path"
     if _CAMEL.fullmatch(t):
-        return "name"
+        return "random" if n >= 10 and t.isalpha() and not t.islower() and not t.isupper() and re.search(r"[bcdfghjklmnpqrstvwxz]{5}", t.lower()) else "name"
     if _WORDPW.fullmatch(t) and n >= 7 and re.search(r"[A-Z@#&%!?*$+=]", t):
         return "wordpw"
     up, low, dig = any(c.isupper() for c in t), any(c.islower() for c in t), any(c.isdigit() for c in t)
@@ -95,7 +95,7 @@ def _name_class(t: str) -> str:
         return ""
     if words[0] == "input":
         return "conn"
-    if any(w in PUBLIC_WORDS for w in words):
+    if any(w in PUBLIC_WORDS for w in words) and not (words[-1] in SECRET_WORDS or words[-1] == "key" and len(words) > 1 and words[-2] in KEY_BEFORE):
         return "public"
     if any(w in SECRET_WORDS for w in words) or t.lower() in SECRET_WORDS:
         return "secret"
@@ -165,7 +165,7 @@ def features(toks: list[tuple[int, int, str, str]]) -> list[list[str]]:
         if assigned:
             row.append(f"s={s}|after={assigned}")
         rows.append(row)
-        if s in ("name", "other", "placeholder", "piece", "sign", "path") and place != "quote":
+        if s in ("name", "other", "placeholder", "piece", "sign", "path") and place not in ("quote", "url", "urlpass"):
             c = _name_class(t)
             if c:
                 govern = c
