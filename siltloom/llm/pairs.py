@@ -28,7 +28,8 @@ _DENY = re.compile(
 )
 _SELF = re.compile(r"\bI\b|\bI'm\b|\bmy\b|\bme\b|language model|\bAI\b|我|本助手|本模型|语言模型|人工智能|私|わたし|言語モデル|\bich\b|\bmir\b|Sprachmodell|\bje\b|\bj'|modèle|\b(?:soy|mi|yo|me|puedo)\b|modelo|\bя\b|мне|моей|модел|저는|제가|모델", re.I)
 _SORRY = re.compile(r"sorry|apolog|unfortunately|regret|抱歉|对不起|很遗憾|遗憾|不好意思|申し訳|すみません|ごめん|残念|entschuldig|tut mir leid|leider|désolé|malheureusement|lo siento|lamento|disculp|извин|к сожалению|죄송|유감", re.I)
-_TASK = re.compile(r"request|help|assist|write|code|produce|provide|create|generate|answer|documentation|consult|请求|帮助|代码|生成|提供|写出|实现|完成|回答|文档|作成|コード|手伝|要望|リクエスト|提供|Code|Anfrage|helfen|schreiben|demande|aider|écrire|solicitud|ayudar|escribir|запрос|помочь|написать|код|요청|도와|코드|작성", re.I)
+_TASK = re.compile(r"request|help|assist|write|code|produce|provide|create|generate|answer|documentation|consult|请求|帮助|代码|生成|提供|写出|实现|完成|回答|文档|作成|コード|手伝|要望|リクエスト|提供|対応|内容|ご質問|依頼|Code|Anfrage|helfen|schreiben|demande|aider|écrire|solicitud|ayudar|escribir|запрос|помочь|написать|код|요청|도와|코드|작성", re.I)
+_FIRM = re.compile(r"かねます|かねる|お答えでき|お手伝いでき|\bI (?:can'?t|can’t|cannot|must decline|am unable|won't|will not|do not have)|\bI'm (?:unable|not able|sorry)|not possible for me|beyond what|超出了?我|我(?:无法|不能|没有办法|没办法)|ich kann|je ne (?:peux|suis)|no puedo|я не могу|수 없습니다", re.I)
 _QUOTE = re.compile(r"[“「『‘].*?[”」』’]|\"[^\"\n]*\"|(?<!\w)'[^'\n]*'(?!\w)")
 _OMITTED = re.compile(r"(?://|#|/\*|\*)[^\n]{0,20}(?:\.\.\.|…)[^\n]*|(?://|#|/\*)[^\n]*(?:rest (?:of|is|omitted)|omitted|remaining code|remainder|same as (?:above|before)|省略|同上|以下略|其余|剩余代码|后续代码|余下|以下同様|残りは|Rest (?:der|des|ausgelassen)|weggelassen|le reste|el resto|остальн|나머지|생략)[^\n]*|^\s*(?:\.\.\.|…+)\s*;?\s*$", re.I | re.M)
 _VOID = re.compile(
@@ -122,6 +123,7 @@ def features(field: str, parts: list[tuple[str, str]], grams: list[Counter], ask
             bare = _QUOTE.sub(" ", text)
             deny, own, sorry, task = (bool(p.search(bare)) for p in (_DENY, _SELF, _SORRY, _TASK))
             row.append(f"deny={deny}|self={own}|sorry={sorry}")
+            row.append(f"firm={bool(_FIRM.search(bare))}|deny={deny}")
             row.append(f"deny={deny}|task={task}")
             row.append(f"deny={deny}|self={own}|task={task}")
             rest = _ACK.sub("", text)
@@ -184,8 +186,8 @@ def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[str
     things = {"en": ["river map", "garden plan", "ticket queue", "harbor log"], "zh": ["河流地图", "花园方案", "票务队列", "港口日志"], "ja": ["川の地図", "庭の計画", "切符の列", "港の記録"], "de": ["die Flusskarte", "den Gartenplan", "die Hafenliste"], "fr": ["la carte", "le plan du jardin", "le journal du port"], "es": ["el mapa del río", "el plan del jardín", "la lista del puerto"], "ru": ["карту реки", "план сада", "журнал порта"], "ko": ["강 지도", "정원 계획", "항구 기록"]}
     questions = {"en": ["Write a helper that can load the {}", "How can I show the {} on a screen?", "Build something called {n} to print the {}"], "zh": ["请写一个能够读取{}的函数", "怎样在界面上展示{}？", "做一个名为 {n} 的方法来打印{}"], "ja": ["{}を読み込む処理を書いてください", "{}を表示する {n} を作ってください"], "de": ["Schreibe eine Funktion, die {} lädt"], "fr": ["Écris une fonction qui charge {}"], "es": ["Escribe una función que cargue {}"], "ru": ["Напишите функцию, которая загружает {}"], "ko": ["{} 불러오는 함수를 작성해 주세요"]}
     answers = {
-        "en": ["The method reads the {} and keeps it in a cache.", "It walks over the {} and skips what is empty.", "When the {} is missing a sorry message is shown.", "{n} returns early if the {} cannot be read."],
-        "zh": ["该方法会读取{}并放入缓存。", "内部逐项遍历{}，遇到空值会跳过。", "读取失败时提示“抱歉，{}无法使用”。", "{n} 在{}不存在时直接返回。"],
+        "en": ["The method reads the {} and keeps it in a cache.", "It walks over the {} and skips what is empty.", "When the {} is missing a sorry message is shown.", "{n} returns early if the {} cannot be read.", "If the {} cannot be read the function prints a sorry text and stops.", "It is not possible to load the {} twice, so {n} keeps a copy."],
+        "zh": ["该方法会读取{}并放入缓存。", "内部逐项遍历{}，遇到空值会跳过。", "读取失败时提示“抱歉，{}无法使用”。", "{n} 在{}不存在时直接返回。", "如果无法读取{}，会提示抱歉并结束。", "{}不能为空，否则 {n} 会抛出错误。"],
         "ja": ["この処理は{}を読み取り、保存します。", "{n} は{}が空の場合に何もしません。", "失敗した場合は「申し訳ありません」と表示されます。"],
         "de": ["Die Methode liest {} und speichert das Ergebnis.", "Wenn etwas fehlt, wird eine Meldung angezeigt."],
         "fr": ["La méthode lit {} et garde le résultat dans un cache.", "Si rien n'est trouvé, elle affiche un message."],
@@ -196,7 +198,7 @@ def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[str
     refusals = {
         "en": ["I'm sorry, but I cannot do that.", "As a language model I am unable to write {n}.", "I must decline to produce code for the {}.", "Unfortunately this is beyond what I may provide.", "Without more details it is not possible for me to create {n}; please read the documentation.", "I can't help with this request.", "I do not have access to the {}, so I cannot answer."],
         "zh": ["抱歉，我无法满足这个请求。", "作为人工智能，我不能编写这段代码。", "对不起，缺少信息，我没有办法实现{n}。", "这超出了我的能力，很遗憾无法提供帮助。", "我不能回答这个问题，建议查阅文档。"],
-        "ja": ["申し訳ありませんが、お手伝いできません。", "私は言語モデルのため、{n} を書くことができません。"],
+        "ja": ["申し訳ありませんが、お手伝いできません。", "私は言語モデルのため、{n} を書くことができません。", "ご依頼の内容には対応いたしかねます。", "その件についてはお答えできません。"],
         "de": ["Es tut mir leid, aber ich kann dabei nicht helfen.", "Als Sprachmodell kann ich diesen Code leider nicht schreiben."],
         "fr": ["Désolé, je ne peux pas vous aider.", "Je ne suis pas en mesure d'écrire ce code."],
         "es": ["Lo siento, no puedo ayudar con esta solicitud.", "Como modelo de lenguaje no puedo escribir este código."],
