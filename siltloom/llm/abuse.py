@@ -33,7 +33,7 @@ LEXICON_PHRASES = {
 #: The terms of unspaced scripts and Korean, by class; "phrase" is abuse by itself.
 LEXICON_CJK = {
     "insult": "白痴 脑残 蠢货 蠢猪 傻叉 傻逼 傻B 智障 人渣 废物 狗东西 垃圾 贱人 混蛋 王八蛋 畜生 杂种 败类 弱智 二货 蠢驴 死肥猪 狗屎 婊子 脑瘫 沙雕 馬鹿野郎 クズ ゴミ人間 能無し 役立たず ボケ カス 間抜け 馬鹿 バカ アホ 무능력자 바보 멍청이 병신 쓰레기 등신 새끼 얼간이",
-    "degrade": "寄生虫 蛆虫 祸害 渣滓 害虫 劣等 低等 下等 垃圾人种 ゴキブリ 害獣 기생충 벌레 해충",
+    "degrade": "寄生虫 蛆虫 祸害 渣滓 害虫 劣等 低等 低等货 下等 下等人 垃圾人种 ゴキブリ 害獣 기생충 벌레 해충",
     "violent": "弄死 砍死 打死 打断腿 打断你 杀了你 捅死 整死 掐死 弄残 剁了 殺してやる 殺すぞ ぶっ殺 刺してやる 殴ってやる 죽여 죽일",
     "sexual": "裸聊 无码 色情 成人激情 激情视频 黄片 约炮 一夜情 援交 香艳 春药 露骨 エロ動画 エロ画像 裸の写真 無修正 ヌード写真 援助交際 야동 음란 나체 누드",
     "phrase": "浪费粮食 没人要你 教过你怎么做人 从楼上跳下去 去死吧 找到你家 弄死你 砍死你 打断腿你 杀了你全家 没有一个好东西 二度と書き込むな お前の家を見つけて 死んでくれ 手伸进她的裙子 脱光衣服躺 寂寞少妇 一群没脑子的东西 赶紧去死 나가 죽어 죽어버려",
@@ -167,15 +167,12 @@ def _class(token: str) -> str | None:
     return found
 
 
-def _mask_class(first: str, stars: str, last: str) -> str | None:
+def _mask_classes(first: str, stars: str, last: str) -> set[str]:
+    """The classes of all terms with these first and last letters and that length."""
     size = len(stars) + 2
     words, phrases, _ = _lexicon()
     f, e = first.lower(), last.lower()
-    for pool in (words, phrases):
-        for w, cls in pool.items():
-            if len(w) == size and w[0] == f and w[-1] == e:
-                return cls
-    return None
+    return {cls for pool in (words, phrases) for w, cls in pool.items() if len(w) == size and w[0] == f and w[-1] == e}
 
 
 @lru_cache(1)
@@ -221,13 +218,10 @@ def _hits(text: str) -> list[tuple[int, str]]:
         out += [(end, cls) for end, (_, cls) in _cjk().iter(low.translate(_LEET)) if end < len(text) and end not in have]
     if _DRAWN.search(low):
         thin = _RUN.sub(r"\1", low)
-        if not any(True for _ in _cjk().iter(low)):
-            out += [(min(end, len(text) - 1), cls) for end, (size, cls) in _cjk().iter(thin) if size > 8 and thin.isascii()]
+        out += [(min(end, len(text) - 1), cls) for end, (size, cls) in _cjk().iter(thin) if size >= 8 and thin[end + 1 - size : end + 1].isascii()]
     if "*" in text:
         for m in _MASKED.finditer(text):
-            cls = _mask_class(m[1], m[2], m[3])
-            if cls:
-                out.append((m.start(), cls))
+            out += [(m.start(), cls) for cls in sorted(_mask_classes(m[1], m[2], m[3]))]
     return out
 
 
@@ -235,7 +229,8 @@ def sentence_score(sentence: str, classes: list[str]) -> float:
     """The score of one sentence from the classes of its hits: 0 to 1."""
     found = set(classes)
     silent = bool(_SILENT.search(sentence)) or bool(re.search(r"[“\"「『‘].{0,20}[”\"」』’]", sentence)) and "phrase" not in found
-    if "phrase" in found and not (silent and len(found) == 1 and not _TARGET.search(sentence)):
+    listed = bool(re.search(r"words? |词|blocks|liste|término|слов", sentence, re.I))
+    if "phrase" in found and not (listed and len(found) == 1):
         return 0.95
     score = 0.0
     strong = bool(_STRONG.search(sentence))
@@ -254,7 +249,6 @@ def sentence_score(sentence: str, classes: list[str]) -> float:
     if re.search(r"看到.{1,8}人就恶心|他们不配", sentence):
         score = max(score, 0.85)
     if silent:
-        listed = re.search(r"words? |词|blocks|liste|término|слов", sentence, re.I)
         if listed or not (strong and "insult" in found or _PLAIN.search(sentence)):
             score *= 0.3
     return score
