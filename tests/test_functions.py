@@ -158,3 +158,26 @@ def test_images(spark):
     assert images.hashes(df).count() == 1
     pairs = df.where("id = 1").select("id", F.col("image").alias("a"), F.col("image").alias("b"))
     assert images.reports(pairs).first().mse == 0
+
+
+def test_lookup_and_inline():
+    assert code.lookup(PAGE, "Box").startswith("export class Box") and code.lookup(PAGE, "load").endswith("}")
+    assert code.lookup(PAGE, "nothing") is None
+    page = "import { helper as h, other } from './lib';\nh();"
+    got = code.inline_symbol(page, "export function helper(a: number) { return helper(a); }", "helper", "h")
+    assert "import { other } from './lib';" in got and "function h(a: number) { return h(a); }" in got
+    assert code.inline_symbol(page, "", "helper") == page
+    assert code.latin_initials("中x文", {"中": "z", "文": "w"}) == "zxw"
+
+
+def test_table_functions(spark):
+    from siltloom.functions import udtf
+
+    udtf.register(spark)
+    spark.createDataFrame([(1, PAGE), (2, None)], "id long, content string").createOrReplaceTempView("pages_of_test")
+    names = [r.name for r in spark.sql("SELECT p.id, f.name FROM pages_of_test p, LATERAL source_imports(p.content) f ORDER BY f.pos").collect()]
+    assert names == ["router", "hilog", "A", "C"]
+    assert spark.sql("SELECT f.* FROM pages_of_test p, LATERAL text_chunks(p.content, 80, 10, true) f").count() > 3
+    for call in ("source_functions(p.content)", "source_variables(p.content)", "source_declarations(p.content)"):
+        assert spark.sql(f"SELECT f.* FROM pages_of_test p, LATERAL {call} f").count() > 0
+    spark.sql("SELECT f.* FROM pages_of_test p, LATERAL page_examples(p.content) f").count()
