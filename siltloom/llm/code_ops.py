@@ -86,10 +86,10 @@ def prose_shares(units: DataFrame) -> DataFrame:
     return map_rows(units.select("source_table", "row_id", "file", "text"), run, "source_table string, row_id long, lang string, chars int, share double")
 
 
-def fim_texts(records: DataFrame) -> DataFrame:
-    """The five parts of each record put together, a null part as an empty one."""
+def fim_texts(records: DataFrame, *more: str) -> DataFrame:
+    """The five parts of each record put together, a null part as an empty one, with further columns of the record."""
     whole = F.concat(*[F.coalesce(F.col(p), F.lit("")) for p in FIM_PARTS])
-    return records.select(F.lit("fim_records").alias("source_table"), F.col("record_id").cast("long").alias("row_id"), F.lit(None).cast("string").alias("file"), whole.alias("text"))
+    return records.select(F.lit("fim_records").alias("source_table"), F.col("record_id").cast("long").alias("row_id"), F.lit(None).cast("string").alias("file"), whole.alias("text"), *more)
 
 
 def parse_errors(units: DataFrame) -> DataFrame:

@@ -55,8 +55,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_rates(spark: SparkSession, d: str) -> DataFrame:
     ui = table(spark, d, "ui_info").select("repo_id", "file", F.col("content").alias("text"))
     functions = table(spark, d, "function_info").select("repo_id", "file", F.col("content").alias("text"))
-    records = table(spark, d, "fim_records")
-    fim = code_ops.fim_texts(records.withColumn("row_repo", F.col("repo_id"))).select("row_id", "text").join(records.select(F.col("record_id").alias("row_id"), "repo_id"), "row_id").select("repo_id", F.lit(None).cast("string").alias("file"), "text")
+    fim = code_ops.fim_texts(table(spark, d, "fim_records"), "repo_id").select("repo_id", "file", "text")
     return code_ops.parse_rates(ui.unionByName(functions).unionByName(fim))
 
 
