@@ -11,15 +11,18 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siltloom.common import durable
 from siltloom.functions import similarity
 
 
-def keep_first(df: DataFrame, keys: list[str | Column], order: list[str | Column]) -> DataFrame:
-    """One row per key, the first in the order; ties go to the order's further columns."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
+def keep_first(df: DataFrame, keys: list[str | Column], order: list[str]) -> DataFrame:
+    """One row per key, the first in the order; ties go to the order's further columns.
+
+    An aggregate, not a window: of a key that a third of all rows share each partition sends one row.
+    """
+    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__r")
+    return df.groupBy(*keys).agg(first).select("__r.*")
 
 
 def exact(df: DataFrame, text: str, order: str) -> DataFrame:
@@ -34,7 +37,7 @@ def exact(df: DataFrame, text: str, order: str) -> DataFrame:
 
 def exact_in_group(df: DataFrame, prefix: str, content: str, number: str) -> DataFrame:
     """The lowest-numbered row per (prefix, md5 of the content)."""
-    return keep_first(df, [F.col(prefix), F.md5(F.col(content))], [F.col(number)])
+    return keep_first(df, [F.col(prefix).alias("__k"), F.md5(F.col(content)).alias("__h")], [number])
 
 
 def greedy(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
@@ -86,7 +89,7 @@ def ratio_dedup(df: DataFrame, key: str = "id", text: str = "text", threshold: f
 
     Equal texts are collapsed first (equal means ratio 1.0); null texts are kept.
     """
-    first = keep_first(df.where(F.col(text).isNotNull()), [*([within] if within else []), F.md5(text)], [key])
+    first = keep_first(df.where(F.col(text).isNotNull()), [(F.col(within) if within else F.lit(0)).alias("__k"), F.md5(text).alias("__h")], [key])
     kept = greedy(first, ratio_edges(first, key, text, threshold, within), key)
     return kept.unionByName(df.where(F.col(text).isNull()))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltloom.common import durable
 from siltloom.functions.text import sdk_version_passes
 
 # filters and projections
@@ -189,9 +190,33 @@ def first_seen(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), pos).alias("r")).select("r.*")
 
 
+def _running(df: DataFrame, group: str, order: list[str], value: Column, how: str, to: str) -> DataFrame:
+    """Adds the sum of all earlier values of the group, or the last value up to the row that is not null.
+
+    Rows are range-partitioned by group and order, so a group that a third of all rows belong to is spread over many
+    tasks.  What the partitions before hold is carried in from a table of the groups that cross a partition's border,
+    which has at most two rows per partition and may therefore be broadcast.
+    """
+    parts = durable(df.withColumn("__v", value).repartitionByRange(group, *order).withColumn("__p", F.spark_partition_id()))
+    own = Window.partitionBy(group, "__p").orderBy(*order)
+    if how == "sum":
+        whole = F.sum("__v")
+        local = F.coalesce(F.sum("__v").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    else:
+        whole = F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*order)))
+        local = F.last("__v", ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    per = parts.groupBy(F.col(group).alias("__g"), F.col("__p").alias("__q")).agg(whole.alias("__w"))
+    crossing = per.groupBy("__g").agg(F.count("*").alias("n"), F.collect_list(F.struct("__q", "__w")).alias("l")).where("n > 1").select("__g", F.explode("l").alias("x")).select("__g", "x.*")
+    before = Window.partitionBy("__g").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    prior = crossing.select("__g", "__q", (F.coalesce(F.sum("__w").over(before), F.lit(0)) if how == "sum" else F.last("__w", ignorenulls=True).over(before)).alias("__prior"))
+    joined = parts.withColumn("__l", local).join(F.broadcast(prior), F.col(group).eqNullSafe(F.col("__g")) & (F.col("__p") == F.col("__q")), "left")
+    result = F.col("__l") + F.coalesce("__prior", F.lit(0)) if how == "sum" else F.coalesce("__l", "__prior")
+    return joined.withColumn(to, result).drop("__v", "__p", "__l", "__g", "__q", "__prior")
+
+
 def carried_forward(df: DataFrame, group: str, order: str, value: Column, to: str) -> DataFrame:
     """Adds the last value that is not null up to each row."""
-    return df.withColumn(to, F.last(value, ignorenulls=True).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return _running(df, group, [order], value, "last", to)
 
 
 def balanced_split(df: DataFrame, order: str, n: int) -> DataFrame:
@@ -216,9 +241,7 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame
 
 def until_successes(df: DataFrame, group: str, order: list[str], success: Column, limit: int) -> DataFrame:
     """Rows of each group up to and with its ``limit``-th success."""
-    run = Window.partitionBy(group).orderBy(*order)
-    before = F.coalesce(F.sum(success.cast("int")).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("__s", before).where(F.col("__s") < limit).drop("__s")
+    return _running(df, group, order, F.coalesce(success, F.lit(False)).cast("int"), "sum", "__s").where(F.col("__s") < limit).drop("__s")
 
 
 def merged_maps(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -229,8 +252,9 @@ def merged_maps(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def numbered_names(df: DataFrame, base: str, order: str, first_bare: bool = False) -> DataFrame:
     """Adds ``unique_name``: base_n with n from 1, or the bare name first and then base_1."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(order)) - (1 if first_bare else 0)
-    return df.withColumn("unique_name", F.when(n == 0, F.col(base)).otherwise(F.concat_ws("_", base, n)))
+    counted = _running(df, base, [order], F.lit(1), "sum", "__n")
+    n = F.col("__n") + (0 if first_bare else 1)
+    return counted.withColumn("unique_name", F.when(n == 0, F.col(base)).otherwise(F.concat_ws("_", base, n))).drop("__n")
 
 
 def config_rows(text: str) -> list[Row]:

@@ -210,3 +210,12 @@ def test_uses(spark, boundary):
     symbols = spark.createDataFrame([("f", "Abc"), ("f", ""), ("f", None)], "file string, name string")
     got = sorted(r.unit_id for r in relational.uses(units, symbols, boundary=boundary).collect())
     assert got == ([1] if boundary else [1, 2])
+
+
+def test_running_values_across_partitions(spark):
+    rows = [(g, i, i % 3 == 0) for g in ("a", "b", None) for i in range(40 if g == "a" else 5)]
+    df = spark.createDataFrame(rows, "g string, o int, ok boolean")
+    got = {(r.g, r.o) for r in relational.until_successes(df, "g", ["o"], F.col("ok"), 3).collect()}
+    assert got == {(g, o) for g, o, _ in rows if o <= 6}
+    carried = relational.carried_forward(df, "g", "o", F.when(F.col("o") % 7 == 2, F.col("o")), "last").collect()
+    assert all(r.last == (None if r.o < 2 else (r.o - 2) // 7 * 7 + 2) for r in carried) and len(carried) == len(rows)
