@@ -170,7 +170,9 @@ def defects(query: list[str | None] | None, description: str | None, code: str |
         if size["refusal"] >= 0.5 * total:
             out.add("refusal")
             continue
-        if grams and (size["echo"] >= 0.9 * total or _within(_ACK.sub("", text or ""), [*grams, sum(grams, Counter())]) >= 0.96):
+        # a text longer than all questions together says more than they do
+        short = grams and len(text or "") <= 1.1 * sum(map(len, asked)) + 40
+        if grams and (size["echo"] >= 0.9 * total or short and _within(_ACK.sub("", text or ""), [*grams, sum(grams, Counter())]) >= 0.96):
             out.add("copy")
             continue
         if tags[-1] == "unfinished" or parts[0][0] == "code" and "unfinished" in tags:
