@@ -80,7 +80,7 @@ def variables_table(df: DataFrame, key: str = "analysis_id") -> DataFrame:
     return df.selectExpr(f"`{key}` as row_id", f"inline(filter({made}, x -> x is not null))").withColumnRenamed("type", "var_type")
 
 
-def imports_table(df: DataFrame, key: str = "analysis_id") -> DataFrame:
-    """The imports as a table of their own."""
+def imports_table(df: DataFrame, key: str = "analysis_id", *more: str) -> DataFrame:
+    """The imports as a table of their own, with further columns of the parent."""
     made = f"transform(imports, (e, i) -> if(e is null, null, struct(cast(i as int) as pos, e.import_type as import_type, e.module_name as module_name, {_either('e.name', 'e.component_name')} as name, e.alias as alias)))"
-    return df.selectExpr(f"`{key}` as row_id", f"inline(filter({made}, x -> x is not null))")
+    return df.selectExpr(f"`{key}` as row_id", *[f"`{m}`" for m in more], f"inline(filter({made}, x -> x is not null))")

@@ -36,8 +36,8 @@ def query(sql: str | None = None):
 
 def _imports(spark: SparkSession, d: str) -> DataFrame:
     """Imports of all file analyses with their file: analysis_id, file, pos, import_type, module_name, name."""
-    own = table(spark, d, "ets_file_analysis")
-    return nested.imports_table(own).join(own.select(F.col("analysis_id").alias("row_id"), "file"), "row_id").select(F.col("row_id").alias("analysis_id"), "file", "pos", "import_type", "module_name", "name")
+    found = nested.imports_table(table(spark, d, "ets_file_analysis"), "analysis_id", "file")
+    return found.select(F.col("row_id").alias("analysis_id"), "file", "pos", "import_type", "module_name", "name")
 
 
 _IMPORTS_SQL = """(SELECT analysis_id, file, i - 1 AS pos, e.import_type AS import_type, e.module_name AS module_name, coalesce(nullif(e.name, ''), e.component_name, '') AS name
