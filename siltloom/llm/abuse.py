@@ -275,13 +275,13 @@ def score(text: str | None) -> float:
         return best
     found.sort()
     bounds: dict[tuple[int, int], list[str]] = {}
-    for at, cls in found:
-        a = max(text.rfind(c, 0, at) for c in ".!?。！？\n") + 1
-        m = _SENT.match(text, a)
-        b = m.end()
-        while b < len(text) and b < at + 1:
-            b = _SENT.match(text, b).end()
-        bounds.setdefault((a, b), []).append(cls)
+    k = 0
+    for m in _SENT.finditer(text):
+        while k < len(found) and found[k][0] < m.end():
+            bounds.setdefault(m.span(), []).append(found[k][1])
+            k += 1
+        if k == len(found):
+            break
     for (a, b), classes in bounds.items():
         # an exclamation may cut a clause from its target: the next few characters still belong to the window
         tail = text[b : b + 24].split("\n")[0] if text[max(a, b - 2) : b].strip().endswith(("!", "！")) else ""

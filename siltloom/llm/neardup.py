@@ -4,7 +4,8 @@ A text is the set of hashes of its triples of consecutive words.  Its fingerprin
 smallest of the set's hashes under one of T orders.  Two fingerprints within the radius (2d elements apart) meet
 halfway: each emits all variants that leave out d of its k elements, and both emit the common part.  Variants are
 shuffled, pairs that collide are deduplicated and verified on the whole sets, so no pair below the threshold is given.
-With k=5, d=2 and T=3 a pair of likeness 0.7 is missed with probability below 0.001, a likelier one less.
+With k=6, d=2 and T=3 a pair of likeness 0.7 is missed with probability below 0.003, one of 0.75 below 0.0007; pairs of
+sets of eight triples or fewer are never missed.
 
 Texts with equal sets form a class first; only class representatives are fingerprinted.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from siltloom.common import durable
 
-K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 5, 2, 3, 64, 500_000
+K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 3, 64, 500_000
 
 
 def triple_sets(texts: DataFrame) -> DataFrame:
@@ -41,7 +42,10 @@ def _combos(order: int) -> Column:
     """The variants of one order's fingerprint: the hashes of its parts that leave out DROP elements."""
     name = f"s{order}"
     made = [F.when(F.size(name) > max(c), F.xxhash64(F.lit(order), *[F.get(name, F.lit(i)) for i in c])) for c in combinations(range(K), K - DROP)]
-    # sets of one or two triples: equal sets are one class already, and no other likeness reaches the threshold
+    # sets of one or two triples: equal sets are one class already, and no other likeness reaches the threshold;
+    # sets of three and four may be alike by three, which is fewer than a variant holds
+    if order == 0:
+        made += [F.when((F.size(name) <= 4) & (F.size(name) > max(c)), F.xxhash64(F.lit(-1), *[F.get(name, F.lit(i)) for i in c])) for c in combinations(range(4), 3)]
     return F.filter(F.array(*made), lambda x: x.isNotNull())
 
 
