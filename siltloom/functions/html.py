@@ -236,6 +236,28 @@ def numbered(df: DataFrame, keys: list[str], to: str = "id") -> DataFrame:
     return parts.withColumn("__n", F.row_number().over(own)).join(offsets, "__p").withColumn(to, F.col("__before") + F.col("__n")).drop("__p", "__n", "__before")
 
 
+def table_rows(pages: DataFrame, key: str = "url", html: str = "html", strict: bool = True) -> DataFrame:
+    """(key, table, pos, cells) of every row of every table, cells by their heading; numbers from 0."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for where, text in rows:
+            for i, found in enumerate(tables(text, strict)):
+                for j, cells in enumerate(found):
+                    yield where, i, j, list(cells.items())
+
+    return map_rows(pages.select(key, html), run, f"{key} {dict(pages.dtypes)[key]}, table int, pos int, cells map<string,string>")
+
+
+def articles(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
+    """(key, text): the article of each page, '' where there is none."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for where, text in rows:
+            yield where, article_text(text)
+
+    return map_rows(pages.select(key, html), run, f"{key} {dict(pages.dtypes)[key]}, text string", block=512)
+
+
 def record_rows(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, pos, kind, name, fields) of every reference page."""
 

@@ -94,6 +94,14 @@ def ratio_dedup(df: DataFrame, key: str = "id", text: str = "text", threshold: f
     return kept.unionByName(df.where(F.col(text).isNull()))
 
 
+def comment_blind_dedup(df: DataFrame, key: str = "id", text: str = "code", threshold: float = 0.9, within: str | None = None) -> DataFrame:
+    """The rows kept by ``ratio_dedup`` of their texts without comments; the rows themselves stay as they are."""
+    from siltloom.functions.code import strip_comments_column
+
+    bare = df.select(key, *([within] if within else []), strip_comments_column(F.col(text)).alias("__bare"))
+    return df.join(ratio_dedup(bare, key, "__bare", threshold, within).select(key), key, "left_semi")
+
+
 def audit(df: DataFrame, key: str = "id", text: str = "text", threshold: float = 0.9) -> DataFrame:
     """Every pair above the threshold with its ratio, most alike first."""
     edges = ratio_edges(df, key, text, threshold)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from siltloom.common import table
 from siltloom.functions import code as C
 from siltloom.functions import text as T
+from siltloom.functions import html as H
 from siltloom.functions.html import numbered
-from siltloom.operators import dataset, dedup, graph, mutate, nested, relational, retrieval
+from siltloom.operators import dataset, dedup, graph, images, mutate, nested, relational, retrieval
 from siltloom.streaming import feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -522,3 +523,141 @@ def stream_new_rows(spark: SparkSession, d: str) -> DataFrame:
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     out = feeds.windows(_event_stream(spark, d), "ts")
     return feeds.drain(out, f"stream_windows_{abs(hash(d)) % 10**6}", _stream_dir(spark), "complete").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
+
+
+# pages, configurations and files, made from rows of the tables
+
+
+@query("SELECT doc_id, source || chr(10) || doc_type AS text FROM documents")
+def article_texts(spark: SparkSession, d: str) -> DataFrame:
+    page = F.concat(F.lit("<html><body><nav>x</nav><article><h1>"), "source", F.lit("</h1>\n<p>&nbsp;"), "doc_type", F.lit("<p></article><script>var a = '</p>';</script></body>"))
+    return H.articles(table(spark, d, "documents").select("doc_id", page.alias("html")), "doc_id")
+
+
+@query("SELECT doc_id, unnest(['https://docs.example/' || source || '/' || doc_id, 'https://docs.example/all']) AS link FROM documents")
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    page = F.concat(F.lit("<a href=\"/"), "source", F.lit("/"), "doc_id", F.lit("\">1</a> <a class='b' href='//docs.example/all'>2</a> <a href=\"#top\">3</a> <a href=\"https://other.example/\">4</a>"))
+    return table(spark, d, "documents").select("doc_id", F.explode(H.links(page, "https://docs.example/")).alias("link"))
+
+
+def _nation_pages(spark: SparkSession, d: str) -> DataFrame:
+    """One page per region with a table of its nations in key order, and a row too short."""
+    both = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    row = F.concat(F.lit("<tr><td>"), "n_name", F.lit("</td><td> "), "n_nationkey", F.lit(" </td></tr>"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))), lambda x: x["r"]), "")
+    return both.groupBy(F.col("r_name").alias("url")).agg(F.concat(F.lit("<div id=\\\"枚举\\\"><table><tr><th>名称</th><th>值</th></tr>"), rows, F.lit("<tr><td>short</td></tr></table></div>")).alias("html"))
+
+
+@query("SELECT r_name AS url, (row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) - 1)::INT AS pos, n_name AS name, n_nationkey::VARCHAR AS value FROM nation JOIN region ON n_regionkey = r_regionkey")
+def page_tables(spark: SparkSession, d: str) -> DataFrame:
+    return H.table_rows(_nation_pages(spark, d)).select("url", "pos", F.col("cells")["名称"].alias("name"), F.col("cells")["值"].alias("value"))
+
+
+@query("SELECT r_name AS url, 'enum' AS kind, name FROM (SELECT r_name, n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT DISTINCT r_name, 'short' FROM nation JOIN region ON n_regionkey = r_regionkey)")
+def page_records(spark: SparkSession, d: str) -> DataFrame:
+    return H.record_rows(_nation_pages(spark, d)).select("url", "kind", "name")
+
+
+@query("SELECT 'doc' || lpad(doc_id::VARCHAR, 12, '0') AS file_path, k AS pos, CASE k WHEN 0 THEN 'Import' ELSE 'Reference' END AS type, CASE k WHEN 0 THEN NULL ELSE 'import { a' || doc_id || ' } from ''b'';' END AS import_module, 2 * row_number() OVER (PARTITION BY k ORDER BY doc_id) - 1 + k AS id FROM documents, (VALUES (0), (1)) v(k)")
+def page_references(spark: SparkSession, d: str) -> DataFrame:
+    """An import and a reference per page: the import is carried to the reference, the rows are numbered through all pages."""
+    page = F.concat(F.lit("<div class=\"section\"><p>导入模块</p><pre class=\"ts\">import { a"), "doc_id", F.lit(" } from 'b';</pre></div><div class=\"section\"><h4>run</h4><pre class=\"typescript\">run(a: number) { "), F.repeat(F.lit("x"), F.lit(70)), F.lit(" }</pre></div>"))
+    pages = table(spark, d, "documents").select(F.concat(F.lit("doc"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("file_path"), page.alias("html"))
+    return H.reference_rows(pages).select("file_path", "pos", "type", "import_module", "id")
+
+
+@query("SELECT DISTINCT 'p' || repo_id || CASE WHEN repo_id % 2 = 0 THEN '' ELSE '/sub' END AS root FROM repo_list")
+def project_roots(spark: SparkSession, d: str) -> DataFrame:
+    """Every repository has markers in a subfolder, every second one also at its top, which hides the subfolder."""
+    top, sub = F.concat(F.lit("p"), "repo_id"), F.concat(F.lit("p"), "repo_id", F.lit("/sub"))
+    made = table(spark, d, "repo_list").select("repo_id", F.explode(F.array(*[F.concat(a, F.lit(m)) for a in (top, sub) for m in ("/build-profile.json5", "/hvigorfile.ts")])).alias("path"))
+    return relational.project_roots(made.where("repo_id % 2 = 0 or path like '%/sub/%' or path like '%.ts'"))
+
+
+@query("SELECT o_orderkey AS folder FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0")
+def ready_folders(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("folder"), F.explode(F.array(F.when(F.col("o_orderkey") % 2 == 0, "ets"), F.when(F.col("o_orderkey") % 3 == 0, "txt"), F.when(F.col("o_orderkey") % 5 == 0, "json"))).alias("ext"))
+    return relational.ready_folders(made.where("ext is not null"))
+
+
+@query("SELECT file, name::INT AS name, arg_max(class, o)::VARCHAR AS full FROM (SELECT l_orderkey AS file, l_linenumber % 3 AS name, l_partkey AS class, l_linenumber::BIGINT * 10000000000 + l_partkey AS o FROM lineitem) GROUP BY file, name")
+def last_declared(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("file"), (F.col("l_linenumber") % 3).cast("string").alias("name"), F.col("l_partkey").cast("string").alias("class"), (F.col("l_linenumber") * 10_000_000_000 + F.col("l_partkey")).alias("order"))
+    nothing = lines.where("false").select("file", "name", F.col("class").alias("full"))
+    return relational.last_declared(lines, lines.select("file", "name").distinct(), nothing).select("file", F.col("name").cast("int").alias("name"), "full")
+
+
+@query("SELECT user_id::VARCHAR AS folder, arg_max(CASE WHEN event_type = 'purchase' THEN value END, CASE WHEN event_type = 'purchase' THEN event_id END) AS purchase, arg_max(CASE WHEN event_type = 'click' THEN value END, CASE WHEN event_type = 'click' THEN event_id END) AS click FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0 AND count(*) FILTER (event_type = 'click') > 0")
+def sibling_rows(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "events").select(F.col("user_id").cast("string").alias("folder"), F.col("event_type").alias("ext"), F.col("event_id").alias("name"), F.col("value").alias("content"))
+    return relational.sibling_files(made, ("purchase", "click"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN '<a>' || o_orderstatus || '</a>' WHEN 1 THEN o_orderstatus ELSE 'plain ' || o_orderstatus END AS text FROM orders")
+def fenced_texts(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey") % 3
+    made = F.when(k == 0, F.concat(F.lit("see ```xml\n<a>"), "o_orderstatus", F.lit("</a>\n``` end"))).when(k == 1, F.concat(F.lit("```\n"), "o_orderstatus", F.lit("\n```"))).otherwise(F.concat(F.lit("plain "), "o_orderstatus"))
+    return table(spark, d, "orders").select("o_orderkey", T.fenced(made).alias("text"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE o_orderkey % 7 END AS a, CASE WHEN o_orderkey % 4 IN (0, 1) THEN '{\"a\": ' || o_orderkey % 7 || '}' END AS slice FROM orders")
+def repaired_json(spark: SparkSession, d: str) -> DataFrame:
+    """Good JSON, JSON within other text, unquoted keys with a comma too many, and no JSON."""
+    k, v = F.col("o_orderkey") % 4, F.col("o_orderkey") % 7
+    good = F.concat(F.lit('{"a": '), v, F.lit("}"))
+    made = F.when(k < 2, good).when(k == 2, F.concat(F.lit("{a: "), v, F.lit(",}"))).otherwise(F.lit("none"))
+    around = F.when(k == 1, F.concat(F.lit("text "), made, F.lit(" tail"))).otherwise(made)
+    return table(spark, d, "orders").select("o_orderkey", T.safe_json(made, "a bigint")["a"].alias("a"), T.json_slice(around).alias("slice"))
+
+
+@query("SELECT s_suppkey, s_name || chr(10) || chr(10) || s_nationkey || chr(10) || '---' || chr(10) || s_suppkey || chr(10) || chr(10) || 'Question: why' AS prompt FROM supplier")
+def prompts(spark: SparkSession, d: str) -> DataFrame:
+    own = table(spark, d, "supplier")
+    return own.select("s_suppkey", F.concat_ws("\n\n", "s_name", F.array_join(F.array(F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string")), "\n---\n"), F.lit("Question: why")).alias("prompt"))
+
+
+@query("SELECT a.vec_id AS id, round(list_sum(list_transform(list_zip(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) / 64, 5) AS mse FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def image_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of 64 taken as pictures of 8 by 8, each against the next."""
+    made = table(spark, d, "embeddings").select("vec_id", F.struct(F.col("embedding").cast("array<double>").alias("pixels"), F.lit(8).alias("height"), F.lit(8).alias("width")).alias("image"))
+    pairs = made.select(F.col("vec_id").alias("id"), F.col("image").alias("a")).join(made.select((F.col("vec_id") - 1).alias("id"), F.col("image").alias("b")), "id")
+    return images.reports(pairs).select("id", F.round("mse", 5).alias("mse"))
+
+
+@query()
+def image_matches(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.struct(F.col("embedding").cast("array<double>").alias("pixels"), F.lit(8).alias("height"), F.lit(8).alias("width")).alias("image"))
+    return dedup.perceptual_match(images.hashes(made), [0, -1])
+
+
+@query()
+def enriched_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every instruction pair whose id is divisible by 100 with the pairs most alike by imports and by words."""
+    pairs = table(spark, d, "instruction_pairs").select(F.col("pair_id").alias("doc_id"), F.array_join(F.coalesce("imports", F.array().cast("array<string>")), "\n").alias("pre"), F.coalesce("code", F.lit("")).alias("code_snippet"), F.coalesce("description", F.lit("")).alias("parent_text"))
+    docs = retrieval.import_examples(pairs).withColumn("tokens", F.regexp_extract_all(F.lower("parent_text"), F.lit("[a-z0-9_]+"), F.lit(0)))
+    queries = docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id")
+    fused = retrieval.fuse(retrieval.jaccard_topk(queries, docs, 5), retrieval.bm25_topk(queries, docs, 5))
+    return retrieval.enrich(queries.select("query_id"), fused, docs.withColumn("type", F.lit("Reference")))
+
+
+@query()
+def vector_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors as chunks of documents of four: the best chunks per query, gathered per document."""
+    vectors = table(spark, d, "embeddings")
+    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    hits = retrieval.vector_topk(queries, vectors, 15, metric="l2").select("query_id", F.floor(F.col("vec_id") / 4).alias("doc_id"), F.col("vec_id").alias("chunk_id"), (F.col("vec_id") % 4).alias("chunk_index"), "score")
+    return retrieval.chunk_search(hits, 5)
+
+
+@query()
+def blended_search(spark: SparkSession, d: str) -> DataFrame:
+    docs = _document_terms(spark, d).withColumn("terms", F.array_distinct("tokens"))
+    queries = _search_queries(docs)
+    return retrieval.blend(retrieval.bm25_topk(queries, docs, 10), retrieval.jaccard_topk(queries, docs, 10), cut=5)
+
+
+@query("SELECT DISTINCT md5(text) AS hash FROM documents WHERE text IS NOT NULL")
+def stream_first_texts(spark: SparkSession, d: str) -> DataFrame:
+    schema = table(spark, d, "documents").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d).where("text is not null").select("doc_id", "text")
+    return feeds.drain(feeds.first_texts(stream), f"stream_first_texts_{abs(hash(d)) % 10**6}", _stream_dir(spark)).select(F.md5("text").alias("hash"))

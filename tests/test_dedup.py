@@ -83,3 +83,8 @@ def test_exact_keeps_nulls(spark):
 def test_perceptual_match(spark):
     df = spark.createDataFrame([(1, 0b11111), (2, 0b111111)], "id long, phash long")
     assert [r.matched for r in dedup.perceptual_match(df, [0], 5).orderBy("id").collect()] == [True, False]
+
+
+def test_comment_blind(spark):
+    df = spark.createDataFrame([(1, "a = 1; // first note of some length here"), (2, "a = 1; /* quite another remark */"), (3, "completely(different)"), (4, None)], "id long, code string")
+    assert sorted(r.id for r in dedup.comment_blind_dedup(df).collect()) == [1, 3, 4]
