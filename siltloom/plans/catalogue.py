@@ -5,13 +5,13 @@ A query reads whole tables.  Searches take as their queries every row whose id i
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltloom.common import table
+from siltloom.common import checkpoint_dir, map_rows, table
 from siltloom.functions import code as C
 from siltloom.functions import text as T
 from siltloom.functions import html as H
@@ -432,8 +432,6 @@ def code_structure(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def java_methods(spark: SparkSession, d: str) -> DataFrame:
-    from siltloom.common import map_rows
-
     def run(rows):
         for key, body in rows:
             for i, r in enumerate(C.java_functions(body or "")):
@@ -507,9 +505,6 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream_dir(spark: SparkSession) -> str:
-    from siltloom.common import checkpoint_dir
-    import uuid
-
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
