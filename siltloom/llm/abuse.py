@@ -287,8 +287,3 @@ def score(text: str | None) -> float:
         tail = text[b : b + 24].split("\n")[0] if text[max(a, b - 2) : b].strip().endswith(("!", "！")) else ""
         best = max(best, sentence_score(text[a:b] + tail, classes))
     return round(best, 2)
-
-
-def kind_rates_label(value: float) -> str:
-    """review, exclude or keep, by the score."""
-    return "exclude" if value >= 0.8 else "review" if value >= 0.5 else "keep"

@@ -23,6 +23,12 @@ def abuse_scores(documents: DataFrame) -> DataFrame:
     return map_rows(documents.select(F.col("doc_id").cast("long"), "source", "text"), run, "doc_id long, source string, score double")
 
 
+def abuse_verdicts(documents: DataFrame, review: float = THRESHOLD, exclude: float = 0.8) -> DataFrame:
+    """(doc_id, source, score, verdict): keep, review or exclude by the score."""
+    verdict = F.when(F.col("score") >= exclude, "exclude").when(F.col("score") >= review, "review").otherwise("keep")
+    return abuse_scores(documents).withColumn("verdict", verdict)
+
+
 def abuse_rates(documents: DataFrame) -> DataFrame:
     """(source, documents, cases, rate); documents without a source are counted under null."""
     scores = abuse_scores(documents)

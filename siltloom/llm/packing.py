@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np

@@ -33,7 +33,6 @@ _WORD = re.compile(r"(?<![\w./@#$\\-])[^\W\d_]+(?:['’][^\W\d_]+)*(?![\w/@#$\\(
 _CODE = re.compile(r"[;{}]\s*$|[\w\])]\s*(?:[-+*/]?=|=>|===?|!==?)\s*[\w'\"\[({]|\w\([\w.,\s'\"]*\)\s*[;.{]|^\s*(?:import|export|return|const|let|var|case|throw|new)\b.*[;'\"(=]|\)\s*=>|</?\w+[^>]*>\s*$", re.S)
 _DIRECTIVE = re.compile(r"^\s*(?:eslint|tslint|jshint|jslint|prettier|@ts-|ts-ignore|ts-nocheck|istanbul|c8 |v8 |noinspection|nolint|noqa|pylint|@formatter|webpack|sourceMappingURL|# ?sourceMappingURL|#region|#endregion|region\b|endregion\b|@flow|@jsx|globals? |exported |spell-?checker|cspell|checkstyle|suppress|sonar|stylelint|biome|deno-|swiftlint|@suppress)", re.I)
 _MARKER = re.compile(r"^\s*(?:(?:TODO|FIXME|XXX|HACK|NOTE|BUG|WARN(?:ING)?|OPTIMIZE|REVIEW|TBD)\b(?:\([^)]*\))?\s*[:：]?\s*)+", re.I)
-_TAGLINE = re.compile(r"^\s*@\w+.*$", re.M)
 _TAG = re.compile(r"^\s*@(?:param|throws|property|template|typedef|arg|argument|prop)\s+(?:\{[^}]*\}\s*)?[\w.$\[\]]+|^\s*@\w+(?:\s*\{[^}]*\})?", re.M)
 _ESC = {"n": "\n", "t": "\t", "r": " "}
 MIN_WORDS, MIN_CHARS = 4, 8

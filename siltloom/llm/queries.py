@@ -88,7 +88,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
-    return abuse_ops.abuse_scores(table(spark, d, "documents"))
+    return abuse_ops.abuse_verdicts(table(spark, d, "documents"))
 
 
 def p10_rates(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from siltloom.llm.grammars import JAVA, SCRIPT, tables
-from siltloom.llm.lexer import JAVA_WORDS, SCRIPT_WORDS, Lexed, lex
+from siltloom.llm.lexer import SCRIPT_WORDS, Lexed, lex
 
 _OPEN, _CLOSE = {"(": ")", "[": "]", "{": "}"}, {")", "]", "}"}
 _MODS = frozenset("private public protected static readonly override abstract declare".split())
@@ -19,7 +19,7 @@ _STARTS = frozenset(["", "{", "}", ";", "U{"])
 _TYPE = frozenset(["id", ".", ",", "[", "]", "bar", "&", "str", "num", "null", "void", "this", "typeof", "true", "false", "?", "=>", "("])
 _PRIM = frozenset("boolean byte char short int long float double".split())
 _JMODS = frozenset("public private protected static final abstract native synchronized transient volatile strictfp default".split())
-_RENAME = {"|": "bar", "~": "tilde", "th": "th"}
+_RENAME = {"|": "bar", "~": "tilde"}
 
 
 @lru_cache(None)
@@ -92,7 +92,7 @@ def mark_script(text: str, x: Lexed) -> list[str]:
     kind = [_RENAME.get(k, k) for k in x.kind]
     n, to, fresh = len(kind), _match(kind), x.fresh
     start, end = x.start, x.end
-    out, depth = kind, 0
+    depth = 0
     closers: set[int] = set()
     kind = kind + ["", "", ""]
     for i in range(n):
@@ -192,14 +192,14 @@ def mark_script(text: str, x: Lexed) -> list[str]:
             if prev in _VALUE and not fresh[i]:
                 kind[i] = "postinc"
         elif k in SCRIPT_WORDS:
-            if prev in (".", "?.") or nxt == ":" and (prev in ("{", ",") or fresh[i]) and k not in ("default", "case", "null", "true", "false", "this") or nxt == ":" and k == "default" and prev in ("{", ",") and kind[i + 2] != "bad" and _in_object(kind, to, i):
+            if prev in (".", "?.") or nxt == ":" and (prev in ("{", ",") or fresh[i]) and k not in ("default", "case", "null", "true", "false", "this") or nxt == ":" and k == "default" and prev in ("{", ",") and kind[i + 2] != "bad" and _in_object(kind, i):
                 kind[i] = "id"
             elif k == "import" and nxt in ("(", "."):
                 kind[i] = "importx"
     return kind[:n]
 
 
-def _in_object(kind: list[str], to: list[int], i: int) -> bool:
+def _in_object(kind: list[str], i: int) -> bool:
     """Whether ``default:`` at ``i`` is a key: a switch's block would follow a bracket."""
     return not (kind[i - 1] == "{" and i > 1 and kind[i - 2] == ")")
 
