@@ -98,6 +98,16 @@ def url_object_id(url: Column) -> Column:
     return F.element_at(F.split(url, "/"), -1)
 
 
+def folder_prefix(name: Column) -> Column:
+    """The name without a number behind its last underscore."""
+    return F.regexp_extract(name, r"^(.+?)(?:_(\d+))?$", 1)
+
+
+def folder_number(name: Column) -> Column:
+    """The number behind the last underscore, 0 without one."""
+    return F.coalesce(F.regexp_extract(name, r"^(.+?)(?:_(\d+))?$", 2).try_cast("bigint"), F.lit(0))
+
+
 def fim_normal(text: Column) -> Column:
     """Without blanks and quotes, for comparing a reconstruction with its original."""
     return F.regexp_replace(text, r"""(?U)[\s'"`]+""", "")

@@ -18,10 +18,16 @@ from siltloom.functions import code
 DELETE_RATE, SWAP_RATE, MAX_ADD, STYLE_RATE = 0.20, 0.35, 3, 0.3
 #: Layouts by weight, and values of their parameters.
 LAYOUTS = {"Flex": 3, "Row": 1, "Column": 5, "Stack": 2}
-JUSTIFY = ("FlexAlign.Start", "FlexAlign.Center", "FlexAlign.End", "FlexAlign.SpaceBetween", "FlexAlign.SpaceAround", "FlexAlign.SpaceEvenly")
+JUSTIFY = {"FlexAlign.Start": 30, "FlexAlign.Center": 30, "FlexAlign.SpaceBetween": 25, "FlexAlign.SpaceAround": 10, "FlexAlign.SpaceEvenly": 5}
+CROSS_LINES = {"FlexAlign.Start": 50, "FlexAlign.Center": 40, "FlexAlign.SpaceBetween": 10}
+CROSS_ITEMS = {"ItemAlign.Start": 30, "ItemAlign.Center": 40, "ItemAlign.Stretch": 20, "ItemAlign.Baseline": 10}
+DIRECTION = {"FlexDirection.Row": 40, "FlexDirection.Column": 40, "FlexDirection.RowReverse": 10, "FlexDirection.ColumnReverse": 10}
 ALIGN = {"Row": ("VerticalAlign.Top", "VerticalAlign.Center", "VerticalAlign.Bottom"), "Column": ("HorizontalAlign.Start", "HorizontalAlign.Center", "HorizontalAlign.End")}
 ALIGNMENT = ("Alignment.TopStart", "Alignment.Top", "Alignment.Center", "Alignment.BottomEnd")
-DIRECTION, WRAP = ("FlexDirection.Row", "FlexDirection.Column"), ("FlexWrap.NoWrap", "FlexWrap.Wrap")
+
+
+def weighted(rng: random.Random, options: dict[str, int]) -> str:
+    return rng.choices(list(options), list(options.values()))[0]
 
 
 def rng_for(key: str, seed: int = 0) -> random.Random:
@@ -87,18 +93,38 @@ def component(rng: random.Random, first: bool = False) -> tuple[str, list[str]]:
 
 
 def _spread(rng: random.Random, layout: str, parts: list[str]) -> list[str]:
-    """Sizes along the main axis: equal, random shares or none; children behind `this.` get none.  No free child: as is."""
+    """Room along the main axis of rows and columns: equal shares, or weights with one child heavier.
+
+    Children behind `this.` get none; without any other child the parts stay as they are.  Stacks take neither blanks nor
+    children behind `this.`.
+    """
     own = [p for p in parts if not p.startswith("this.")]
     if layout == "Stack":
         return [p for p in own if not p.startswith("Blank")]
     if layout == "Flex" or not own:
         return parts
-    side, way = ("width", "height")[layout == "Column"], rng.choice(["equal", "random", "none"])
-    if way == "none":
-        return parts
-    cuts = [1.0] * len(own) if way == "equal" else [rng.uniform(0.5, 2) for _ in own]
-    shares = iter(f"{100 * c / sum(cuts):.0f}%" for c in cuts)
-    return [p if p.startswith("this.") else f"{p}\n    .{side}('{next(shares)}')" for p in parts]
+    if rng.random() < 0.5:
+        room = iter([f".{('width', 'height')[layout == 'Column']}('{(90 if rng.random() < 0.9 else 100) // len(own)}%')"] * len(own))
+    else:
+        heavy = len(own) // 2 - 1
+        weights = [1] * len(own)
+        weights[heavy] += rng.choice([1, 2])
+        room = iter(f".layoutWeight({w})" for w in weights)
+    return [p if p.startswith("this.") else f"{p}\n    {next(room)}" for p in parts]
+
+
+def _flex(rng: random.Random) -> str:
+    """Upright directions do not wrap, others do with 70 percent; several lines are aligned as lines, one by its items."""
+    direction = weighted(rng, DIRECTION)
+    wrap = "FlexWrap.NoWrap" if "Column" in direction or rng.random() < 0.3 else "FlexWrap.Wrap"
+    options = [f"direction: {direction}", f"wrap: {wrap}"]
+    if rng.random() < 0.9:
+        options.append(f"justifyContent: {weighted(rng, JUSTIFY)}")
+    if wrap == "FlexWrap.Wrap":
+        options.append(f"alignContent: {weighted(rng, CROSS_LINES)}")
+    elif rng.random() < 0.7:
+        options.append(f"alignItems: {weighted(rng, CROSS_ITEMS)}")
+    return f"Flex({{ {', '.join(options)} }})"
 
 
 def lay_out(rng: random.Random, parts: list[str], layout: str | None = None, styles: bool = True) -> str:
@@ -107,14 +133,14 @@ def lay_out(rng: random.Random, parts: list[str], layout: str | None = None, sty
     inner = _spread(rng, layout, parts)
     head = layout
     if layout == "Flex":
-        head = f"Flex({{ direction: {rng.choice(DIRECTION)}, wrap: {rng.choice(WRAP)}, justifyContent: {rng.choice(JUSTIFY)} }})"
+        head = _flex(rng)
     elif layout == "Stack":
         head = f"Stack({{ alignContent: {rng.choice(ALIGNMENT)} }})"
     else:
         head = f"{layout}({{ space: {rng.randint(0, 24)} }})"
     lines = [f"{head} {{", *(f"  {p}" for p in inner), "}"]
     if layout in ALIGN:
-        lines += [f".justifyContent({rng.choice(JUSTIFY)})", f".alignItems({rng.choice(ALIGN[layout])})"]
+        lines += [f".justifyContent({weighted(rng, JUSTIFY)})", f".alignItems({rng.choice(ALIGN[layout])})"]
     if styles:
         for chance, part in ((0.7, ".width('100%')"), (0.5, ".padding(10)"), (0.2, f".backgroundColor({colour(rng)})")):
             if rng.random() < chance:

@@ -40,12 +40,21 @@ def has_key(df: DataFrame, column: str, key: str = "compatibleSdkVersion") -> Da
     return df.where(F.col(column).rlike(rf"[\"']?{key}[\"']?\s*:"))
 
 
+#: What takes the place of bare SDK numbers and of the open runtime.
+SDK_NAMES = {"10": "4.0.0(10)", "12": "5.0.0(12)"}
+RUNTIME_NAMES = {"OpenHarmony": "HarmonyOS"}
+
+
 def rewrite_products(products: Column) -> Column:
-    """Where any product is built for version 10 or 12 of the open runtime, all lose compileSdkVersion and get the common
-    runtime with a fixed compatible version; else they stay."""
-    hit = F.exists(products, lambda p: p["compileSdkVersion"].cast("string").isin("10", "12") & (p["runtimeOS"] == "OpenHarmony"))
-    changed = F.transform(products, lambda p: p.dropFields("compileSdkVersion").withField("compatibleSdkVersion", F.lit("5.0.0(12)")).withField("runtimeOS", F.lit("HarmonyOS")))
-    kept = F.transform(products, lambda p: p.dropFields("compileSdkVersion").withField("compatibleSdkVersion", p["compatibleSdkVersion"].cast("string")).withField("runtimeOS", p["runtimeOS"]))
+    """Where any product is built for version 10 or 12 of the open runtime, all lose compileSdkVersion and get the names
+    of SDK_NAMES and RUNTIME_NAMES for bare values; else the list stays, with texts as versions."""
+
+    def named(value: Column, names: dict[str, str]) -> Column:
+        return F.coalesce(F.get(F.map_values(F.map_filter(F.create_map(*[F.lit(x) for p in names.items() for x in p]), lambda k, _: k == value)), F.lit(0)), value)
+
+    hit = F.exists(products, lambda p: p["compileSdkVersion"].cast("string").isin(*SDK_NAMES) & p["runtimeOS"].isin(*RUNTIME_NAMES))
+    changed = F.transform(products, lambda p: p.withField("compileSdkVersion", F.lit(None).cast("string")).withField("compatibleSdkVersion", named(p["compatibleSdkVersion"].cast("string"), SDK_NAMES)).withField("runtimeOS", named(p["runtimeOS"], RUNTIME_NAMES)))
+    kept = F.transform(products, lambda p: p.withField("compileSdkVersion", p["compileSdkVersion"].cast("string")).withField("compatibleSdkVersion", p["compatibleSdkVersion"].cast("string")))
     return F.when(hit, changed).otherwise(kept)
 
 

@@ -19,8 +19,8 @@ from siltloom.functions.code import decode
 from siltloom.functions.html import numbered
 
 #: Folders that are pruned from a walk and those that hold UI sources.
-PRUNED = ("build", "oh_modules", "node_modules")
-UI_FOLDERS = ("pages", "component", "components", "view", "views")
+PRUNED = ("build", "oh_modules")
+UI_FOLDERS = ("pages", "component")
 
 
 def source_files(spark: SparkSession, root: str, pattern: str = "*.ets", stream: bool = False) -> DataFrame:
@@ -33,9 +33,9 @@ def source_files(spark: SparkSession, root: str, pattern: str = "*.ets", stream:
 
 
 def ui_sources(files: DataFrame) -> DataFrame:
-    """Files of the UI folders, outside pruned folders."""
+    """Files of folders whose names begin like the UI folders, outside pruned folders."""
     outside = ~F.col("path").rlike("/(" + "|".join(PRUNED) + ")/")
-    return files.where(outside & F.col("path").rlike("/main/ets/(" + "|".join(UI_FOLDERS) + ")/"))
+    return files.where(outside & F.col("path").rlike("/main/ets/(" + "|".join(UI_FOLDERS) + ")"))
 
 
 def layout_files(files: DataFrame) -> DataFrame:

@@ -181,3 +181,8 @@ def test_table_functions(spark):
     for call in ("source_functions(p.content)", "source_variables(p.content)", "source_declarations(p.content)"):
         assert spark.sql(f"SELECT f.* FROM pages_of_test p, LATERAL {call} f").count() > 0
     spark.sql("SELECT f.* FROM pages_of_test p, LATERAL page_examples(p.content) f").count()
+
+
+def test_folder_names(spark):
+    got = [(one(spark, T.folder_prefix, n), one(spark, T.folder_number, n)) for n in ("a_12", "a", "a_b_3", "a_x")]
+    assert got == [("a", 12), ("a", 0), ("a_b", 3), ("a_x", 0)]

@@ -56,9 +56,10 @@ def test_roots_ready_and_products(spark):
     assert sorted(r.root for r in relational.project_roots(df).collect()) == ["a", "d/e"]
     ready = spark.createDataFrame([("2", "ets"), ("2", "txt"), ("10", "ets"), ("10", "txt"), ("10", "json"), ("x", "ets"), ("1", "ets"), ("1", "txt")], "folder string, ext string")
     assert [r.folder for r in relational.ready_folders(ready).collect()] == [1, 2]
-    products = spark.createDataFrame([([("a", "12", "x", "OpenHarmony"), ("b", "9", "y", "z")],), ([("a", "9", "x", "z")],)], "p array<struct<name:string,compileSdkVersion:string,compatibleSdkVersion:string,runtimeOS:string>>")
+    products = spark.createDataFrame([([("a", "12", "10", "OpenHarmony"), ("b", "9", "y", "z")],), ([("a", "9", "x", "z")],)], "p array<struct<name:string,compileSdkVersion:string,compatibleSdkVersion:string,runtimeOS:string>>")
     got = [r.q for r in products.select(relational.rewrite_products(F.col("p")).alias("q")).collect()]
-    assert {x.runtimeOS for x in got[0]} == {"HarmonyOS"} and got[1][0].runtimeOS == "z"
+    assert [tuple(x) for x in got[0]] == [("a", None, "4.0.0(10)", "HarmonyOS"), ("b", None, "y", "z")]
+    assert [tuple(x) for x in got[1]] == [("a", "9", "x", "z")]
 
 
 def test_last_declaration_and_siblings(spark):
