@@ -3,8 +3,9 @@
 Texts are sized in tokens; one larger than a container is cut into full containers and a rest, nothing else is ever
 cut.  The items are dealt to shards of about SHARD items by a hash of their key, and each shard is an inverted index
 of its own.  In a shard the largest unused item is the seed of a container: the BM25 scores of its terms rank the unused
-items, which fill the window greedily in that order, and the room left is closed with the largest items that still
-fit.  Items of containers that stay more than LOOSE empty are dealt again, to fewer shards, and packed once more.
+items, which fill the window greedily in that order as long as the room behind them stays wide or can be closed
+exactly.  The room left is closed by one item or two of exactly its size where there are such, else by the largest
+items that still fit.  Items of containers that stay more than LOOSE empty are dealt again, to fewer shards, and packed once more.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from siltloom.common import durable, map_rows
 from siltloom.llm import tokens
 
-CAPACITY, SHARD, LOOSE = 2048, 4000, 0.02
+CAPACITY, SHARD, LOOSE, WIDE = 2048, 4000, 0.005, 256
 K1, B = 1.2, 0.75
 _TERM = re.compile(r"[a-z0-9_]{3,}|[぀-ヿ㐀-鿿가-힣]{2}|[^\W\d_a-z]{3,}")
 
@@ -70,8 +71,28 @@ def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY) -> l
         by_size.setdefault(int(sizes[i]), []).append(i)
     present = sorted(by_size)
 
+    left = np.bincount(sizes, minlength=capacity + 1)  # unused items by size
+
     def take(i: int) -> None:
         used[i] = True
+        left[sizes[i]] -= 1
+
+    def unused(size: int) -> int:
+        stack = by_size[size]
+        while used[stack[-1]]:
+            stack.pop()
+        return stack[-1]
+
+    def closing(room: int) -> list[int]:
+        """Sizes of one or two unused items that fill the room exactly, the larger first; [] where there are none."""
+        if left[room]:
+            return [room]
+        half = room // 2
+        large = np.flatnonzero((left[half + 1 : room] > 0) & (left[room - half - 1 : 0 : -1] > 0))
+        if len(large):
+            a = half + 1 + int(large[-1])
+            return [a, room - a]
+        return [half, half] if room % 2 == 0 and left[half] >= 2 else []
 
     def largest(room: int) -> int:
         at = bisect_right(present, room) - 1
@@ -103,12 +124,24 @@ def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY) -> l
                 score[used | (sizes > room)] = 0
                 near = np.flatnonzero(score)
                 for i in near[np.lexsort((near, -score[near]))]:
-                    if sizes[i] <= room:
+                    behind = room - int(sizes[i])
+                    if behind < 0:
+                        continue
+                    left[sizes[i]] -= 1
+                    fits = behind == 0 or behind >= WIDE or bool(closing(behind))
+                    left[sizes[i]] += 1
+                    if fits:
                         box.append(int(i))
                         take(int(i))
-                        room -= int(sizes[i])
+                        room = behind
                         if room < least:
                             break
+        if room >= least:
+            for size in closing(room):
+                i = unused(size)
+                take(i)
+                box.append(i)
+                room -= size
         while room >= least:
             i = largest(room)
             if i < 0:
