@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from siltloom.common import durable
 
-K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 3, 64, 500_000
+K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 3, 64, 200_000
 
 
 def triple_sets(texts: DataFrame) -> DataFrame:
@@ -89,10 +89,12 @@ def similar_classes(texts: DataFrame, prints: DataFrame, firsts: DataFrame, thre
     """
     found = durable(candidates(prints))
     ends = found.select(F.col("a").alias("class_id")).unionByName(found.select(F.col("b").alias("class_id"))).distinct()
-    keys = durable(firsts.join(ends, "class_id", "left_semi").select("class_id", "source_table", "row_id"))
+    row = F.xxhash64("source_table", "row_id").alias("__row")
+    keys = durable(firsts.join(ends, "class_id", "left_semi").select(row, "class_id", F.col("row_id").alias("__own")))
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    needed = durable(triple_sets(texts.join(keys, ["source_table", "row_id"])).dropDuplicates(["class_id"]))
+    chosen = texts.withColumn("__row", row).join(keys, "__row").where("row_id = __own").drop("__row", "__own")
+    needed = durable(triple_sets(chosen).dropDuplicates(["class_id"]))
     left = needed.select(F.col("class_id").alias("a"), F.col("triples").alias("ta"), F.col("source_table").alias("sa"))
     right = needed.select(F.col("class_id").alias("b"), F.col("triples").alias("tb"), F.col("source_table").alias("sb"))
     both = found.join(left, "a").join(right, "b").where("sa = sb")
@@ -106,6 +108,7 @@ def similar_pairs(texts: DataFrame, threshold: float = 0.7) -> DataFrame:
     ``texts`` has source_table, row_id (unique within its table) and text.  Rows with equal sets are pairs too; rows
     without a triple are in none.
     """
+    texts = texts.select("source_table", "row_id", "text")
     prints = durable(fingerprints(texts))
     firsts = durable(representatives(prints))
     members = prints.select("source_table", "row_id", "class_id")
@@ -123,6 +126,7 @@ def groups(texts: DataFrame, threshold: float = 0.7) -> DataFrame:
     group_id is the smallest class id of the group, links the number of other classes its class is like.
     Labels travel along the links until none changes, each round a join and an aggregate on the class, cut by checkpoint.
     """
+    texts = texts.select("source_table", "row_id", "text")
     prints = durable(fingerprints(texts))
     members = prints.select("source_table", "row_id", "class_id")
     found = durable(similar_classes(texts, prints, durable(representatives(prints)), threshold).select("a", "b"))

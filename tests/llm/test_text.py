@@ -204,6 +204,13 @@ def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
     assert all((label[a] == label[b]) == (root(a) == root(b)) for a in keys for b in keys)
 
 
+def test_near_duplicates_with_clashing_columns(spark):
+    data = [("t", i, "a b c d e f g h", 5, [1], "x") for i in range(3)]
+    df = spark.createDataFrame(data, "source_table string, row_id long, text string, class_id int, triples array<int>, label string")
+    assert sorted(tuple(r) for r in neardup.similar_pairs(df).collect()) == [("t", 0, 1), ("t", 0, 2), ("t", 1, 2)]
+    assert len({r.group_id for r in neardup.groups(df).collect()}) == 1
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "source_table string, row_id long, text string")
     assert neardup.similar_pairs(df).count() == 0 and neardup.groups(df).count() == 0
@@ -228,7 +235,7 @@ def test_neighbours_go_together():
 
 def test_containers(spark):
     data = [(i, "word " * (i * 37 % 900)) for i in range(60)] + [(100, "long text " * 3000), (101, None), (102, ""), (103, "same text"), (104, "same text")]
-    df = spark.createDataFrame(data, "doc_id long, text string")
+    df = spark.createDataFrame([(*r, 1, "x") for r in data], "doc_id long, text string, tokens int, container_id string")
     placed = packing.containers(df, shard=16).collect()
     sizes = {k: len(tokens.encode(t)) for k, t in data}
     per_doc, per_box = {}, {}
