@@ -35,12 +35,28 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
+    """The same rows over all cores where the input is small and lies in fewer files than there are cores.
+
+    One small file is one task, however costly the work per row.  Larger inputs are split by the scan itself and stay as
+    they are, so nothing is shuffled at scale.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < cores * bytes_per_core and 0 < len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str | StructType, block: int = 4096) -> DataFrame:
     """Each partition's rows, as tuples in column order, through ``fn``; its tuples become rows of ``schema``.
 
     Rows come and go in Arrow batches (mapInArrow), never one by one.  ``fn`` gets one iterator over the whole
     partition, so it may keep state, and ``block`` result rows are sent at a time.
     """
+    df = spread(df)
     struct = _parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(struct)
 

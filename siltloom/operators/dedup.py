@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltloom.common import durable
+from siltloom.common import durable, spread
 from siltloom.functions import similarity
 
 
@@ -125,7 +125,7 @@ def simhash_column(text: Column) -> Column:
 
 def simhash_edges(df: DataFrame, key: str = "id", text: str = "text", distance: int = 3) -> DataFrame:
     """(earlier, later) within ``distance`` bits: signatures that close share one of distance+1 bands whole."""
-    signed = durable(df.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), simhash_column(F.col(text)).alias("sig")))
+    signed = durable(spread(df.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("id"), simhash_column(F.col(text)).alias("sig")))
     # equal signatures are linked to their first row only, so that a hot one gives no square of pairs
     firsts = signed.groupBy("sig").agg(F.min("id").alias("id"))
     same = signed.join(firsts.withColumnRenamed("id", "earlier"), "sig").where("id > earlier").select("earlier", F.col("id").alias("later"))
@@ -142,7 +142,7 @@ def simhash_dedup(df: DataFrame, key: str = "id", text: str = "text", distance:
 
     Rows of one signature stand or fall with the first of them, so they take its links.
     """
-    signed = durable(df.where(F.col(text).isNotNull()).select(F.col(key), simhash_column(F.col(text)).alias("sig")))
+    signed = durable(spread(df.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key), simhash_column(F.col(text)).alias("sig")))
     firsts = signed.groupBy("sig").agg(F.min(key).alias(key))
     edges = simhash_edges(df.join(firsts.select(key), key, "left_semi"), key, text, distance)
     kept = greedy(firsts, edges, key)
