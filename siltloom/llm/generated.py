@@ -6,7 +6,8 @@ and the file's own words and path say is added up as evidence:
 * generated: rules of the abstract tokens cover nearly all of the file, or its head or path names a tool;
 * packed: one-letter names and next to no blanks;
 * blob: the file is one literal whose characters a grammar hardly shortens, or a bare table;
-* third party: its head or path says so, or long rules of its own tokens recur in many repositories.
+* third party: its head or path says so, or runs of its own tokens recur in many repositories or in a file whose head or
+  path says so.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ class Signs:
     blanks: float  # share of blanks
     short: float  # share of names of one or two letters
     tokens: int
-    long_rules: list[int]  # hashes of its own long token runs
+    long_rules: list[int]  # hashes of its own token runs, one from each statement on
 
 
 def signs(path: str | None, text: str | None) -> Signs:
@@ -144,14 +145,22 @@ def signs(path: str | None, text: str | None) -> Signs:
     return Signs(where, head, cover, ratio, longest / chars, data, dense, calls, sum(c in " \t\r\n" for c in text) / max(1, len(text)), sum(s <= 2 for s in names) / max(1, len(names)), n, _long_runs(text, x))
 
 
-def _long_runs(text: str, x, width: int = 48) -> list[int]:
-    """Hashes of the file's token runs between statement ends, joined to ``width`` tokens or more."""
-    out, run = [], []
-    for i, k in enumerate(x.kind):
-        run.append(text[x.start[i] : x.end[i]])
-        if k in (";", "}") and len(run) >= width:
-            out.append(int.from_bytes(hashlib.blake2b("\x00".join(run).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
-            run = []
+def _long_runs(text: str, x, width: int = 24) -> list[int]:
+    """Hashes of the file's token runs: from every statement's begin to the first statement end ``width`` tokens on or more.
+
+    Every statement begins a run, so runs are aligned again right behind an insertion.  A text of fewer tokens has none.
+    """
+    words = [text[a:b] for a, b in zip(x.start, x.end)]
+    ends = [i + 1 for i, k in enumerate(x.kind) if k in (";", "}")]
+    if words and (not ends or ends[-1] != len(words)):
+        ends.append(len(words))
+    out, at = [], 0
+    for begin in [0, *ends]:
+        while at < len(ends) and ends[at] - begin < width:
+            at += 1
+        if at == len(ends):
+            break
+        out.append(int.from_bytes(hashlib.blake2b("\x00".join(words[begin : ends[at]]).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
     return out
 
 

@@ -195,6 +195,25 @@ def test_shared_runs_flag_vendoring(spark):
     assert code_ops.not_handmade(df.where("record_id between 10 and 19 or record_id < 2")).count() == 0
 
 
+def test_silent_copies_of_known_third_party_code(spark):
+    library = "".join(f"export function l{i}(a: number, b: string): string {{\n  const c = this.find(a, '{i}x', {i});\n  this.log(b, c);\n  return c + b;\n}}\n" for i in range(8))
+    short = "export function pad(a: string, n: number): string {\n  return a.length < n ? pad('0' + a, n) : a;\n}\n"
+    inserted = library.replace("  this.log(b, c);\n  return c + b;\n}\nexport function l3", "  this.log(b, c);\n  this.extra(a);\n  return c + b;\n}\nexport function l3")
+    hand = "export function mine(a: number): number {\n  const b = this.other(a, 1, 2);\n  return b > 1 ? b : a + this.third(b);\n}\n"
+    known = [(i, i, f"projects/p{i}/oh_modules/lib/a.ts", library + short) for i in range(2)] + [(2, 2, "projects/p2/oh_modules/pad/a.ts", short)]
+    rows = [*known, (10, 3, "projects/p3/utils/a.ts", library), (11, 4, "projects/p4/utils/a.ts", inserted), (12, 5, None, short), (13, 6, None, hand), (14, 7, None, hand)]
+    df = spark.createDataFrame(rows, "record_id long, repo_id long, file_path string, original_code string")
+    assert sorted(r.record_id for r in code_ops.not_handmade(df).collect()) == [0, 1, 2, 10, 11, 12]
+
+
+def test_runs_are_counted_over_all_rows_and_realigned(spark):
+    body = [f"  const b{i} = this.find(a, '{i}x', [{i}, 1, 2]);\n  this.run(b{i}.name, b{i}.size + {i}, a);\n" for i in range(12)]
+    text = lambda at: "function f(a: number) {\n" + "".join(body[:at]) + f"  this.own{at}(a, {at});\n" + "".join(body[at:]) + "}\n"
+    rows = [(i, i, "projects/p/gen/a.ts" if i < 4 else None, text(i + 2)) for i in range(5)]
+    df = spark.createDataFrame(rows, "record_id long, repo_id long, file_path string, original_code string")
+    assert {r.record_id: r.kind for r in code_ops.not_handmade(df).collect()} == {0: "generated", 1: "generated", 2: "generated", 3: "generated", 4: "vendored"}
+
+
 def test_operators_on_odd_tables(spark):
     schema = "source_table string, row_id long, file string, text string, lang string, kind string"
     empty = spark.createDataFrame([], schema)
