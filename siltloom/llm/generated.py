@@ -3,7 +3,8 @@
 Each file's tokens are reduced to a Re-Pair grammar (frequent pairs become rules, in rounds).  What the grammar
 and the file's own words and path say is added up as evidence:
 
-* generated: rules of the abstract tokens cover nearly all of the file, or its head or path names a tool;
+* generated: rules of the abstract tokens cover nearly all of the file and one of them, used over and over, a large part;
+  or its head or path names a tool;
 * packed: one-letter names and next to no blanks;
 * blob: the file is one literal whose characters a grammar hardly shortens, or a bare table;
 * third party: its head or path says so, or runs of its own tokens recur in many repositories or in a file whose head or
@@ -95,6 +96,8 @@ class Signs:
     head: str
     cover: float  # share of the tokens that the final sequence's rules of 8 tokens or more stand for
     ratio: float  # (final sequence + 2 per rule) / tokens
+    use: int  # how often the most used rule of 8 tokens or more was put in
+    share: float  # the greatest share of the tokens that one rule of 8 tokens or more stands for, all its uses together
     literal: float  # share of the characters in the longest literal
     data: float  # share of the characters in literals and numbers
     dense: float  # how little a grammar over its characters shortens the longest literal
@@ -131,6 +134,8 @@ def signs(path: str | None, text: str | None) -> Signs:
     size = expansions(rules)
     cover = sum(size[s] for s in last if size.get(s, 1) >= 8) / max(1, n)
     ratio = (len(last) + 2 * len(rules)) / max(1, n)
+    use = max((used[r] for r in rules if size[r] >= 8), default=0)
+    share = max((used[r] * size[r] for r in rules if size[r] >= 8), default=0) / max(1, n)
     lengths = [b - a for a, b in x.strings]
     longest = max(lengths, default=0)
     dense = 0.0
@@ -142,7 +147,7 @@ def signs(path: str | None, text: str | None) -> Signs:
     data = (sum(b - a for a, b in x.strings) + sum(x.end[i] - x.start[i] + 1 for i, k in enumerate(x.kind) if k == "num")) / chars
     calls = sum(k in ("(", "if", "for", "while", "switch", "return", "function", "=>", "class") for k in x.kind)
     names = [x.end[i] - x.start[i] for i, k in enumerate(x.kind) if k == "id" and not (i and x.kind[i - 1] in (".", "?."))]
-    return Signs(where, head, cover, ratio, longest / chars, data, dense, calls, sum(c in " \t\r\n" for c in text) / max(1, len(text)), sum(s <= 2 for s in names) / max(1, len(names)), n, _long_runs(text, x))
+    return Signs(where, head, cover, ratio, use, share, longest / chars, data, dense, calls, sum(c in " \t\r\n" for c in text) / max(1, len(text)), sum(s <= 2 for s in names) / max(1, len(names)), n, _long_runs(text, x))
 
 
 def _long_runs(text: str, x, width: int = 24) -> list[int]:
@@ -176,6 +181,7 @@ def kind(s: Signs) -> str | None:
         return "blob"
     if s.tokens >= 80 and s.short >= 0.6 and s.blanks <= 0.08:
         return "packed"
-    if s.tokens >= 120 and s.cover >= 0.97 and s.calls == 0:
+    # of 2,754 files of sf0.1 without other signs none has cover above 0.76, a ratio below 0.29 or a rule used over 10 times
+    if s.tokens >= 120 and (s.cover >= 0.97 and s.calls == 0 or s.cover >= 0.8 and s.ratio <= 0.35 and s.use >= 16 and s.share >= 0.4):
         return "generated"
     return None

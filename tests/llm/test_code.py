@@ -185,6 +185,15 @@ def test_kinds():
     assert kind(None, None) is None and kind("", "") is None
 
 
+def test_repeated_code_is_generated_without_banner_or_path():
+    names = [f"field{c}" for c in "abcdefghijklmnopqrstuvwx"]
+    accessors = "export class Row {\n" + "".join(f"  get {n}(): string {{\n    return this.row.text('{n}', {i});\n  }}\n" for i, n in enumerate(names)) + "}\n"
+    encoder = "export function encode(m: Message, w: Writer): Writer {\n" + "".join(f"  if (m.{n} !== undefined) {{\n    w.uint32({8 * i + 10}).string(m.{n});\n  }}\n" for i, n in enumerate(names)) + "  return w;\n}\n"
+    few = "export class Row {\n" + "".join(f"  get {n}(): string {{\n    return this.row.text('{n}', {i});\n  }}\n" for i, n in enumerate(names[:5])) + "  find(key: string): Row | null {\n    for (const row of this.rows) {\n      if (row.name === key && !row.hidden) {\n        return row;\n      }\n    }\n    return null;\n  }\n}\n"
+    got = [generated.kind(generated.signs("projects/p/entry/src/main/ets/model/Row.ets", t)) for t in (accessors, encoder, few)]
+    assert got == ["generated", "generated", None]
+
+
 def test_shared_runs_flag_vendoring(spark):
     hand = "function f%d(a: string) { return a + %d; }"
     shared = "".join(f"class L{i} {{ m(a: number) {{ const b{i} = this.find(a, '{i}x', [{i}, 1, 2]); if (b{i}) {{ this.run(b{i}.name, b{i}.size + {i}, () => {{ return {i}; }}); }} while (a > {i}) {{ a = a - {i}; this.log('{i}y', a, b{i}, {{ k: {i} }}) }} }} }}\n" for i in range(6))
