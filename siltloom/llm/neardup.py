@@ -4,8 +4,10 @@ A text is the set of hashes of its triples of consecutive words.  Its fingerprin
 smallest of the set's hashes under one of T orders.  Two fingerprints within the radius (2d elements apart) meet
 halfway: each emits all variants that leave out d of its k elements, and both emit the common part.  Variants are
 shuffled, pairs that collide are deduplicated and verified on the whole sets, so no pair below the threshold is given.
-With k=6, d=2 and T=3 a pair of likeness 0.7 is missed with probability below 0.003, one of 0.75 below 0.0007; pairs of
-sets of eight triples or fewer are never missed.
+With k=6, d=2 and T=5 a pair of likeness 0.7 is missed with probability below 0.0012.  That is where one text contains
+the other: of the k smallest of the larger set four must lie in the smaller one, which fails with probability 0.256 per
+order, and 0.256**5 = 0.0011.  Where the differences are split evenly fewer are missed.
+Pairs of sets of eight triples or fewer are never missed.
 
 Texts with equal sets form a class first; only class representatives are fingerprinted.
 """
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from siltloom.common import durable
 
-K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 3, 64, 200_000
+K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 5, 64, 200_000
 
 
 def triple_sets(texts: DataFrame) -> DataFrame:

@@ -204,6 +204,15 @@ def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
     assert all((label[a] == label[b]) == (root(a) == root(b)) for a in keys for b in keys)
 
 
+def test_near_duplicates_that_contain_the_other(spark):
+    pairs = 3000
+    data = [("t", 2 * p + side, " ".join(f"p{p}w{i}" for i in range(size + 2))) for p in range(pairs) for side, size in ((0, 70), (1, 100))]
+    df = spark.createDataFrame(data, "source_table string, row_id long, text string")
+    got = {(r.row_a, r.row_b) for r in neardup.similar_pairs(df).collect()}
+    assert got <= {(2 * p, 2 * p + 1) for p in range(pairs)}
+    assert len(got) >= 0.997 * pairs
+
+
 def test_near_duplicates_with_clashing_columns(spark):
     data = [("t", i, "a b c d e f g h", 5, [1], "x") for i in range(3)]
     df = spark.createDataFrame(data, "source_table string, row_id long, text string, class_id int, triples array<int>, label string")
