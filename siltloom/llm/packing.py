@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +25,19 @@ from siltloom.common import durable, map_rows
 from siltloom.llm import tokens
 
 CAPACITY, SHARD, LOOSE, WIDE = 2048, 4000, 0.005, 256
+#: Bits of a packed term that hold its frequency.
+TF_BITS = 31
 K1, B = 1.2, 0.75
 _TERM = re.compile(r"[a-z0-9_]{3,}|[぀-ヿ㐀-鿿가-힣]{2}|[^\W\d_a-z]{3,}")
 
 
 def terms(text: str) -> list[int]:
-    """The distinct terms of a text as numbers: words, and pairs of signs in unspaced scripts."""
-    return sorted({zlib.crc32(t.encode("utf-8", "replace")) for t in _TERM.findall(text.lower())})
+    """The distinct terms of a text, words and pairs of signs in unspaced scripts: term number << TF_BITS | frequency."""
+    found: Counter = Counter(_TERM.findall(text.lower()))
+    numbers: Counter = Counter()
+    for t, n in found.items():
+        numbers[zlib.crc32(t.encode("utf-8", "replace"))] += n
+    return sorted(t << TF_BITS | n for t, n in numbers.items())
 
 
 def items(documents: DataFrame, capacity: int = CAPACITY, path: str = tokens.VOCABULARY) -> DataFrame:
@@ -51,20 +58,29 @@ def items(documents: DataFrame, capacity: int = CAPACITY, path: str = tokens.VOC
     return map_rows(documents.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, part int, start int, tokens int, terms array<long>", block=1024)
 
 
-def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY) -> list[list[int]]:
-    """Containers as lists of item numbers, for items of 1 to ``capacity`` tokens with their terms."""
+def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY, tf: list[np.ndarray] | None = None) -> list[list[int]]:
+    """Containers as lists of item numbers, for items of 1 to ``capacity`` tokens with their terms and, where given, their frequencies."""
     n = len(sizes)
     if n == 0:
         return []
-    lengths = np.array([len(t) for t in of], dtype=np.float64)
-    flat = np.concatenate(of) if n else np.zeros(0)
-    owner = np.repeat(np.arange(n), lengths.astype(int))
+    flat = np.concatenate(of)
+    often = np.concatenate(tf).astype(np.float64) if tf is not None else np.ones(len(flat))
+    owner = np.repeat(np.arange(n), [len(t) for t in of])
+    lengths = np.bincount(owner, weights=often, minlength=n)
     order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
+    flat, owner, often = flat[order], owner[order], often[order]
     words, begin = np.unique(flat, return_index=True)
     end = np.append(begin[1:], len(flat))
     idf = np.log(1 + (n - (end - begin) + 0.5) / (end - begin + 0.5))
-    norm = (K1 + 1) / (1 + K1 * (1 - B + B * lengths / max(1.0, lengths.mean())))
+    norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean()))
+    weight = np.repeat(idf, end - begin) * often * (K1 + 1) / (often + norm[owner])
+    # the postings of terms that more than a quarter of the items hold are added up as whole rows
+    wide = np.flatnonzero(end - begin > max(2, n // 4))
+    row_of = np.full(len(words), -1)
+    row_of[wide] = np.arange(len(wide))
+    rows = np.zeros((len(wide), n))
+    for at, k in enumerate(wide):
+        rows[at, owner[begin[k] : end[k]]] = weight[begin[k] : end[k]]
     used = np.zeros(n, dtype=bool)
     by_size: dict[int, list[int]] = {}
     for i in range(n - 1, -1, -1):
@@ -117,23 +133,30 @@ def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY) -> l
         box, room = [seed], capacity - int(sizes[seed])
         if room >= least and len(of[seed]):
             at = np.searchsorted(words, of[seed])
-            at = at[(end[at] - begin[at] > 1) & (end[at] - begin[at] <= max(2, n // 4))]
+            at = at[end[at] - begin[at] > 1]
             if len(at):
-                hits = np.concatenate([owner[begin[k] : end[k]] for k in at])
-                score = np.bincount(hits, weights=np.repeat(idf[at], end[at] - begin[at]), minlength=n) * norm
+                score = rows[row_of[at[row_of[at] >= 0]]].sum(axis=0)
+                at = at[row_of[at] < 0]
+                if len(at):
+                    hits = np.concatenate([owner[begin[k] : end[k]] for k in at])
+                    score += np.bincount(hits, weights=np.concatenate([weight[begin[k] : end[k]] for k in at]), minlength=n)
                 score[used | (sizes > room)] = 0
                 near = np.flatnonzero(score)
+                known: dict[int, bool] = {}  # whether an item of a size fits, until one is taken
                 for i in near[np.lexsort((near, -score[near]))]:
                     behind = room - int(sizes[i])
                     if behind < 0:
                         continue
-                    left[sizes[i]] -= 1
-                    fits = behind == 0 or behind >= WIDE or bool(closing(behind))
-                    left[sizes[i]] += 1
+                    fits = known.get(behind)
+                    if fits is None:
+                        left[sizes[i]] -= 1
+                        fits = known[behind] = behind == 0 or behind >= WIDE or bool(closing(behind))
+                        left[sizes[i]] += 1
                     if fits:
                         box.append(int(i))
                         take(int(i))
                         room = behind
+                        known.clear()
                         if room < least:
                             break
         if room >= least:
@@ -157,7 +180,8 @@ def _packed(dealt: DataFrame, capacity: int, level: int) -> DataFrame:
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "part"], ignore_index=True)
-        boxes = pack(frame["tokens"].to_numpy(), [np.asarray(t, dtype=np.int64) for t in frame["terms"]], capacity)
+        packed = [np.asarray(t, dtype=np.int64) for t in frame["terms"]]
+        boxes = pack(frame["tokens"].to_numpy(), [t >> TF_BITS for t in packed], capacity, [t & (1 << TF_BITS) - 1 for t in packed])
         box_of, fill = np.zeros(len(frame), dtype=np.int64), np.zeros(len(frame), dtype=np.int32)
         for k, box in enumerate(boxes):
             box_of[box] = k

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -242,6 +243,16 @@ def test_neighbours_go_together():
     assert sorted(packing.pack(sizes, of, 2000)[0]) == [0, 2, 4]
 
 
+def test_common_terms_and_frequencies_rank_neighbours():
+    sizes = np.array([1000, 500, 500, 500, 500, 900])
+    of = [np.array([1]), np.array([1, 2]), np.array([9, 10]), np.array([1, 2]), np.array([9, 11]), np.array([12])]
+    assert sorted(packing.pack(sizes, of, 2000)[0]) == [0, 1, 3]  # a half of the items hold term 1
+    of = [np.array([1, 5]), np.array([1, 2]), np.array([1, 2]), np.array([1, 2]), np.array([1, 2]), np.array([12])]
+    tf = [np.array([1, 1]), np.array([1, 8]), np.array([8, 1]), np.array([1, 8]), np.array([8, 1]), np.array([1])]
+    assert sorted(packing.pack(sizes, of, 2000, tf)[0]) == [0, 2, 4]
+    assert [(t >> packing.TF_BITS, t & 7) for t in packing.terms("word word other")] == sorted((zlib.crc32(w), n) for w, n in ((b"word", 2), (b"other", 1)))
+
+
 def test_containers(spark):
     data = [(i, "word " * (i * 37 % 900)) for i in range(60)] + [(100, "long text " * 3000), (101, None), (102, ""), (103, "same text"), (104, "same text")]
     df = spark.createDataFrame([(*r, 1, "x") for r in data], "doc_id long, text string, tokens int, container_id string")
