@@ -61,7 +61,7 @@ def greedy(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:
 
 
 def ratio_edges(df: DataFrame, key: str = "id", text: str = "text", threshold: float = 0.9, within: str | None = None) -> DataFrame:
-    """(earlier, later): pairs of different texts whose sequence ratio, the later as first argument, is above the threshold.
+    """(earlier, later): pairs of texts, equal ones too, whose sequence ratio, the later as first argument, is above the threshold.
 
     Two texts above the threshold have lengths within (2-t)/t of each other, so they lie in the same or in neighbouring
     length classes of that factor; shorter texts than 3 signs are compared exactly.  What meets is verified with lossless

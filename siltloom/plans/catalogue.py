@@ -124,9 +124,21 @@ def ratio_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.ratio_dedup(table(spark, d, "moderation_samples").select("sample_id", "text"), "sample_id", "text").select("sample_id")
 
 
+@query()
+def ratio_dedup_units(spark: SparkSession, d: str) -> DataFrame:
+    """The functions kept of each file; every pair of a file whose lengths allow the ratio is compared."""
+    return dedup.ratio_dedup(table(spark, d, "function_info").select("unit_id", "file", "content"), "unit_id", "content", within="file").select("unit_id")
+
+
+@query()
+def comment_blind_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The functions kept of each file when their comments are left out of the comparison."""
+    return dedup.comment_blind_dedup(table(spark, d, "function_info").select("unit_id", "file", "content"), "unit_id", "content", within="file").select("unit_id")
+
+
 @query()
 def ratio_audit(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.audit(table(spark, d, "moderation_samples").dropDuplicates(["text"]), "sample_id", "text").select("earlier", "later", F.round("ratio", 6).alias("ratio"))
+    return dedup.audit(table(spark, d, "moderation_samples"), "sample_id", "text").select("earlier", "later", F.round("ratio", 6).alias("ratio"))
 
 
 # filters and projections

@@ -88,3 +88,16 @@ def test_perceptual_match(spark):
 def test_comment_blind(spark):
     df = spark.createDataFrame([(1, "a = 1; // first note of some length here"), (2, "a = 1; /* quite another remark */"), (3, "completely(different)"), (4, None)], "id long, code string")
     assert sorted(r.id for r in dedup.comment_blind_dedup(df).collect()) == [1, 3, 4]
+
+
+def test_ratio_queries_over_units_and_equal_texts(spark, monkeypatch):
+    from siltloom.plans import catalogue
+
+    body = "const a = this.find(key, 1); return a ? a.name : 'none of the names';"
+    units = [(1, "a.ets", f"f() {{ {body} }}"), (2, "a.ets", f"f() {{ {body}  }}"), (3, "b.ets", f"f() {{ {body} }}"), (4, "a.ets", f"f() {{ // {'words of a comment ' * 5}\n{body} }}"), (5, "a.ets", None), (6, None, f"f() {{ {body} }}")]
+    made = {"function_info": spark.createDataFrame(units, "unit_id long, file string, content string"), "moderation_samples": spark.createDataFrame([(1, "the same text"), (2, "the same text"), (3, "the same texts"), (4, None), (5, "other")], "sample_id long, text string")}
+    monkeypatch.setattr(catalogue, "table", lambda spark, d, name: made[name])
+    assert {r.unit_id for r in catalogue.ratio_dedup_units(spark, "").collect()} == {1, 3, 4, 5, 6}
+    assert {r.unit_id for r in catalogue.comment_blind_dedup(spark, "").collect()} == {1, 3, 5, 6}
+    assert [(r.earlier, r.later, r.ratio) for r in catalogue.ratio_audit(spark, "").collect()][0] == (1, 2, 1.0)
+    assert catalogue.ratio_audit(spark, "").count() == 3
