@@ -5,6 +5,8 @@ Recursion runs as a loop over frontiers: each round joins only the new nodes wit
 
 from __future__ import annotations
 
+from itertools import count
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +35,15 @@ def reference_edges(units: DataFrame, symbols: DataFrame) -> DataFrame:
     return named.where((F.coalesce(F.col("own"), F.lit("")) != F.col("name")) & (F.col("name") != base)).select(F.col("unit_id").alias("src"), "ref_type", F.col("name").alias("dst")).distinct()
 
 
-def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(root, node, depth): every node reachable from each root with its least depth, the root at 0; cycles end by themselves."""
+def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(root, node, depth): every node reachable from each root with its least depth, the root at 0; cycles end by themselves.
+
+    ``max_depth`` is for callers that ask for nodes up to a depth only.
+    """
     edges = durable(edges.select("src", "dst").distinct())
     seen = durable(roots.select(F.col("root"), F.col("root").alias("node"), F.lit(0).alias("depth")).distinct())
     frontier = seen
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         step = frontier.join(edges, frontier["node"] == edges["src"]).select("root", F.col("dst").alias("node")).distinct()
         frontier = durable(step.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         if not frontier.limit(1).count():

@@ -491,7 +491,7 @@ def import_edges(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def import_closure(spark: SparkSession, d: str) -> DataFrame:
     edges = graph.import_edges(_imports(spark, d), table(spark, d, "ets_file_analysis"))
-    return graph.closure(edges, edges.select(F.col("src").alias("root")).distinct(), max_depth=16)
+    return graph.closure(edges, edges.select(F.col("src").alias("root")).distinct())
 
 
 @query("SELECT DISTINCT u.unit_id AS src, 'import' AS ref_type, i.name AS dst FROM function_info u JOIN " + _IMPORTS_SQL + r" i USING (file) WHERE i.name <> '' AND contains(u.content, i.name) AND coalesce(u.name, '') <> i.name AND i.name <> regexp_extract(file, '([^/]*?)(?:\.[^./]*)?$', 1)")

@@ -220,3 +220,14 @@ def test_running_values_across_partitions(spark):
     assert got == {(g, o) for g, o, _ in rows if o <= 6}
     carried = relational.carried_forward(df, "g", "o", F.when(F.col("o") % 7 == 2, F.col("o")), "last").collect()
     assert all(r.last == (None if r.o < 2 else (r.o - 2) // 7 * 7 + 2) for r in carried) and len(carried) == len(rows)
+
+
+def test_import_closure_of_a_long_chain(spark, monkeypatch):
+    from siltloom.plans import catalogue
+
+    edges = spark.createDataFrame([(f"f{i}", f"f{i + 1}") for i in range(19)] + [("f19", "f17")], "src string, dst string")
+    monkeypatch.setattr(catalogue, "_imports", lambda spark, d: None)
+    monkeypatch.setattr(catalogue, "table", lambda spark, d, name: None)
+    monkeypatch.setattr(catalogue.graph, "import_edges", lambda imports, files: edges)
+    found = {r.node: r.depth for r in catalogue.import_closure(spark, "").where("root = 'f0'").collect()}
+    assert found == {f"f{i}": i for i in range(20)}
