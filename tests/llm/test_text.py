@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import tiktoken
 
 from siltloom.llm import abuse, abuse_ops, neardup, packing, pair_ops, pairs, tokens
 
@@ -126,19 +127,42 @@ def test_abuse_operators(spark):
 TEXTS = ["", "a", "Hello world, it's <|endoftext|> fine\n\n  x", "中文没有空格" * 50, "a" * 3000, "é́\U0001f600\x00", "x  \n\t y " * 200, "don't 123abc4,5" * 90]
 
 
-@pytest.mark.parametrize("block", [64, 300, 1 << 16])
-def test_transducer_equals_the_library(monkeypatch, block):
+@pytest.fixture(scope="module")
+def library():
+    """The public library with the same vocabulary; the transducer itself never asks it."""
+    return tiktoken.Encoding("test", pat_str=tokens.PATTERN, mergeable_ranks=tokens.merges(tokens.VOCABULARY).ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("block", [1, 3, 64, 1 << 16])
+def test_transducer_equals_the_library(monkeypatch, library, block):
     monkeypatch.setattr(tokens, "BLOCK", block)
-    monkeypatch.setattr(tokens, "RUN", block // 3)
     rng = random.Random(block)
-    texts = TEXTS + ["".join(rng.choice("ab 中é'1.\n") for _ in range(rng.randrange(900))) for _ in range(60)]
+    pool = "abc '\n\r\t  é漢字カタ가ру12٣²½_-.=*#😀👍’`%"
+    texts = TEXTS + ["".join(rng.choice(pool) * rng.choice([1, 1, 2, 7]) for _ in range(rng.randrange(400))) for _ in range(150)]
     for text in texts:
-        ids = tokens.encode(text)
-        assert ids == tokens.encoding().encode_ordinary(text)
+        ids = [i for part in tokens.stream(text, block=block) for i in part]
+        assert ids == library.encode_ordinary(text)
         assert tokens.decode(ids) == text
 
 
-def test_runner_emits_early_with_bounded_memory():
+@pytest.mark.parametrize("unit", ["a", " ", "=", "9", "漢", "\U0001f600", "ру", "the", "\n"])
+@pytest.mark.parametrize(("before", "behind"), [("", ""), ("\n\n", "\n\n"), ("it's ", "'s end")])
+def test_long_runs(library, unit, before, behind):
+    text = before + unit * (200_000 // len(unit)) + behind
+    assert tokens.encode(text) == library.encode_ordinary(text)
+
+
+def test_every_text_passes_the_automaton(library):
+    known = tokens.Pieces(tokens.VOCABULARY)
+    seen = 0
+    for text in ["harborLogView", " harborLogView", "地图的列表", "zz"]:
+        assert list(known[text]) == library.encode_ordinary(text)
+        assert known.runner.fed > seen
+        seen = known.runner.fed
+    assert known["harborLogView"] and known.runner.fed == seen  # remembered
+
+
+def test_runner_emits_early_with_bounded_memory(library):
     runner = tokens.Runner()
     text = ("tion" * 40 + "qxz" * 30) * 12
     out, most = [], 0
@@ -147,12 +171,12 @@ def test_runner_emits_early_with_bounded_memory():
         most = max(most, len(runner.tail))
     assert out and most <= 4 * runner.lookahead + 50
     out += runner.finish()
-    assert out == list(tokens.encoding()._encode_single_piece(text))
+    assert out == list(library._encode_single_piece(text))
 
 
-def test_document_ids(spark):
+def test_document_ids(spark, library):
     df = spark.createDataFrame([(1, None, [9]), (2, "", [9]), (3, "Hello world", [9])], "doc_id long, text string, ids array<int>")
-    assert {r.doc_id: r.ids for r in tokens.document_ids(df).collect()} == {1: [], 2: [], 3: tokens.encoding().encode_ordinary("Hello world")}
+    assert {r.doc_id: r.ids for r in tokens.document_ids(df).collect()} == {1: [], 2: [], 3: library.encode_ordinary("Hello world")}
 
 
 def jaccard_pairs(data, threshold=0.7):
