@@ -37,6 +37,7 @@ from siltloom.common import spread
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters that are read at a time (4 or more), and that a run may have before it goes on in a state of its own.
 BLOCK = 1 << 16
 #: Pieces and segments that are remembered at a time, and the longest that are.
 KNOWN, KNOWN_CHARS = 1 << 18, 48
