@@ -121,28 +121,28 @@ def parse_rates(units: DataFrame) -> DataFrame:
 
 
 def handmade_signs(records: DataFrame) -> DataFrame:
-    """(record_id, repo_id, kind, runs): what each file shows by itself, and the hashes of its token runs."""
+    """(record_id, repo_id, kind, rules): what each file shows by itself, and the hashes of the rules that equal texts share."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for key, repo, path, text in rows:
             s = generated.signs(path, text)
-            yield key, repo, generated.kind(s), sorted(set(s.long_rules))
+            yield key, repo, generated.kind(s), s.rules
 
-    return map_rows(records.select(F.col("record_id").cast("long"), F.col("repo_id").cast("long"), "file_path", "original_code"), run, "record_id long, repo_id long, kind string, runs array<long>")
+    return map_rows(records.select(F.col("record_id").cast("long"), F.col("repo_id").cast("long"), "file_path", "original_code"), run, "record_id long, repo_id long, kind string, rules array<long>")
 
 
 def not_handmade(records: DataFrame, min_repos: int = 5, cover: float = 0.6) -> DataFrame:
     """(record_id, kind): generated, packed and vendored files and blobs.
 
-    A file without signs of its own is third-party code when ``cover`` of its token runs occur in a file that is
-    third-party code by its own signs, or, of three runs at least, in ``min_repos`` repositories or more.  Repositories
-    are counted over all rows, those with signs too, with partial aggregation on (run, repository), so that a run that a
-    third of all files share is one row per repository.
+    A file without signs of its own is third-party code when ``cover`` of its rules (``generated.shared_rules``) occur in
+    a file that is third-party code by its own signs, or, of three rules at least, in ``min_repos`` repositories or more.
+    Repositories are counted over all rows, those with signs too, with partial aggregation on (rule, repository), so that a
+    rule that a third of all files share is one row per repository.
     """
     signs = durable(handmade_signs(records))
-    runs = signs.select("record_id", "repo_id", "kind", F.explode("runs").alias("run"), F.size("runs").alias("of"))
-    by_repo = runs.groupBy("run", "repo_id").agg(F.max(F.col("kind").eqNullSafe("vendored")).alias("known"))
-    shared = by_repo.groupBy("run").agg(F.count("*").alias("repos"), F.max("known").alias("known")).where((F.col("repos") >= min_repos) | F.col("known")).select("run", "known")
-    silent = runs.where("kind is null").join(shared, "run").groupBy("record_id").agg(F.count("*").alias("n"), F.count_if("known").alias("known"), F.max("of").alias("of"))
+    rules = signs.select("record_id", "repo_id", "kind", F.explode("rules").alias("rule"), F.size("rules").alias("of"))
+    by_repo = rules.groupBy("rule", "repo_id").agg(F.max(F.col("kind").eqNullSafe("vendored")).alias("known"))
+    shared = by_repo.groupBy("rule").agg(F.count("*").alias("repos"), F.max("known").alias("known")).where((F.col("repos") >= min_repos) | F.col("known")).select("rule", "known")
+    silent = rules.where("kind is null").join(shared, "rule").groupBy("record_id").agg(F.count("*").alias("n"), F.count_if("known").alias("known"), F.max("of").alias("of"))
     vendored = silent.where((F.col("known") >= cover * F.col("of")) | (F.col("of") >= 3) & (F.col("n") >= cover * F.col("of")))
     return signs.where("kind is not null").select("record_id", "kind").unionByName(vendored.select("record_id", F.lit("vendored").alias("kind")))

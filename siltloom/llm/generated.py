@@ -1,41 +1,50 @@
 """Source nobody wrote by hand: tool output, packed scripts, third-party copies and data kept as code.
 
-Each file's tokens are reduced to a Re-Pair grammar (frequent pairs become rules, in rounds).  What the grammar
-and the file's own words and path say is added up as evidence:
-
-* generated: rules of the abstract tokens cover nearly all of the file and one of them, used over and over, a large part;
-  or its head or path names a tool;
-* packed: one-letter names and next to no blanks;
-* blob: the file is one literal whose characters a grammar hardly shortens, or a bare table;
-* third party: its head or path says so, or runs of its own tokens recur in many repositories or in a file whose head or
-  path says so.
+Each file's tokens are reduced to grammars by replacing pairs (Re-Pair).  Every kind has a score from what the grammars
+show, and what the file's head and path say is added to it; from ``THRESHOLD`` on the file is of the kind:
+
+* generated: the rules of the abstract tokens cover nearly all of the file, shorten it much, and one of them, used over and
+  over, stands for a large part;
+* packed: next to no blanks and names of one or two letters;
+* blob: the file is one literal that a grammar over its characters hardly shortens, or a bare table that rules cover;
+* third party: its head or path says so, or the rules of its own tokens recur in many repositories or in a file known as
+  third-party code.  For these a second grammar is made whose pairs are chosen by the symbols' hashes alone
+  (``shared_rules``), so that the same text gives the same rules in every file.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
+
 from siltloom.llm.lexer import lex
 
+#: Scores add up; a file is of a kind from here on.
+THRESHOLD = 0.7
+#: What a path or a head is worth by itself: a sign that suffices, one that a little else must go with, a faint one.
+SURE, STRONG, FAINT = 0.7, 0.4, 0.3
 #: Path segments and file name forms of build output, packed files and third-party code.
-_PATH = re.compile(
-    r"(?:^|/)(?P<vendored>oh_modules|node_modules|third[_-]?party|vendor|vendors|vendored|bower_components|external|extern|deps|Pods|jspm_packages|libs?/[a-z][\w-]*-\d+(?:\.\d+)+|[\w-]+@\d+\.\d+[\w.]*)/"
-    r"|(?:^|/)(?P<generated>build|gen|generated|__generated__|autogen|proto_out|codegen_out|out|\.preview|intermediates|\.hvigor)/"
-    r"|(?P<generated2>\.(?:generated|gen|g|pb|autogen)\.\w+|_(?:pb|pb2|generated|gen)\.\w+|\.designer\.\w+)$"
-    r"|(?P<packed>\.min\.\w+|\.bundle\.\w+|[.-]min\.js|(?:^|/)dist/.*|\.[0-9a-f]{6,}\.(?:js|ts|mjs))$"
-)
-_HEAD_GENERATED = re.compile(
-    r"@generated|<auto-?generated|auto-?\s?generated|machine-?\s?(?:made|generated|written)|(?:code|file|class|module|source)s? (?:is |was |were |are )?(?:automatically )?(?:generated|produced|created|emitted) (?:automatically|by|from|at|with|using)|^\W*generated (?:automatically|by|from|at|with|using|code|file)|do not (?:edit|modify|change)|regenerate instead|changes will be lost|自动(?:生成|产生|创建|产出)|(?:由|用)\s*\S+\s*(?:生成|产生)|请勿(?:手动|手工)?(?:修改|编辑)|自動生成|automatisch (?:erzeugt|generiert)|généré automatiquement|generado automáticamente",
-    re.I | re.M,
-)
-_HEAD_VENDORED = re.compile(
-    r"third[- ]party|copied from|(?:taken|imported|forked|vendored|adapted) from|第三方|三方库|upstream|vendored|^/\*!.*(?:\bv?\d+\.\d+|licen[sc]e)|@license\s+\S+\s+v?\d|\(c\) the \S+ (?:contributors|authors)|@preserve|\b(?:MIT|BSD-\d|ISC|MPL)[- ](?:license|clause)",
-    re.I | re.M,
-)
-_HEAD_PACKED = re.compile(r"^/\*!?\s*\S+ bundle\s*\*/|webpackBootstrap|__webpack_require__|browserify|rollup", re.M)
+_PATHS = [
+    ("vendored", SURE, re.compile(r"(?:^|/)(?:oh_modules|node_modules|third[_-]?party|vendors?|vendored|bower_components|Pods|jspm_packages|libs?/[a-z][\w-]*-\d+(?:\.\d+)+|[\w-]+@\d+\.\d+[\w.]*)/")),
+    ("vendored", FAINT, re.compile(r"(?:^|/)(?:external|extern|deps)/")),
+    ("generated", STRONG, re.compile(r"\.(?:generated|gen|g|pb|autogen)\.\w+$|_(?:pb|pb2|generated|gen)\.\w+$|\.designer\.\w+$")),
+    ("generated", FAINT, re.compile(r"(?:^|/)(?:build|gen|generated|__generated__|autogen|proto_out|codegen_out|out|\.preview|intermediates|\.hvigor)/")),
+    ("packed", STRONG, re.compile(r"\.min\.\w+$|\.bundle\.\w+$|[.-]min\.js$|(?:^|/)dist/|\.[0-9a-f]{6,}\.(?:js|ts|mjs)$")),
+]
+#: What the first comments of such files say.
+_HEADS = [
+    ("generated", SURE, re.compile(r"@generated|<auto-?generated|auto-?\s?generated|machine-?\s?(?:made|generated|written)|(?:code|file|class|module|source)s? (?:is |was |were |are )?(?:automatically )?(?:generated|produced|created|emitted) (?:automatically|by|from|at|with|using)|^\W*generated (?:automatically|by|from|at|with|using|code|file)|自动(?:生成|产生|创建|产出)|(?:由|用)\s*\S+\s*(?:生成|产生)|自動生成|automatisch (?:erzeugt|generiert)|généré automatiquement|generado automáticamente", re.I | re.M)),
+    ("generated", STRONG, re.compile(r"do not (?:edit|modify|change)|regenerate instead|changes will be lost|请勿(?:手动|手工)?(?:修改|编辑)", re.I)),
+    ("vendored", SURE, re.compile(r"third[- ]party|(?:copied|taken|imported|forked|vendored|adapted) from \S+?[@ ]v?\d|第三方|三方库|^/\*!.*\bv?\d+\.\d+|@license\s+\S+\s+v?\d|\(c\) the \S+ contributors", re.I | re.M)),
+    ("vendored", FAINT, re.compile(r"(?:copied|taken|imported|forked|vendored|adapted) from|upstream|@preserve|^/\*!.*licen[sc]e|\b(?:MIT|BSD-\d|ISC|MPL)[- ](?:license|clause)", re.I | re.M)),
+    ("packed", SURE, re.compile(r"^/\*!?\s*\S+ bundle\s*\*/|webpackBootstrap|__webpack_require__|browserify|rollup", re.M)),
+]
+_TOP = re.compile(r"(?:\s*(?://[^\n]*(?:\n|\Z)|/\*.*?\*/|#[^\n]*\n|\"use strict\";?))+", re.S)
 
 
 def repair(seq: list[int], least: int = 3, rounds: int = 24) -> tuple[list[int], dict[int, tuple[int, int]], Counter]:
@@ -92,8 +101,7 @@ def expansions(rules: dict[int, tuple[int, int]]) -> dict[int, int]:
 class Signs:
     """What one file shows."""
 
-    path: str
-    head: str
+    said: dict[str, float]  # by kind, what the path and the head are worth together
     cover: float  # share of the tokens that the final sequence's rules of 8 tokens or more stand for
     ratio: float  # (final sequence + 2 per rule) / tokens
     use: int  # how often the most used rule of 8 tokens or more was put in
@@ -105,83 +113,115 @@ class Signs:
     blanks: float  # share of blanks
     short: float  # share of names of one or two letters
     tokens: int
-    long_rules: list[int]  # hashes of its own token runs, one from each statement on
+    rules: list[int]  # hashes of the rules that its own tokens share with equal texts
+
+
+def said(path: str | None, text: str) -> dict[str, float]:
+    """What the path and the first comments are worth, by kind; of each only the weightiest sign of a kind counts."""
+    out: dict[str, float] = {}
+    top = _TOP.match(text.lstrip("\ufeff \t\r\n"))
+    for signs_of, where in ((_PATHS, path or ""), (_HEADS, top[0] if top else "")):
+        best: dict[str, float] = {}
+        for kind, worth, pattern in signs_of:
+            if worth > best.get(kind, 0) and pattern.search(where):
+                best[kind] = worth
+        for kind, worth in best.items():
+            out[kind] = out.get(kind, 0) + worth
+    return out
 
 
 def signs(path: str | None, text: str | None) -> Signs:
     text = text or ""
-    where = ""
-    m = _PATH.search(path or "")
-    if m:
-        where = {"generated2": "generated"}.get(m.lastgroup, m.lastgroup)
-    head = ""
-    stripped = text.lstrip("﻿ \t\r\n")
-    top = re.match(r"(?:\s*(?://[^\n]*(?:\n|\Z)|/\*.*?\*/|#[^\n]*\n|\"use strict\";?))+", stripped, re.S)
-    if top:
-        t = top[0]
-        if _HEAD_PACKED.search(t):
-            head = "packed"
-        elif _HEAD_VENDORED.search(t):
-            head = "vendored"
-        elif _HEAD_GENERATED.search(t):
-            head = "generated"
     x = lex(text)
     n = len(x.kind)
     chars = max(1, len(text.strip()))
     code: dict[str, int] = {}
-    seq = [code.setdefault(k, len(code)) for k in x.kind]
-    last, rules, used = repair(seq)
+    last, rules, used = repair([code.setdefault(k, len(code)) for k in x.kind])
     size = expansions(rules)
-    cover = sum(size[s] for s in last if size.get(s, 1) >= 8) / max(1, n)
-    ratio = (len(last) + 2 * len(rules)) / max(1, n)
-    use = max((used[r] for r in rules if size[r] >= 8), default=0)
-    share = max((used[r] * size[r] for r in rules if size[r] >= 8), default=0) / max(1, n)
-    lengths = [b - a for a, b in x.strings]
-    longest = max(lengths, default=0)
+    long = [r for r in rules if size[r] >= 8]
+    longest = max(x.strings, key=lambda s: s[1] - s[0], default=(0, 0))
     dense = 0.0
-    if longest >= 200:
-        a, b = max(x.strings, key=lambda s: s[1] - s[0])
-        chars_seq = [ord(c) for c in text[a:b]]
-        end, rule2, _ = repair(chars_seq, 3, 6)
-        dense = (len(end) + 2 * len(rule2)) / len(chars_seq)
-    data = (sum(b - a for a, b in x.strings) + sum(x.end[i] - x.start[i] + 1 for i, k in enumerate(x.kind) if k == "num")) / chars
-    calls = sum(k in ("(", "if", "for", "while", "switch", "return", "function", "=>", "class") for k in x.kind)
+    if longest[1] - longest[0] >= 200:
+        signs_of = [ord(c) for c in text[longest[0] : longest[1]]]
+        end, more, _ = repair(signs_of, 3, 6)
+        dense = (len(end) + 2 * len(more)) / len(signs_of)
     names = [x.end[i] - x.start[i] for i, k in enumerate(x.kind) if k == "id" and not (i and x.kind[i - 1] in (".", "?."))]
-    return Signs(where, head, cover, ratio, use, share, longest / chars, data, dense, calls, sum(c in " \t\r\n" for c in text) / max(1, len(text)), sum(s <= 2 for s in names) / max(1, len(names)), n, _long_runs(text, x))
-
-
-def _long_runs(text: str, x, width: int = 24) -> list[int]:
-    """Hashes of the file's token runs: from every statement's begin to the first statement end ``width`` tokens on or more.
-
-    Every statement begins a run, so runs are aligned again right behind an insertion.  A text of fewer tokens has none.
+    return Signs(
+        said=said(path, text),
+        cover=sum(size[s] for s in last if size.get(s, 1) >= 8) / max(1, n),
+        ratio=(len(last) + 2 * len(rules)) / max(1, n),
+        use=max((used[r] for r in long), default=0),
+        share=max((used[r] * size[r] for r in long), default=0) / max(1, n),
+        literal=(longest[1] - longest[0]) / chars,
+        data=(sum(b - a for a, b in x.strings) + sum(x.end[i] - x.start[i] + 1 for i, k in enumerate(x.kind) if k == "num")) / chars,
+        dense=dense,
+        calls=sum(k in ("(", "if", "for", "while", "switch", "return", "function", "=>", "class") for k in x.kind),
+        blanks=sum(c in " \t\r\n" for c in text) / max(1, len(text)),
+        short=sum(s <= 2 for s in names) / max(1, len(names)),
+        tokens=n,
+        rules=shared_rules([text[a:b] for a, b in zip(x.start, x.end)]),
+    )
+
+
+def _mix(a: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of each number."""
+    a = (a ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    a = (a ^ (a >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return a ^ (a >> np.uint64(29))
+
+
+def shared_rules(words: list[str], width: int = 24) -> list[int]:
+    """The rules of ``width`` tokens or more of a pair grammar that is the same wherever the text is the same.
+
+    In each round every symbol is a left or a right one by a bit of its hash, and each left one with a right one behind it
+    becomes a rule, named by the hash of the two.  So equal texts have equal rules but at their ends, whatever stands
+    around them, and rules need no counting across files.  Equal neighbours, which no bit can tell apart, are taken
+    together first.  A rule that has reached ``width`` tokens is given and not built on.  Fewer words give none.
     """
-    words = [text[a:b] for a, b in zip(x.start, x.end)]
-    ends = [i + 1 for i, k in enumerate(x.kind) if k in (";", "}")]
-    if words and (not ends or ends[-1] != len(words)):
-        ends.append(len(words))
-    out, at = [], 0
-    for begin in [0, *ends]:
-        while at < len(ends) and ends[at] - begin < width:
-            at += 1
-        if at == len(ends):
-            break
-        out.append(int.from_bytes(hashlib.blake2b("\x00".join(words[begin : ends[at]]).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
-    return out
+    symbol = _mix(np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in words], dtype=np.uint64), len("siltloom"))
+    size = np.ones(len(symbol), dtype=np.int64)
+    with np.errstate(over="ignore"):
+        for turn in range(1, 64):
+            open_ = size < width
+            if len(symbol) < 2 or not open_.any():
+                break
+            same = np.append(False, (symbol[1:] == symbol[:-1]) & open_[1:] & open_[:-1])
+            if same.any():
+                first = np.flatnonzero(~same)
+                times = np.diff(np.append(first, len(symbol)))
+                total = np.add.reduceat(size, first)
+                symbol = np.where(times > 1, _mix(symbol[first] + times.astype(np.uint64), 3), symbol[first])
+                size, open_ = total, total < width
+            right = (_mix(symbol, 2 * turn + 1) >> np.uint64(63)).astype(bool)
+            pair = np.flatnonzero(~right[:-1] & right[1:] & open_[:-1] & open_[1:])
+            if len(pair):
+                symbol[pair] = _mix(_mix(symbol[pair], 5) + symbol[pair + 1], 7)
+                size[pair] += size[pair + 1]
+                symbol, size = np.delete(symbol, pair + 1), np.delete(size, pair + 1)
+    return np.unique(symbol[size >= width].view(np.int64)).tolist()
+
+
+def _ramp(x: float, low: float, high: float) -> float:
+    return min(1.0, max(0.0, (x - low) / (high - low)))
+
+
+def scores(s: Signs) -> dict[str, float]:
+    """The score of each kind; a text of fewer than 80 tokens has no grammar to speak of."""
+    shaped = s.tokens >= 80
+    # a few alike functions are no tool's output: how often the rule is used counts as a factor, full at ten uses
+    often = 0.5 + 0.5 * _ramp(math.log2(max(1, s.use)), 2.3, 3.3)
+    generated = often * (_ramp(s.cover, 0.5, 0.8) + _ramp(s.share, 0.2, 0.5) + _ramp(1 - s.ratio, 0.5, 0.7)) / 3 if shaped else 0.0
+    packed = 0.5 * _ramp(s.short, 0.3, 0.6) + 0.5 * _ramp(-s.blanks, -0.14, -0.08) if shaped else 0.0
+    blob = 0.0
+    if s.calls == 0:
+        # one literal that is nearly the whole file and does not shorten, or a table: data all through, one shape
+        blob = max(_ramp(s.literal, 0.4, 0.7) * _ramp(s.dense, 0.3, 0.5), _ramp(s.data, 0.25, 0.45) * _ramp(s.cover, 0.5, 0.8) if s.tokens >= 120 else 0.0)
+    base = {"generated": generated, "packed": packed, "blob": blob, "vendored": 0.0}
+    return {kind: score + s.said.get(kind, 0.0) for kind, score in base.items()}
 
 
 def kind(s: Signs) -> str | None:
-    """generated, packed, blob or vendored, None for hand-written source (an empty text has only its path)."""
-    if s.path and not (s.path == "packed" and s.tokens >= 40 and s.short < 0.3 and s.blanks > 0.08):
-        return s.path  # a name like Timer.min.ets says nothing against a text with ordinary names and lines
-    if s.head:
-        return s.head
-    if s.tokens and s.calls == 0 and (s.data >= 0.7 and (s.literal >= 0.7 and s.dense >= 0.5 or s.tokens >= 120 and s.cover >= 0.5) or s.data >= 0.45 and s.tokens >= 120 and s.cover >= 0.8):
-        return "blob"
-    if s.literal >= 0.8 and s.calls == 0:
-        return "blob"
-    if s.tokens >= 80 and s.short >= 0.6 and s.blanks <= 0.08:
-        return "packed"
-    # of 2,754 files of sf0.1 without other signs none has cover above 0.76, a ratio below 0.29 or a rule used over 10 times
-    if s.tokens >= 120 and (s.cover >= 0.97 and s.calls == 0 or s.cover >= 0.8 and s.ratio <= 0.35 and s.use >= 16 and s.share >= 0.4):
-        return "generated"
-    return None
+    """The kind of the highest score, None for hand-written source; of equal ones vendored, packed, blob, generated."""
+    found = scores(s)
+    best = max(("vendored", "packed", "blob", "generated"), key=found.__getitem__)
+    return best if found[best] >= THRESHOLD - 1e-9 else None

@@ -172,7 +172,10 @@ def test_kinds():
     assert kind("projects/p/entry/src/main/ets/generator/A.ets", hand) is None
     assert kind("projects/p/entry/src/main/ets/utils/Timer.min.ets", hand * 3) is None
     assert kind("projects/p/oh_modules/lib/src/A.ts", hand) == "vendored"
-    assert kind("projects/p/gen/A.g.ts", hand) == "generated"
+    assert kind("projects/p/gen/A.g.ts", hand) is None and kind("projects/p/external/A.ts", hand) is None  # folders alone
+    assert kind(None, "// push to upstream before release\n" + hand) is None
+    assert kind(None, "/*\n * Copyright (c) 2025 the project team\n * Licensed under the MIT License\n */\n" + hand) is None
+    assert kind("projects/p/gen/A.g.ts", "// do not edit\n" + hand) == "generated"  # two signs together
     assert kind(None, "// Code generated by tool 1.2. DO NOT EDIT.\n" + hand) == "generated"
     assert kind(None, "/*\n * Copyright (c) 2025 the project team\n * Licensed under the Apache License, Version 2.0\n */\n" + hand) is None
     assert kind(None, "/*! lib v1.2.3 | MIT License */\n" + hand) == "vendored"
@@ -192,6 +195,20 @@ def test_repeated_code_is_generated_without_banner_or_path():
     few = "export class Row {\n" + "".join(f"  get {n}(): string {{\n    return this.row.text('{n}', {i});\n  }}\n" for i, n in enumerate(names[:5])) + "  find(key: string): Row | null {\n    for (const row of this.rows) {\n      if (row.name === key && !row.hidden) {\n        return row;\n      }\n    }\n    return null;\n  }\n}\n"
     got = [generated.kind(generated.signs("projects/p/entry/src/main/ets/model/Row.ets", t)) for t in (accessors, encoder, few)]
     assert got == ["generated", "generated", None]
+    six = "export class Row {\n" + "".join(f"  get {n}(): string {{\n    return this.row.text('{n}', {i});\n  }}\n" for i, n in enumerate(names[:6])) + "}\n"
+    assert [generated.kind(generated.signs(p, six)) for p in ("projects/p/model/Row.ets", "projects/p/gen/Row.g.ts")] == [None, "generated"]
+
+
+def test_shared_rules_are_those_of_the_text_wherever_it_stands():
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(60)}" for _ in range(600)]
+    own = set(generated.shared_rules(words))
+    assert len(own) >= 8
+    moved = set(generated.shared_rules([f"x{i}" for i in range(200)] + words + ["y"] * 90))
+    assert len(own & moved) >= 0.8 * len(own)
+    assert len(own & set(generated.shared_rules(words[:300] + ["new", "words"] + words[300:]))) >= 0.7 * len(own)
+    assert not own & set(generated.shared_rules([f"v{rng.randrange(60)}" for _ in range(600)]))
+    assert generated.shared_rules([]) == [] and generated.shared_rules(["a"] * 23) == [] and len(generated.shared_rules(["a"] * 500)) == 1
 
 
 def test_shared_runs_flag_vendoring(spark):
@@ -216,9 +233,11 @@ def test_silent_copies_of_known_third_party_code(spark):
 
 
 def test_runs_are_counted_over_all_rows_and_realigned(spark):
-    body = [f"  const b{i} = this.find(a, '{i}x', [{i}, 1, 2]);\n  this.run(b{i}.name, b{i}.size + {i}, a);\n" for i in range(12)]
+    rng = random.Random(6)
+    forms = ["  const b{i} = this.find(a, '{i}x', [{i}, 1, 2]);\n", "  if (a > {i}) {{ this.run(b.name); }}\n", "  while (this.more{i}()) {{ a = a + {i} * b; c.push(a); }}\n", "  this.list{i}.forEach((x: string, k: number) => {{ this.show(x + k); }});\n", "  return{i}[a] = {{ k: {i}, v: `t${{a}}`, w: !b }};\n", "  let d{i}: number = b ? {i} : -a;\n"]
+    body = ["".join(rng.choice(forms).format(i=i) for _ in range(3)) for i in range(12)]
     text = lambda at: "function f(a: number) {\n" + "".join(body[:at]) + f"  this.own{at}(a, {at});\n" + "".join(body[at:]) + "}\n"
-    rows = [(i, i, "projects/p/gen/a.ts" if i < 4 else None, text(i + 2)) for i in range(5)]
+    rows = [(i, i, "projects/p/gen/a.pb.ts" if i < 4 else None, "// do not edit\n" * (i < 4) + text(i + 2)) for i in range(5)]
     df = spark.createDataFrame(rows, "record_id long, repo_id long, file_path string, original_code string")
     assert {r.record_id: r.kind for r in code_ops.not_handmade(df).collect()} == {0: "generated", 1: "generated", 2: "generated", 3: "generated", 4: "vendored"}
 
