@@ -7,6 +7,7 @@ texts give no rows, or the defined values stated below; repeated rows give repea
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -124,9 +125,10 @@ def handmade_signs(records: DataFrame) -> DataFrame:
     """(record_id, repo_id, kind, rules): what each file shows by itself, and the hashes of the rules that equal texts share."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for key, repo, path, text in rows:
-            s = generated.signs(path, text)
-            yield key, repo, generated.kind(s), s.rules
+        while block := list(islice(rows, 256)):
+            signs = [generated.signs(path, text) for _, _, path, text in block]
+            for (key, repo, _, _), s, found in zip(block, signs, generated.shared_rules([s.words for s in signs])):
+                yield key, repo, generated.kind(s), found
 
     return map_rows(records.select(F.col("record_id").cast("long"), F.col("repo_id").cast("long"), "file_path", "original_code"), run, "record_id long, repo_id long, kind string, rules array<long>")
 

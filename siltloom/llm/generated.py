@@ -16,9 +16,9 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 
@@ -113,7 +113,7 @@ class Signs:
     blanks: float  # share of blanks
     short: float  # share of names of one or two letters
     tokens: int
-    rules: list[int]  # hashes of the rules that its own tokens share with equal texts
+    words: list[int]  # hashes of its own tokens
 
 
 def said(path: str | None, text: str) -> dict[str, float]:
@@ -156,10 +156,10 @@ def signs(path: str | None, text: str | None) -> Signs:
         data=(sum(b - a for a, b in x.strings) + sum(x.end[i] - x.start[i] + 1 for i, k in enumerate(x.kind) if k == "num")) / chars,
         dense=dense,
         calls=sum(k in ("(", "if", "for", "while", "switch", "return", "function", "=>", "class") for k in x.kind),
-        blanks=sum(c in " \t\r\n" for c in text) / max(1, len(text)),
+        blanks=sum(map(text.count, " \t\r\n")) / max(1, len(text)),
         short=sum(s <= 2 for s in names) / max(1, len(names)),
         tokens=n,
-        rules=shared_rules([text[a:b] for a, b in zip(x.start, x.end)]),
+        words=[crc32(text[a:b].encode("utf-8", "replace")) for a, b in zip(x.start, x.end)],
     )
 
 
@@ -170,35 +170,44 @@ def _mix(a: np.ndarray, salt: int) -> np.ndarray:
     return a ^ (a >> np.uint64(29))
 
 
-def shared_rules(words: list[str], width: int = 24) -> list[int]:
-    """The rules of ``width`` tokens or more of a pair grammar that is the same wherever the text is the same.
+def shared_rules(files: list[list[int]], width: int = 24) -> list[list[int]]:
+    """For each file, given as its tokens' hashes, the rules of ``width`` tokens or more of a pair grammar that is the same
+    wherever the text is the same.
 
     In each round every symbol is a left or a right one by a bit of its hash, and each left one with a right one behind it
     becomes a rule, named by the hash of the two.  So equal texts have equal rules but at their ends, whatever stands
     around them, and rules need no counting across files.  Equal neighbours, which no bit can tell apart, are taken
-    together first.  A rule that has reached ``width`` tokens is given and not built on.  Fewer words give none.
+    together first.  A rule that has reached ``width`` tokens is given and not built on.  Fewer tokens give none.
+    All files go through the rounds together; between two files stands a symbol that takes part in no rule.
     """
-    symbol = _mix(np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in words], dtype=np.uint64), len("siltloom"))
+    fence = 1 << 40
+    lengths = np.array([len(f) for f in files], dtype=np.int64)
+    symbol = np.array([w for f in files for w in (*f, 0)], dtype=np.uint64)
+    symbol = _mix(symbol, 11)
     size = np.ones(len(symbol), dtype=np.int64)
+    size[np.cumsum(lengths + 1) - 1] = fence
     with np.errstate(over="ignore"):
         for turn in range(1, 64):
-            open_ = size < width
-            if len(symbol) < 2 or not open_.any():
-                break
-            same = np.append(False, (symbol[1:] == symbol[:-1]) & open_[1:] & open_[:-1])
+            free = size < width
+            same = np.append(False, (symbol[1:] == symbol[:-1]) & free[1:] & free[:-1])
             if same.any():
                 first = np.flatnonzero(~same)
                 times = np.diff(np.append(first, len(symbol)))
-                total = np.add.reduceat(size, first)
+                size = np.add.reduceat(size, first)
                 symbol = np.where(times > 1, _mix(symbol[first] + times.astype(np.uint64), 3), symbol[first])
-                size, open_ = total, total < width
+                free = size < width
+            if not (free[1:] & free[:-1]).any():
+                break
             right = (_mix(symbol, 2 * turn + 1) >> np.uint64(63)).astype(bool)
-            pair = np.flatnonzero(~right[:-1] & right[1:] & open_[:-1] & open_[1:])
-            if len(pair):
-                symbol[pair] = _mix(_mix(symbol[pair], 5) + symbol[pair + 1], 7)
-                size[pair] += size[pair + 1]
-                symbol, size = np.delete(symbol, pair + 1), np.delete(size, pair + 1)
-    return np.unique(symbol[size >= width].view(np.int64)).tolist()
+            pair = np.flatnonzero(~right[:-1] & right[1:] & free[:-1] & free[1:])
+            symbol[pair] = _mix(_mix(symbol[pair], 5) + symbol[pair + 1], 7)
+            size[pair] += size[pair + 1]
+            keep = np.ones(len(symbol), dtype=bool)
+            keep[pair + 1] = False
+            symbol, size = symbol[keep], size[keep]
+    ends = np.flatnonzero(size >= fence)
+    made = size >= width
+    return [np.unique(symbol[a:b][made[a:b]].view(np.int64)).tolist() for a, b in zip(np.append(0, ends[:-1] + 1), ends)]
 
 
 def _ramp(x: float, low: float, high: float) -> float:

@@ -201,14 +201,12 @@ def test_repeated_code_is_generated_without_banner_or_path():
 
 def test_shared_rules_are_those_of_the_text_wherever_it_stands():
     rng = random.Random(4)
-    words = [f"w{rng.randrange(60)}" for _ in range(600)]
-    own = set(generated.shared_rules(words))
-    assert len(own) >= 8
-    moved = set(generated.shared_rules([f"x{i}" for i in range(200)] + words + ["y"] * 90))
-    assert len(own & moved) >= 0.8 * len(own)
-    assert len(own & set(generated.shared_rules(words[:300] + ["new", "words"] + words[300:]))) >= 0.7 * len(own)
-    assert not own & set(generated.shared_rules([f"v{rng.randrange(60)}" for _ in range(600)]))
-    assert generated.shared_rules([]) == [] and generated.shared_rules(["a"] * 23) == [] and len(generated.shared_rules(["a"] * 500)) == 1
+    words = [rng.randrange(60) for _ in range(600)]
+    own, moved, split, other = map(set, generated.shared_rules([words, list(range(100, 300)) + words + [9] * 90, words[:300] + [98, 99] + words[300:], [rng.randrange(60) for _ in range(600)]]))
+    assert len(own) >= 8 and len(own & moved) >= 0.8 * len(own) and len(own & split) >= 0.7 * len(own) and not own & other
+    assert generated.shared_rules([words, [], [1] * 23, [1] * 500, words])[1:3] == [[], []]
+    assert [len(r) for r in generated.shared_rules([[1] * 500])] == [1] and generated.shared_rules([]) == []
+    assert generated.shared_rules([[5], words])[1] == sorted(own)
 
 
 def test_shared_runs_flag_vendoring(spark):
