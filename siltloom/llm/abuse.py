@@ -1,130 +1,188 @@
-"""Abusive, hateful and sexual content: a score for every text from a misspelling-proof lexicon and its contexts.
-
-Words are undone of disguises (wide letters, hidden characters, spaced or masked letters, digits for letters,
-drawn-out letters) and run through a Levenshtein automaton over the lexicon's trie (one edit from six letters on,
-two from ten); each distinct word is matched once per worker.  Unspaced scripts use one Aho-Corasick pass.  A hit
-counts only in its context window, the sentence: cues of a target, a group, a threat or an offer raise it, cues of
-quotation, word lists, technical use, teaching or self-reproach silence it.
+"""Abusive, hateful and sexual content: a score for every text from a misspelling-proof lexicon and its context windows.
+
+The words of abuse form a trie.  Every word of a text is run through the Levenshtein automaton of that trie, in which the
+usual disguises are free edits (digits and signs for letters, stars for any letter, drawn-out letters) and true edits
+are allowed by the term's length; each distinct word is matched once per worker.  Terms of several words and of unspaced
+scripts are found in one Aho-Corasick pass.  A hit opens a window, its sentence.  What else stands in the window is
+looked up in a second lexicon of contexts: who is addressed, groups, generic claims, threats, offers on one side, and quotation,
+word lists, technical use, teaching, self-reproach on the other.  A log-linear model over these concepts and their pairs
+(``abuse_model.json``) gives the window's probability of being abusive, hateful or sexual.  It is fitted on the rated sentences of
+moderation_samples (a fixed table) and on sentences made by ``abuse_examples`` (``python -m siltloom.llm.abuse_fit``).
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from functools import lru_cache
+from pathlib import Path
 
 import ahocorasick
 
-#: The lexicon.  insult: names for a person; degrade: what a group is called; violent: what is done to
-#: someone; group: who is degraded; sexual: explicit material.
-LEXICON = {
-    "insult": "idiot idiots moron morons imbecile imbeciles cretin cretins dumbass dumbasses scumbag scumbags lowlife lowlifes loser losers retard retards bastard asshole bitch whore slut jackass dipshit shithead douchebag wanker twat dickhead motherfucker degenerate halfwit nitwit dimwit simpleton buffoon fool brainless trash garbage versager schwachkopf vollidiot idioten dummkopf arschloch trottel depp hurensohn wichser missgeburt drecksack nichtsnutz vollpfosten crétin crétine abruti abrutie connard connasse imbécile débile salaud ordure minable bouffon inútil imbécil estúpido estúpida gilipollas cabrón pendejo subnormal tonto payaso идиот идиотка дурак дура придурок кретин дебил урод тупица мразь тварь ничтожество сволочь",
-    "degrade": "vermin parasite parasites filth subhuman subhumans scum cockroaches maggots savages ungeziefer abschaum parasiten untermenschen dreck gesindel schädlinge vermine racaille déchets cafards parásitos parásito escoria alimañas plaga basura infrahumanos паразиты отребье мусор нелюди быдло",
-    "violent": "kill stab hurt beat cripple murder shoot strangle slaughter rape smash choke umbringen töten abstechen erschlagen tuer frapper égorger crever matar golpear apuñalar убью убить зарежу",
-    "group": "foreigners immigrants migrants refugees women gays jews muslims christians blacks asians gypsies ausländer flüchtlinge frauen juden muslime étrangers immigrés femmes extranjeros inmigrantes mujeres migrantes иностранцы мигранты женщины",
-    "sexual": "porn pornos porno nudes xxx horny blowjob orgasm milf nacktbilder nacktfotos sexcams порно эротика",
-}
-#: Terms of several words, by class.
-LEXICON_PHRASES = {
-    "insult": "brainless clown|piece of trash|piece of garbage|piece of shit|waste of oxygen|waste of space|waste of skin|low life|son of a bitch|worthless pig|pauvre con|hijo de puta",
-    "group": "old people|young people|disabled people|poor people|fat people",
-    "sexual": "porn clips|nude pics|nude photos|sex cams|sex cam|sex clips|sex tape|xxx videos|nude videos|naked pics|naked body|porn videos|sex chat|hot singles|filles nues|photos porno|vidéos porno|photos nues|chicas desnudas|videos porno|fotos desnudas|голые девушки",
-}
-#: The terms of unspaced scripts and Korean, by class; "phrase" is abuse by itself.
-LEXICON_CJK = {
-    "insult": "白痴 脑残 蠢货 蠢猪 傻叉 傻逼 傻B 智障 人渣 废物 狗东西 垃圾 贱人 混蛋 王八蛋 畜生 杂种 败类 弱智 二货 蠢驴 死肥猪 狗屎 婊子 脑瘫 沙雕 馬鹿野郎 クズ ゴミ人間 能無し 役立たず ボケ カス 間抜け 馬鹿 バカ アホ 무능력자 바보 멍청이 병신 쓰레기 등신 새끼 얼간이",
-    "degrade": "寄生虫 蛆虫 祸害 渣滓 害虫 劣等 低等 低等货 下等 下等人 垃圾人种 ゴキブリ 害獣 기생충 벌레 해충",
-    "violent": "弄死 砍死 打死 打断腿 打断你 杀了你 捅死 整死 掐死 弄残 剁了 殺してやる 殺すぞ ぶっ殺 刺してやる 殴ってやる 죽여 죽일",
-    "sexual": "裸聊 无码 色情 成人激情 激情视频 黄片 约炮 一夜情 援交 香艳 春药 露骨 エロ動画 エロ画像 裸の写真 無修正 ヌード写真 援助交際 야동 음란 나체 누드",
-    "phrase": "浪费粮食 没人要你 教过你怎么做人 从楼上跳下去 去死吧 找到你家 弄死你 砍死你 打断腿你 杀了你全家 没有一个好东西 二度と書き込むな お前の家を見つけて 死んでくれ 手伸进她的裙子 脱光衣服躺 寂寞少妇 一群没脑子的东西 赶紧去死 나가 죽어 죽어버려",
-}
-#: Phrases (lower case) that abuse, threaten or solicit without a word of the lexicon.
-PHRASES = "kill yourself|nobody would miss you|i know where you live|more brains than you|ashamed they ever had you|ashamed of you|never breathe|crawl back under your rock|never type again|do not deserve to live|don't deserve to live|should have been aborted|hope you die|go die|drop dead|die in a fire|drink bleach|pulled off her dress|moaned while|kissed her naked|girls waiting|ich weiß, wo du wohnst|ich finde deine adresse|breche dir die knochen|bring dich um|bringe dich um|gehören rausgeworfen|je sais où tu habites|va te faire voir|je vais te tuer|je trouverai ton adresse|va mourir|sé dónde vives|te voy a matar|voy a encontrar tu casa|lárgate de aquí|muérete|ojalá te mueras|я знаю, где ты жив|убью тебя|я тебя убью|сдохни|чтоб ты сдох|найду твой адрес|найду тебя".split("|")
-_TARGET = re.compile(
-    r"\byou(?:'re| are|r)?\b|\byours?\b|whoever (?:wrote|made|did|built)|\b(?:the|this|that) (?:maintainer|author|admin|moderator|developer|poster|guy|support|op)\b|would (?:ship|write|do|post|say) (?:this|that)|shut up|get lost|\bdu bist\b|\bdu\b|\bdich\b|\bihr seid\b|\bdein\w*|\btu es\b|\bt'es\b|\bvous êtes\b|\bespèce d|\bte\b|\beres\b|\bustedes?\b|\btú\b|\bты\b|\bтебя\b|\bвы\b|\bтвой\b"
-    r"|你|楼主|客服|作者|写这个|(?:的人|这人)|滚|这种|お前|おまえ|てめえ|貴様|あんた|野郎|너|당신|네가|니가",
-    re.I,
-)
-_STRONG = re.compile(r"you(?:'re| are)? (?:a|an|such|nothing)|shut up|whoever (?:wrote|made)|is such a|\bonly an? .* would|go crawl|nobody asked|du bist|tu es|eres un|你(?:就)?是个?|你这(?:种|个)|楼主|客服全是|的人真是|赶紧滚|丢人现眼|お前|この.{0,8}[がは]、|ты (?:просто|такой|-)?|너(?:는|희)", re.I)
-_GROUPCUE = re.compile(r"\ball\b|\bthey are\b|the lot of them|by nature|ruin everything|we do not need|kicked out|\balle\b|\bsind\b|rausgeworfen|\btous\b|\btoutes\b|sont|\btodos\b|\bson\b|sobran|\bвсе\b|都是|全是|应该全部|赶出去|天生|他们不配|不配|没有一个|みんな|出て行け|모두|전부", re.I)
-_OFFER = re.compile(r"\bfree\b|\bsend\b|message me|every night|\bchannel\b|\blink\b|\bwaiting\b|\bhot\b|\bgratis\b|kanal|gratuit|écris|escríbeme|heiße|\bher\b|kissed|moan|style|bother|бесплатно|напиши|免费|私信|加我|链接|好友|领取|资源|有没有|看得人|床上|画面|视频|見放題|送ります|無料|무료|보내", re.I)
-_SILENT = re.compile(
-    r"words? (?:like|such as)|word ?list|block(?:s|ed|ing)? (?:words?|terms?|list)|moderation|blacklist|blocklist|denylist|profanity|filter(?:s|ed)? (?:words?|out|terms)|banned|\bterm\b|\bterms\b|called me|he said|she said|quote|reported|wrote to us|example of|classif|-proof|zombie process|debug symbols|\bprocess(?:es)?\b|\bthread\b|\bworker\b|\bdaemon\b|\bslave\b|\bmaster\b|garbage collect|\btones?\b|#[0-9a-f]{6}|colou?r|\btheme\b|portrait|video editor|trailer|\bfield\b|\bvalues?\b|gender|male|female|health|clinic|medical|biolog|education|course|lesson|learners?|school|reproduct|anatomy|my (?:own )?(?:stupid|dumb|silly)|\bi (?:am|was|feel) (?:so |such )?(?:an? )?(?:stupid|dumb|idiot)|stupid me|\b(?:api|manual|interface|docs?|documentation|sdk|library|framework|compiler|layout|bug) is\b"
-    r"|wortliste|sperr|begriff|mot(?:s)? (?:interdit|bloqu)|liste (?:de mots|noire)|bloque|palabras|lista de|список|слов|词表|词库|敏感词|屏蔽|过滤词|拦截|等词|命中|举报|分类|进程|线程|性别|教育|课程|主题|配色|裸机|裸眼|裸露接口|安装向导|傻瓜式|我自己|自己犯|接口真|文档也|プロセス|禁止語|ブロック|単語|リスト|교육|금지어|차단|목록",
-    re.I,
-)
-#: Turns of phrase after which no silencing cue counts.
-_PLAIN = re.compile(r"kicked out|by nature|ruin everything|the lot of them|rausgeworfen|sont tous|son todos|出て行け|应该全部赶|天生就是|不配|message me|horny|do not bother to reply|every night|私信|加我好友|越露骨|看得人受不了|見放題|送ります|écris-moi|escríbeme|in meinem kanal|信不信我叫人|找到你家|殺してやる|et te tuer|where you live", re.I)
-_LEETISH = re.compile(r"[A-Za-z][@$013457][A-Za-z@$]")
+from siltloom.llm.abuse_words import BODY, CONTEXTS, HARMLESS, POSSESSIVES, TERMS, UNSPACED
+from siltloom.llm.crf import Chain
+
+MODEL = Path(__file__).with_name("abuse_model.json")
+LABELS = ["none", "abusive", "hateful", "sexual"]
 _SENT = re.compile(r"[^.!?。！？\n]*(?:[.!?。！？]+|\n|$)")
-_WORDS = re.compile(r"[A-Za-zÀ-ɏЀ-ӿ@$0-9]+(?:'[a-z]+)?")
+_WORDS = re.compile(r"[A-Za-zÀ-ɏЀ-ӿ@$0-9*]+(?:'[a-z]+)?")
 _HIDDEN = re.compile("[­​-‏⁠-⁤﻿]")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_]\*){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_][-_·]){3,}[^\W\d_](?![^\W_])")
-_SPACED_HINT = re.compile(r"[ *_·-][^\W\d_][ *_·-][^\W\d_](?![^\W_])")
-_DRAWN = re.compile(r"aa|ii|(?<!vac)uu|([b-hj-tv-z])\1\1")
-_MASKED = re.compile(r"(?<![\w*])([^\W\d_])(\*{2,})([^\W\d_])(?![\w*])")
-_CJKGAP = re.compile(r"(?<=[ぁ-ヿ㐀-鿿가-힣])[*\-·_ 　.~]{1,2}(?=[ぁ-ヿ㐀-鿿가-힣])")
-_CJKMASK = re.compile(r"([ぁ-ヿ㐀-鿿])\*{1,3}([ぁ-ヿ㐀-鿿])")
-_LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "8": "b", "!": "i"})
-_RUN = re.compile(r"(.)\1{1,}")
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_]\*){2,}[^\W\d_](?![^\W_])|(?<![^\W_])(?:[^\W\d_][-_·.]){3,}[^\W\d_](?![^\W_])")
+_SPACED_HINT = re.compile(r"[ *_·.-][^\W\d_][ *_·.-][^\W\d_](?![^\W_])")
 _WIDE = re.compile("[０-９Ａ-Ｚａ-ｚ＠＄]+")
-_CAMEL = re.compile("[a-z][A-Z]")
-#: Words one edit from a term that are no disguise of it.
-_COMMON = frozenset("regard record reward retry animal women woman parasitic fester fasten kill kills filter filters fifth nudge closer lower loose loses lost user users tool tools food foot salad master inutile inutil animales trust tresh crash brash break breaks beats heart hunt hurts sexes text next dude dick's".split())
+_CJK = "ぁ-ヿ㐀-鿿가-힣"
+_GAP = re.compile(rf"(?<=[{_CJK}])[*\-·_ 　.~]{{1,2}}(?=[{_CJK}])")
+_MASK = re.compile(r"([ぁ-ヿ㐀-鿿])\*{1,3}([ぁ-ヿ㐀-鿿])")
+_CAMEL = re.compile(r"[a-z][A-Z][a-z]")
+#: Letters that digits and signs stand for.
+_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+#: Groups that no list can name: people of somewhere, capitalised plurals behind "all", 人 behind a place.
+_GROUPS = re.compile(r"\b(?:people|those|folks?|men|women) (?:from|of|in)\b|\b[Aa]ll (?:the )?(?:[A-Z]\w+(?:s|folk)\b|\w+ (?:people|women|men)\b)|\b(?:Alle|Die) [A-Z]\w+|[一-鿿]{1,4}(?:人|族|来的|教徒)(?=都|全|就|没|是|应|不配|滚|天生|统统)|(?:人|族|者|たち)(?:は|なんか|って)(?:みんな|全員|皆)?|[가-힣]+(?:인|사람|들)(?:은|는) ")
+_QUOTED = re.compile(r"[“\"「『‘'`][^“”\"「」『』‘’'`\n]{1,24}[”\"」』’'`]")
+_SELF = re.compile(r"\b(?:i|i'm) (?:am|was|feel|felt|'m)?\b[^.]{0,12}|\bmy (?:own )?\w+ (?:mistake|fault|bug|error|code)\b|\bstupid me\b|我自己|我真|我太|我才|是我(?:太)?|自分が|ich bin\b|je suis\b|soy un\b|я (?:сам|такой)\b", re.I)
+
+
+def _edits(term: str) -> int:
+    """The edits that a term bears: none below six letters, one below ten, else two."""
+    return 0 if len(term) < 6 else 1 if len(term) < 10 else 2
 
 
-class _Trie:
-    """The lexicon's words; ``near`` intersects it with the Levenshtein automaton of a word."""
+class Trie:
+    """The terms of abuse; ``near`` intersects them with the Levenshtein automaton of a word."""
 
     def __init__(self, words: dict[str, str]):
         self.root: dict = {}
         for word, cls in words.items():
             node = self.root
             for ch in word:
-                node = node.setdefault(ch, {})
+                node = node.setdefault(ch, {"most": 0})
+                node["most"] = max(node["most"], _edits(word))  # the edits that the terms below bear
             node[""] = (word, cls)
 
-    def near(self, word: str, most: int) -> tuple[str, str] | None:
-        """The closest word within ``most`` edits that begins alike, as (word, class); ties go to the first found."""
-        first = self.root.get(word[0])
-        if first is None:
-            return None
+    def near(self, word: str, most: int | None = None) -> tuple[str, str] | None:
+        """The closest term, as (term, class), None beyond the allowed edits; ties go to the first term in order.
+
+        Allowed are ``most`` edits, or as many as the term's length bears: none below six letters, one below ten, else two.
+        A digit or sign for its letter, a star for any letter, and a letter drawn out are no edit.
+        """
         n = len(word)
-        best: tuple[int, tuple[str, str]] | None = None
-        start = [abs(i - 1) if i else 1 for i in range(n + 1)]
-        stack = [(first, start)]
+        drawn = [0 if i and word[i] == word[i - 1] != "*" else 1 for i in range(n)]
+        start = [0]
+        for i in range(n):
+            start.append(start[-1] + drawn[i])
+        best: tuple[int, str, str] | None = None
+        stack = [(self.root, start)]
         while stack:
             node, row = stack.pop()
             for ch, child in node.items():
                 if ch == "":
-                    if row[n] <= most and (best is None or row[n] < best[0]):
-                        best = (row[n], child)
+                    allowed = most if most is not None else _edits(child[0])
+                    if row[n] <= allowed and (best is None or (row[n], child[0]) < best[:2]):
+                        best = (row[n], *child)
+                    continue
+                if ch == "most":
                     continue
-                new = [row[0] + 1]
-                for i in range(1, n + 1):
-                    new.append(min(new[i - 1] + 1, row[i] + 1, row[i - 1] + (word[i - 1] != ch)))
-                if min(new) <= most:
+                limit = child["most"] if most is None else most
+                last = row[0] + 1
+                new, low = [last], last
+                for i in range(n):
+                    c, over, up = word[i], row[i], row[i + 1] + 1
+                    if c != ch and c != "*" and ch not in _FOR.get(c, ""):
+                        over += 1
+                    last += drawn[i]
+                    if over < last:
+                        last = over
+                    if up < last:
+                        last = up
+                    new.append(last)
+                    if last < low:
+                        low = last
+                if low <= limit:
                     stack.append((child, new))
-        return best[1] if best else None
+        return None if best is None else best[1:]
+
+
+@lru_cache(1)
+def _words() -> dict[str, str]:
+    return {w: cls for cls, text in TERMS.items() for w in text.split("|") if w.isascii() or not re.search(f"[{_CJK}]", w)}
+
+
+@lru_cache(1)
+def _trie() -> Trie:
+    return Trie(_words())
+
+
+def _thin(word: str) -> str:
+    return re.sub(r"(.)\1+", r"\1", word)
+
+
+@lru_cache(1)
+def _parts() -> tuple[dict[str, list[str]], ahocorasick.Automaton]:
+    """The terms by their form without drawn-out letters, and their parts, one more than they bear edits: one of them an
+    edited term keeps."""
+    thin_of: dict[str, list[str]] = {}
+    parts: dict[str, list[tuple[int, int, int, str]]] = {}
+    for word in _words():
+        thin, k = _thin(word), _edits(word)
+        thin_of.setdefault(thin, []).append(word)
+        cuts = [round(i * len(thin) / (k + 1)) for i in range(k + 2)]
+        for a, b in zip(cuts, cuts[1:]):
+            if k:
+                parts.setdefault(thin[a:b], []).append((a, len(thin), k, word))
+    automaton = ahocorasick.Automaton()
+    for part, places in parts.items():
+        automaton.add_word(part, (len(part), places))
+    automaton.make_automaton()
+    return thin_of, automaton
+
+
+def branches(low: str) -> set[str]:
+    """The terms that a word may be: those of its length of which it keeps a part about where the term has it."""
+    forms = {low}
+    if not low.isalpha():
+        forms = {low.translate({ord(k): v[i % len(v)] for k, v in _FOR.items()}) for i in (0, 1)}
+    known, parts = _parts()
+    out: set[str] = set()
+    for form in map(_thin, forms):
+        out.update(known.get(form, ()))
+        n = len(form)
+        for end, (size, places) in parts.iter(form):
+            at = end + 1 - size
+            for offset, length, k, term in places:
+                if -k <= n - length <= k and -k <= at - offset <= k:
+                    out.add(term)
+    return out
+
+
+@lru_cache(4096)
+def _branch(terms: frozenset[str]) -> Trie:
+    """The part of the trie that holds these terms."""
+    return Trie({w: cls for w, cls in _words().items() if w in terms})
 
 
 @lru_cache(1)
-def _lexicon() -> tuple[dict[str, str], dict[str, str], _Trie]:
-    words = {w: cls for cls, text in reversed(LEXICON.items()) for w in text.split()}
-    phrases = {p: cls for cls, text in LEXICON_PHRASES.items() for p in text.split("|")}
-    return words, phrases, _Trie({w: c for w, c in words.items() if len(w) >= 6})
+def _terms() -> ahocorasick.Automaton:
+    """Terms of several words, of unspaced scripts, and parts of the body of the one addressed."""
+    automaton = ahocorasick.Automaton()
+    entries = {w: cls for w, cls in _words().items() if " " in w}
+    entries |= {w: cls for cls, text in UNSPACED.items() for w in text.split("|")}
+    entries |= {f"{p} {b}": "body" for lang, words in BODY.items() for b in words.split() for p in POSSESSIVES[lang].split("|")}
+    for w, cls in entries.items():
+        automaton.add_word(w, (len(w), cls))
+    automaton.make_automaton()
+    return automaton
 
 
 @lru_cache(1)
-def _cjk() -> ahocorasick.Automaton:
+def _contexts() -> ahocorasick.Automaton:
+    of: dict[str, set[str]] = {}
+    for concept, text in CONTEXTS.items():
+        for w in text.split("|"):
+            of.setdefault(w, set()).add(concept)
     automaton = ahocorasick.Automaton()
-    for cls, text in LEXICON_CJK.items():
-        for w in text.split():
-            automaton.add_word(w, (len(w), cls))
-    for p in PHRASES:
-        automaton.add_word(p, (len(p), "phrase"))
-    for p, cls in _lexicon()[1].items():
-        automaton.add_word(p, (len(p), cls))
+    for w, concepts in of.items():
+        automaton.add_word(w, (len(w), tuple(sorted(concepts))))
     automaton.make_automaton()
     return automaton
 
@@ -133,157 +191,189 @@ _seen: dict[str, str | None] = {}
 
 
 def word_class(token: str) -> str | None:
-    """The lexicon class of a word however it is spelled, or None."""
-    low = token.lower()
-    words, _, trie = _lexicon()
-    if low in words:
-        return words[low]
-    if low in _COMMON or low.isdigit() or len(low) < 3:
+    """The class of the term that a word spells, however it is disguised, or None.
+
+    A word needs three characters, two of them plain, and at most twice as many digits and signs; one of stars needs its first and
+    last letter and the term's length.
+    """
+    low = token.lower().strip("*")
+    low = low.partition("'")[0] if "'" in low else low
+    exact = _words().get(low)
+    if exact is not None:
+        return exact
+    letters = sum(c.isalpha() for c in low)
+    stars = low.count("*")
+    if len(low) < 3 or letters < 2 or low in HARMLESS or len(low) - letters - stars > 2 * letters:
         return None
-    plain = low.translate(_LEET) if not low.isalpha() else low
-    for form in (plain, _RUN.sub(r"\1", plain), _RUN.sub(r"\1\1", plain), plain.replace("i", "l") if "1" in low else plain):
-        if form in words:
-            return words[form]
-    squeezed = _RUN.sub(r"\1", plain)
-    for form in (plain, squeezed):
-        if len(form) >= 6 and form not in _COMMON:
-            hit = trie.near(form, 2 if len(form) >= 10 else 1)
-            if hit is not None and not (low.isalpha() and form == plain and abs(len(hit[0]) - len(form)) == 0 and len(form) < 7):
-                return hit[1]
-    return None
+    if stars:
+        hit = _trie().near(low)
+    else:
+        among = branches(low)
+        hit = _branch(frozenset(among)).near(re.sub(r"(.)\1{3,}", r"\1\1\1", low)) if among else None
+    if hit is None:
+        return None
+    term = hit[0]
+    if stars:
+        return hit[1] if len(low) == len(term) and term[0] == low[0] and term[-1] == low[-1] and low.find("*") > 0 and letters >= 2 else None
+    # an edit in a plain word of the dictionary's look must leave its first letter or be far from short
+    if low.isalpha() and low[0] != term[0] and len(term) < 8:
+        return None
+    return hit[1]
 
 
 def _class(token: str) -> str | None:
-    """``word_class``, remembered for plain words; identifiers in mixed case are no words."""
+    """``word_class``, remembered; a word in mixed case that is none as it stands may be none in its parts either."""
     try:
         return _seen[token]
     except KeyError:
         pass
-    if len(token) > 24 or token.isdigit() or _CAMEL.search(token):
-        return None
-    found = word_class(token)
-    if len(_seen) < 400_000:
-        _seen[token] = found
+    found = None if token.isdigit() else word_class(token)
+    if found is not None and _CAMEL.search(token) and token.lower() != token.swapcase().lower() and len(token) > 12 and token.lower() not in _words():
+        found = None
+    if len(_seen) >= 400_000:
+        _seen.clear()
+    _seen[token] = found
     return found
 
 
-def _mask_classes(first: str, stars: str, last: str) -> set[str]:
-    """The classes of all terms with these first and last letters and that length."""
-    size = len(stars) + 2
-    words, phrases, _ = _lexicon()
-    f, e = first.lower(), last.lower()
-    return {cls for pool in (words, phrases) for w, cls in pool.items() if len(w) == size and w[0] == f and w[-1] == e}
-
-
 @lru_cache(1)
 def _masks() -> dict[tuple[str, str], str]:
     """The terms of unspaced scripts by first and last sign, of three signs or more."""
-    return {(w[0], w[-1]): w for text in reversed(LEXICON_CJK.values()) for w in text.split() if len(w) >= 3}
-
-
-def _unmask(m: re.Match) -> str:
-    return _masks().get((m[1], m[2]), m[0])
+    return {(w[0], w[-1]): w for text in UNSPACED.values() for w in text.split("|") if len(w) >= 3 and " " not in w}
 
 
 def _close(m: re.Match) -> str:
     """Single letters as one word; a first letter that may be a word of its own gives both readings."""
-    whole = re.sub(r"[ *\-_·]", "", m[0])
+    whole = re.sub(r"[ *\-_·.]", "", m[0])
     return f"{whole} {whole[1:]}" if whole[0] in "aAiIoOyY" and len(whole) > 3 else whole
 
 
 def normal(text: str) -> str:
-    """The text without hidden characters, wide letters and gaps between single letters."""
+    """The text without hidden characters, wide letters and gaps between single letters or signs."""
     if _HIDDEN.search(text):
         text = _HIDDEN.sub("", text)
     if not text.isascii():
         text = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)
+        if "*" in text:
+            text = _MASK.sub(lambda m: _masks().get((m[1], m[2]), m[0]), text)
+        text = _GAP.sub("", text)
     if _SPACED_HINT.search(text):
         text = _SPACED.sub(_close, text)
     return text
 
 
-def _hits(text: str) -> list[tuple[int, str]]:
-    out: list[tuple[int, str]] = []
+def _bounded(text: str, begin: int, end: int) -> bool:
+    """Whether a term of letters stands between word boundaries; unspaced scripts need none."""
+    first, last = text[begin], text[end - 1]
+    spaced = lambda c: c.isalpha() and c < "ᄀ"
+    if spaced(first) and begin and (text[begin - 1].isalnum() and spaced(text[begin - 1])):
+        return False
+    return not (spaced(last) and end < len(text) and text[end].isalnum() and spaced(text[end]))
+
+
+def _hits(text: str, low: str) -> list[tuple[int, int, str]]:
+    """(begin, end, class) of the terms."""
+    out: list[tuple[int, int, str]] = []
     get = _class
     if any(map(get, set(_WORDS.findall(text)))):
         for m in _WORDS.finditer(text):
             cls = get(m[0])
             if cls:
-                out.append((m.start(), cls))
-    low = text.lower()
-    for end, (_, cls) in _cjk().iter(low):
-        out.append((min(end, len(text) - 1), cls))
-    if _LEETISH.search(text):
-        have = {at for at, _ in out}
-        out += [(end, cls) for end, (_, cls) in _cjk().iter(low.translate(_LEET)) if end < len(text) and end not in have]
-    if _DRAWN.search(low):
-        thin = _RUN.sub(r"\1", low)
-        out += [(min(end, len(text) - 1), cls) for end, (size, cls) in _cjk().iter(thin) if size >= 8 and thin[end + 1 - size : end + 1].isascii()]
-    if "*" in text:
-        for m in _MASKED.finditer(text):
-            out += [(m.start(), cls) for cls in sorted(_mask_classes(m[1], m[2], m[3]))]
+                out.append((m.start(), m.end(), cls))
+    forms = [low]
+    if re.search(r"[a-z][@$013457][a-z@$]", low):
+        forms.append(low.translate({ord(k): v[0] for k, v in _FOR.items()}))
+    for form in forms:
+        for end, (size, cls) in _terms().iter(form):
+            if end < len(text) and _bounded(form, end + 1 - size, end + 1):
+                out.append((end + 1 - size, end + 1, cls))
+    if re.search(r"([a-z])\1\1|aa|ii", low):  # terms of several words with letters drawn out
+        thin = re.sub(r"([a-z])\1+", r"\1", low)
+        for end, (size, cls) in _terms().iter(thin):
+            if size >= 8 and thin[end + 1 - size : end + 1].isascii() and _bounded(thin, end + 1 - size, end + 1):
+                out.append((min(end, len(text) - 1), min(end + 1, len(text)), cls))
     return out
 
 
-def sentence_score(sentence: str, classes: list[str]) -> float:
-    """The score of one sentence from the classes of its hits: 0 to 1."""
-    found = set(classes)
-    silent = bool(_SILENT.search(sentence)) or bool(re.search(r"[“\"「『‘].{0,20}[”\"」』’]", sentence)) and "phrase" not in found
-    listed = bool(re.search(r"words? |词|blocks|liste|término|слов", sentence, re.I))
-    if "phrase" in found and not (listed and len(found) == 1):
-        return 0.95
-    score = 0.0
-    strong = bool(_STRONG.search(sentence))
-    if "insult" in found:
-        score = 0.9 if strong else 0.7 if _TARGET.search(sentence) else 0.35
-    if "degrade" in found:
-        group = "group" in found or _GROUPCUE.search(sentence)
-        score = max(score, 0.9 if group else 0.7 if _TARGET.search(sentence) else 0.3)
-    if "violent" in found:
-        person = re.search(r"\b(?:kill|stab|hurt|beat|cripple|murder|shoot|strangle|hang|rape|smash|choke|burn|break)\w*\b.{0,12}\byou(?:rself)?\b|\bdich\b|\bdir\b|\bte\b|\btoi\b|тебя|你|お前|너|信不信|叫人", normal(sentence).translate(_LEET) if not sentence.isascii() or re.search(r"[@$\d]", sentence) else sentence, re.I)
-        score = max(score, 0.85 if person else 0.2)
-    if "sexual" in found:
-        score = max(score, 0.85 if _OFFER.search(sentence) else 0.35)
-    if "group" in found and _GROUPCUE.search(sentence) and re.search(r"ruin everything|kicked out|rausgeworfen|the lot of them|by nature", sentence, re.I):
-        score = max(score, 0.8)
-    if re.search(r"看到.{1,8}人就恶心|他们不配", sentence):
-        score = max(score, 0.85)
-    if silent:
-        if listed or not (strong and "insult" in found or _PLAIN.search(sentence)):
-            score *= 0.3
-    return score
+def concepts(window: str, terms: list[tuple[int, int, str]]) -> set[str]:
+    """What stands in a window: the classes of its terms and the contexts around them."""
+    found = {cls for _, _, cls in terms}
+    low = window.lower()
+    low = low if len(low) == len(window) else "".join(c.lower() if len(c.lower()) == 1 else c for c in window)
+    addressed: list[int] = []
+    for end, (size, names) in _contexts().iter(low):
+        if _bounded(low, end + 1 - size, end + 1):
+            found.update(names)
+            if "you" in names:
+                addressed.append(end)
+    if _GROUPS.search(window):
+        found.add("group")
+    if _SELF.search(window):
+        found.add("self")
+    for m in _QUOTED.finditer(window):
+        if any(m.start() < a and b < m.end() for a, b, _ in terms):
+            found.add("quoted")
+    if any(-24 <= a - end <= 24 for a, _, cls in terms if cls in ("insult", "degrade", "violent", "demean") for end in addressed):
+        found.add("near")
+    if len({window[a:b].lower() for a, b, _ in terms}) >= 2 and re.search(r"[、,，/|]", window):
+        found.add("several")
+    return found
 
 
-def score(text: str | None) -> float:
-    """The highest score of the text's sentences, rounded to two places; 0.0 for null and empty texts.
+def features(found: set[str]) -> list[str]:
+    """The concepts and their pairs."""
+    names = sorted(found)
+    return ["bias", *names, *(f"{a}+{b}" for i, a in enumerate(names) for b in names[i + 1 :])]
 
-    From 0.5 on a text counts as abusive.  Sentences are scored alone, so the length of a text does not matter.
-    """
-    if not text:
-        return 0.0
+
+@lru_cache(1)
+def _model() -> Chain:
+    return Chain.load(MODEL)
+
+
+def chances(found: set[str]) -> dict[str, float]:
+    """The probability of each label for a window with these concepts."""
+    model = _model()
+    sums = [0.0] * len(model.labels)
+    for name in features(found):
+        w = model.weights.get(name)
+        if w is not None:
+            sums = [s + x for s, x in zip(sums, w)]
+    top = max(sums)
+    powers = [math.exp(s - top) for s in sums]
+    return {label: p / sum(powers) for label, p in zip(model.labels, powers)}
+
+
+def windows(text: str) -> list[set[str]]:
+    """The concepts of each sentence that holds a term."""
     text = normal(text)
-    if not text.isascii():
-        if "*" in text:
-            text = _CJKMASK.sub(_unmask, text)
-        text = _CJKGAP.sub("", text)
-    found = _hits(text)
-    best = 0.0
-    if "就恶心" in text or "他们不配" in text:
-        i = text.find("就恶心")
-        found.append((i if i >= 0 else text.find("他们不配"), "group"))
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    found = sorted(_hits(text, low))
     if not found:
-        return best
-    found.sort()
-    bounds: dict[tuple[int, int], list[str]] = {}
-    k = 0
+        return []
+    out, k = [], 0
     for m in _SENT.finditer(text):
+        inside = []
         while k < len(found) and found[k][0] < m.end():
-            bounds.setdefault(m.span(), []).append(found[k][1])
+            inside.append(found[k])
             k += 1
+        if inside:
+            a, b = m.span()
+            # an exclamation may cut a clause from its target: the next few characters still belong to the window
+            tail = text[b : b + 24].split("\n")[0] if text[max(a, b - 2) : b].strip().endswith(("!", "！")) else ""
+            out.append(concepts(text[a:b] + tail, [(x - a, y - a, cls) for x, y, cls in inside]))
         if k == len(found):
             break
-    for (a, b), classes in bounds.items():
-        # an exclamation may cut a clause from its target: the next few characters still belong to the window
-        tail = text[b : b + 24].split("\n")[0] if text[max(a, b - 2) : b].strip().endswith(("!", "！")) else ""
-        best = max(best, sentence_score(text[a:b] + tail, classes))
-    return round(best, 2)
+    return out
+
+
+def score(text: str | None) -> float:
+    """The highest probability of abuse among the text's windows, to two places; 0.0 for null, empty and plain texts.
+
+    From 0.5 on a text counts as abusive.  Windows are scored alone, so the length of a text does not matter.
+    """
+    if not text:
+        return 0.0
+    return round(max((1 - chances(w)["none"] for w in windows(text)), default=0.0), 2)

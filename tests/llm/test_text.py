@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import tiktoken
 
-from siltloom.llm import abuse, abuse_ops, neardup, packing, pair_ops, pairs, tokens
+from siltloom.llm import abuse, abuse_fit, abuse_ops, neardup, packing, pair_ops, pairs, tokens
 
 CODE = "function loadMap(a: number) {\n  const b = a + 1;\n  return b;\n}"
 PAIRS = [
@@ -93,28 +93,156 @@ def test_no_abuse(text):
 
 
 def test_levenshtein_against_brute_force():
-    words = {"parasites": "x", "imbecile": "y", "brainless": "z"}
-    trie = abuse._Trie(words)
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, c in enumerate(a, 1):
-            new = [i]
-            for j, e in enumerate(b, 1):
-                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != e)))
-            row = new
-        return row[-1]
+    words = {"parasites": "x", "imbecile": "y", "brainless": "z", "dumbass": "v"}
+    trie = abuse.Trie(words)
+
+    def distance(word, term):
+        """Weighted edits: a sign for its letter, a star for any, a letter drawn out are free."""
+        free = lambda c, e: c == e or c == "*" or e in abuse._FOR.get(c, "")
+        drop = [0 if i and word[i] == word[i - 1] != "*" else 1 for i in range(len(word))]
+        table = {(0, j): j for j in range(len(term) + 1)}
+        for i in range(1, len(word) + 1):
+            table[i, 0] = table[i - 1, 0] + drop[i - 1]
+            for j in range(1, len(term) + 1):
+                table[i, j] = min(table[i - 1, j] + drop[i - 1], table[i, j - 1] + 1, table[i - 1, j - 1] + (not free(word[i - 1], term[j - 1])))
+        return table[len(word), len(term)]
 
     rng = random.Random(3)
-    for _ in range(400):
+    for _ in range(600):
         w = list(rng.choice(list(words)))
-        for _ in range(rng.randrange(4)):
-            i = rng.randrange(1, len(w))
-            w[i : i + rng.randrange(2)] = rng.choice(["", "a", "zz"])
+        for _ in range(rng.randrange(5)):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randrange(2)] = rng.choice(["", "a", "zz", "@", "3", "*", w[i] * 3])
+        w = "".join(w) or "a"
+        for most in (0, 1, 2):
+            want = [x for x in words if distance(w, x) <= most]
+            got = trie.near(w, most)
+            assert (got is not None) == bool(want) and (got is None or got[0] in want), w
+
+
+def test_branches_keep_what_the_whole_trie_finds():
+    rng = random.Random(8)
+    terms = [t for t in abuse._words() if len(t) >= 6 and t.isascii()]
+    lost = total = 0
+    for _ in range(1500):
+        t = rng.choice(terms)
+        w = list(t)
+        for _ in range(abuse._edits(t)):
+            i = rng.randrange(len(w))
+            w[i : i + rng.randrange(2)] = rng.choice(["", rng.choice("abcdefghijklmnopqrstuvwxyz")])
         w = "".join(w)
-        want = [x for x in words if x[0] == w[0] and distance(w, x) <= 2]
-        got = trie.near(w, 2)
-        assert (got is not None) == bool(want) and (got is None or got[0] in want)
+        total += 1
+        lost += t not in abuse.branches(w)
+    assert lost <= 0.02 * total  # an edit inside a doubled letter may move a part
+
+
+DISGUISED = ["scuumbag", "imbezile", "br@inless", "dumb@ss", "lowlfe", "schwachkpf", "parasitos", "v3rm1n"]
+
+
+def test_disguises_need_the_automaton(monkeypatch):
+    assert all(abuse.word_class(w) for w in DISGUISED) and abuse.word_class("l*****e") and abuse.word_class("iiiidiot")
+    assert sum(abuse.score(t) >= 0.5 for t in ABUSE) == len(ABUSE)
+    monkeypatch.setattr(abuse.Trie, "near", lambda self, word, most=None: None)
+    monkeypatch.setattr(abuse, "_seen", {})
+    assert sum(abuse.score(t) >= 0.5 for t in ABUSE) <= len(ABUSE) - 4
+
+
+#: Wordings written apart from the lexicon, the made sentences and the data; README gives their figures.
+HELD_ABUSE = [
+    'I am going to end your life tonight',
+    'I will come to your house and break your legs',
+    'People from that country are all thieves and should be wiped out',
+    'You are a worthless human being',
+    'You stupid moron, delete your account',
+    'nobody would cry if you dropped dead',
+    "You're such a f00l, honestly",
+    'All gypsies are thieves',
+    "I'll smash your teeth in if you close my issue again",
+    'Immigrants like you should be sent back to where you came from',
+    'what a p@thetic l0ser you are',
+    'Watch your back, I know where you work',
+    'women are too dumb to code, keep them out of our project',
+    "Hey sexy, send me nudes and I'll pay",
+    'Join my channel for free porn tonight',
+    '她脱光衣服在床上呻吟',
+    '你这个人渣，赶紧去死吧',
+    '河南人都是骗子，滚出这个群',
+    '我要上你家砍死你',
+    'Du bist so ein Arschloch',
+    'Alle Flüchtlinge sind Abschaum',
+    'Ich werde dir die Zähne brechen',
+    "T'es vraiment un gros connard",
+    'Les femmes sont toutes des parasites',
+    'Je vais te tuer, sale chien',
+    'Eres un pendejo inútil',
+    'Todos los inmigrantes son criminales',
+    'Sé dónde duermes, cuidado',
+    'Ты полный дебил',
+    'Я найду тебя и убью',
+    'お前みたいなクズは死ね',
+    '外国人は全員出て行け',
+    '너 같은 병신은 나가 죽어',
+    'The maintainer is an imbecil',
+    'he licked her naked body slowly',
+    'you absolute b*****d, rot in hell',
+    'm0r0n like you should never touch a keyboard',
+    'kys, kill yourself',
+    'Your mother should have aborted you, you waste of oxygen',
+    'These people are subhuman vermin',
+]
+HELD_FINE = [
+    'Kill the zombie process before you restart',
+    'The garbage collector may destroy your cache',
+    'This library is garbage, use another',
+    "I'm such an idiot, forgot the semicolon",
+    "He called me a 'moron' in the review, please moderate",
+    'The word list contains idiot, bitch and whore',
+    'Women in tech meetup at our office on Friday',
+    'Breast cancer screening course for old people',
+    'The naked eye cannot see the difference',
+    'Please enter your home address where you live',
+    'You can beat the deadline if you cache the rows',
+    'Stab at a fix for the broken layout',
+    'Shoot me a message when you are done',
+    'Immigrants can change the language of the app in the settings',
+    'The parasite process eats memory',
+    '这个接口太垃圾了，文档也烂',
+    '敏感词“废物”会被过滤',
+    '杀死进程后重启任务',
+    '成人教育课程的页面',
+    '我真是个白痴，忘了提交',
+    'Der Prozess wird getötet',
+    'La liste bloque le mot connard',
+    'プロセスを殺してください',
+    '「バカ」という単語は禁止語です',
+    'The master kills the slave thread',
+    'A fool-proof wizard for you',
+    "Don't break your build on Friday",
+    'It hurts performance if you choke the thread pool',
+    'We do not need the old people table any more',
+    'The rat race game level has pigs and rats',
+    'Never type your password twice',
+    'You need to shut up the logger, set level to error',
+    'sex: male, female',
+    'The trash icon moves the file to trash',
+    'This beats all other frameworks',
+    'Burn the image to the card, then boot',
+    'Your face is scanned to log you in',
+    'The novel tells of a murder in Paris',
+    'Users reported that "go die" was posted in the forum',
+    'Blocks users who send nudes, a moderation rule',
+]
+
+
+def test_held_out_wordings():
+    found, false = (sum(abuse.score(t) >= 0.5 for t in texts) for texts in (HELD_ABUSE, HELD_FINE))
+    assert found >= 0.9 * len(HELD_ABUSE) and found / (found + false) >= 0.9
+
+
+def test_the_fit_gives_the_same_weights_again():
+    rated = [(t, "abusive") for t in ABUSE[:6]] + [(t, "none") for t in FINE[:6]] + [(None, None), ("x", None)]
+    a, b = (abuse_fit.fit(rated, count=150, rounds=2) for _ in range(2))
+    assert a.weights == b.weights
 
 
 def test_abuse_operators(spark):
