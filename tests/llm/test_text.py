@@ -141,10 +141,11 @@ DISGUISED = ["scuumbag", "imbezile", "br@inless", "dumb@ss", "lowlfe", "schwachk
 
 def test_disguises_need_the_automaton(monkeypatch):
     assert all(abuse.word_class(w) for w in DISGUISED) and abuse.word_class("l*****e") and abuse.word_class("iiiidiot")
-    assert sum(abuse.score(t) >= 0.5 for t in ABUSE) == len(ABUSE)
+    texts = [f"You are such a {w}" for w in DISGUISED]
+    assert sum(abuse.score(t) >= 0.5 for t in texts) >= len(texts) - 1
     monkeypatch.setattr(abuse.Trie, "near", lambda self, word, most=None: None)
     monkeypatch.setattr(abuse, "_seen", {})
-    assert sum(abuse.score(t) >= 0.5 for t in ABUSE) <= len(ABUSE) - 4
+    assert sum(abuse.score(t) >= 0.5 for t in texts) == 0
 
 
 #: Wordings written apart from the lexicon, the made sentences and the data; README gives their figures.
