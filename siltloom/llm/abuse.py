@@ -344,8 +344,10 @@ def chances(found: set[str]) -> dict[str, float]:
     return {label: p / sum(powers) for label, p in zip(model.labels, powers)}
 
 
-def windows(text: str) -> list[set[str]]:
-    """The concepts of each sentence that holds a term."""
+def windows(text: str | None) -> list[set[str]]:
+    """The concepts of each sentence that holds a term; null and empty texts have none."""
+    if not text:
+        return []
     text = normal(text)
     low = text.lower()
     if len(low) != len(text):
@@ -374,6 +376,4 @@ def score(text: str | None) -> float:
 
     From 0.5 on a text counts as abusive.  Windows are scored alone, so the length of a text does not matter.
     """
-    if not text:
-        return 0.0
     return round(max((1 - chances(w)["none"] for w in windows(text)), default=0.0), 2)
