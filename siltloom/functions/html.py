@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
@@ -14,11 +16,11 @@ from siltloom.common import durable, map_rows
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset(["script", "style"])
-_SIGNATURE = re.compile(r"(?:\w+\s)?\w+\s?(?:=\s?)?\(\s?(?:(?:\.\.\.)?\w+\??\s?:\s?[^)]+)?\)\s*(?:=>\s?)?(?::\s?\w+\s?)?")
 #: Section headings of the crawled reference pages.
 IMPORT_HEADING = "导入模块"
 EXAMPLE_HEADINGS = ("示例：", "请求示例", "响应示例")
 SHORT_IMPORT, SHORT_PARENT = 64, 48
+CODE_CLASSES = frozenset(["typescript", "screen", "ts"])
 
 
 class Node:
@@ -121,6 +123,42 @@ def tables(html: str | None, strict: bool = True) -> list[list[dict[str, str]]]:
     return [table_records(t, strict) for t in parse(html).find_all("table")]
 
 
+@dataclass
+class _Example:
+    """A section's first code block and what is said about it."""
+
+    code: str
+    css: str  # the block's class attribute
+    scope: Node  # the element around the block, without it
+
+    @property
+    def said(self) -> str:
+        return self.scope.text()
+
+
+#: When a block is left out, and when it is an import; the first kind whose rule holds is taken.
+_LEFT_OUT: list[Callable[[_Example], bool]] = [
+    lambda e: e.css == "screen" and "{" not in e.code,
+    lambda e: "Java" in e.said or "java" in e.code,
+]
+_EXAMPLE_KINDS: list[tuple[str, Callable[[_Example], bool]]] = [
+    ("Import", lambda e: IMPORT_HEADING in e.said or "{" in e.code and len(e.code) <= SHORT_IMPORT),
+    ("Reference", lambda e: True),
+]
+
+
+def _signatures(text: str) -> Iterator[str]:
+    """What looks like a declared call: a name, brackets that are empty or begin with ``name:``, an arrow or a result type."""
+    for m in re.finditer(r"(?:\w+\s)?\w+\s?(?:=\s?)?\(", text):
+        close = text.find(")", m.end())
+        if close < 0:
+            return
+        inside = text[m.end() : close]
+        if not inside.strip() or re.match(r"\s?(?:\.\.\.)?\w+\??\s?:\s?\S", inside):
+            tail = re.match(r"\s*(?:=>\s?)?(?::\s?\w+\s?)?", text[close + 1 :])
+            yield (text[m.start() : close + 1] + tail[0]).strip()
+
+
 def code_examples(html: str | None) -> list[dict]:
     """The first code block of each section with its context.
 
@@ -129,22 +167,20 @@ def code_examples(html: str | None) -> list[dict]:
     """
     out = []
     for section in parse(html).find_all("div", class_="section"):
-        pre = next((p for p in section.find_all("pre") if set(p.attrs.get("class", "").split()) & {"typescript", "screen", "ts"}), None)
-        if pre is None:
-            continue
-        text, parent = pre.text(), pre.parent
-        parent.children.remove(pre)
-        around = parent.text()
-        if pre.attrs.get("class") == "screen" and "{" not in text:
+        block = next((p for p in section.find_all("pre") if CODE_CLASSES.intersection(p.attrs.get("class", "").split())), None)
+        if block is None:
             continue
-        kind = "Import" if IMPORT_HEADING in around or len(text) <= SHORT_IMPORT and "{" in text else "Reference"
-        if "Java" in around or "java" in text:
+        example = _Example(block.text(), block.attrs["class"], block.parent)
+        example.scope.children.remove(block)
+        if any(rule(example) for rule in _LEFT_OUT):
             continue
-        if len(around) <= SHORT_PARENT and any(h in around for h in EXAMPLE_HEADINGS) and parent.parent is not None:
-            parent = parent.parent
-        calls = [m[0].strip() for m in _SIGNATURE.finditer(parent.markup())]
-        heading = parent.find("h4")
-        out.append({"pos": len(out), "pre": text, "type": kind, "function_call": calls[-1] if calls else None, "function_name": heading.text() if heading else None, "parent_text": parent.text()})
+        kind = next(name for name, rule in _EXAMPLE_KINDS if rule(example))
+        only_heading = len(example.said) <= SHORT_PARENT and any(h in example.said for h in EXAMPLE_HEADINGS)
+        around = (only_heading and example.scope.parent) or example.scope
+        heading = around.find("h4")
+        out.append({"pos": len(out), "pre": example.code, "type": kind, "function_call": deque(_signatures(around.markup()), maxlen=1), "function_name": heading.text() if heading else None, "parent_text": around.text()})
+    for record in out:
+        record["function_call"] = record["function_call"].pop() if record["function_call"] else None
     return out
 
 
