@@ -9,7 +9,7 @@ only says whether a text is valid does not need one.
 from __future__ import annotations
 
 #: ArkTS, TypeScript and plain script.  ``A(`` opens arrow parameters, ``aid`` is a lone arrow parameter,
-#: ``T<`` and ``T>`` enclose type arguments, ``U{`` opens the child block of a UI component (or a method body),
+#: ``T<`` and ``T>`` enclose type arguments, ``C<`` and ``C>`` the type of an assertion, ``U{`` opens the child block of a UI component (or a method body),
 #: ``mname`` is the name of a method outside a class, ``mod`` a modifier: syntax.py marks these.
 SCRIPT = """
 program: item program | ~
@@ -77,7 +77,7 @@ unop: ! | tilde | + | - | ++ | -- | typeof | void | delete | await | new
 gtrest: > gtrest2 | asgn assign | assign
 gtrest2: > gtrest3 | asgn assign | assign
 gtrest3: asgn assign | assign
-unary: unop unary | postfix
+unary: unop unary | C< type C> unary | postfix
 postfix: primary tail
 tail: . name tail | ?. optafter tail | [ expr ] tail | ( args ) tail | T< typeargs T> taft tail | template tail | postinc tail | postbang tail | U{ stmts } tail | ~
 taft: ( args ) | ~
@@ -168,7 +168,7 @@ nsbody: item nsbody | ~
 """
 
 #: Java. ``decl`` stands before a type that begins a declaration, ``cast(`` opens a cast, ``L(`` lambda
-#: parameters, ``lid`` is a lone lambda parameter, ``T<``/``T>`` type arguments, ``mname`` a method or constructor name.
+#: parameters, ``lid`` is a lone lambda parameter, ``yieldword`` gives a switch its value, ``T<``/``T>`` type arguments, ``mname`` a method or constructor name.
 JAVA = """
 program: item program | ~
 item: package qname ; | import staticopt qname importstar ; | decoratedj
@@ -231,7 +231,7 @@ targ: ? wild | ann targ | type
 wild: extends type | super type | ~
 dims: [ ] dims | ~
 stmts: stmt stmts | ~
-stmt: { stmts } | ; | localmods | if ( expr ) stmt elseopt | for ( forhead ) stmt | while ( expr ) stmt | do stmt while ( expr ) ; | return expropt ; | break idopt ; | continue idopt ; | throw expr ; | try tryres { stmts } catches | switch ( expr ) { cases } | synchronized ( expr ) { stmts } | assert expr assertmsg ; | label : stmt | class typedecl | interface typedecl | enum enumdecl | expr ;
+stmt: { stmts } | ; | localmods | if ( expr ) stmt elseopt | for ( forhead ) stmt | while ( expr ) stmt | do stmt while ( expr ) ; | return expropt ; | break idopt ; | continue idopt ; | throw expr ; | try tryres { stmts } catches | switch ( expr ) { cases } | yieldword expr ; | synchronized ( expr ) { stmts } | assert expr assertmsg ; | label : stmt | class typedecl | interface typedecl | enum enumdecl | expr ;
 localmods: final localdecl | ann localdecl | static localdecl | abstract localdecl | decl type id dims initj declsj ;
 localdecl: final localdecl | ann localdecl | abstract localdecl | class typedecl | decl type id dims initj declsj ;
 elseopt: else stmt | ~

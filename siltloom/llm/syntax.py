@@ -15,8 +15,11 @@ from siltloom.llm.lexer import SCRIPT_WORDS, Lexed, lex
 _OPEN, _CLOSE = {"(": ")", "[": "]", "{": "}"}, {")", "]", "}"}
 _MODS = frozenset("private public protected static readonly override abstract declare".split())
 _VALUE = frozenset(["id", "aid", "num", "str", "tpl", "tt", "rx", ")", "]", "}", "this", "super", "null", "true", "false", "T>"])
+#: Behind these no value stands, so that < opens the type of an assertion.
+_ASSERTED = frozenset(["=", "(", ",", "[", "return", "=>", "&&", "||", "??", "?", ":", "!", "..."])
 _STARTS = frozenset(["", "{", "}", ";", "U{"])
 _TYPE = frozenset(["id", ".", ",", "[", "]", "bar", "&", "str", "num", "null", "void", "this", "typeof", "true", "false", "?", "=>", "("])
+_YIELDED = frozenset(["id", "num", "str", "new", "this", "null", "true", "false", "switch", "!", "tilde", "-", "+"])
 _PRIM = frozenset("boolean byte char short int long float double".split())
 _JMODS = frozenset("public private protected static final abstract native synchronized transient volatile strictfp default".split())
 _RENAME = {"|": "bar", "~": "tilde"}
@@ -94,6 +97,7 @@ def mark_script(text: str, x: Lexed) -> list[str]:
     start, end = x.start, x.end
     depth = 0
     closers: set[int] = set()
+    asserted: set[int] = set()
     kind = kind + ["", "", ""]
     for i in range(n):
         k, prev, nxt = kind[i], kind[i - 1] if i else "", kind[i + 1]
@@ -121,6 +125,8 @@ def mark_script(text: str, x: Lexed) -> list[str]:
             elif word in _MODS:
                 if (nxt in ("id", "str", "[", "class", "@", "const", "function", "enum", "*") or nxt in SCRIPT_WORDS and nxt not in ("in", "instanceof")) and not fresh[i + 1]:
                     kind[i] = "mod"
+                elif word == "static" and nxt == "{" and depth and prev in ("{", "}", ";"):
+                    kind[i] = "mod"  # a class's initialiser
             elif word == "async":
                 if (nxt in ("function", "(", "*") or nxt == "id") and not fresh[i + 1]:
                     if nxt == "(":
@@ -182,9 +188,15 @@ def mark_script(text: str, x: Lexed) -> list[str]:
                 if c > 0 and kind[c + 1] == "(" and (prev == "id" or prev == "mname" or kind[to[c + 1] + 1] in ("=>", ":")):
                     kind[i] = "T<"
                     closers.add(c)
+            if kind[i] == "<" and prev in _ASSERTED:
+                c = _angle(kind, to, i, False)
+                if c > 0 and kind[c + 1] in ("id", "(", "[", "{", "str", "num", "this", "new", "null", "await", "tpl", "th"):
+                    kind[i], asserted = "C<", {*asserted, c}
         elif k == ">":
             if i in closers:
                 kind[i] = "T>"
+            elif i in asserted:
+                kind[i] = "C>"
         elif k == "!":
             if prev in _VALUE and not fresh[i]:
                 kind[i] = "postbang"
@@ -235,6 +247,9 @@ def mark_java(text: str, x: Lexed) -> tuple[list[str], list[int]]:
             if prev in _VALUE:
                 kind[i] = "postinc"
         if (k == "id" or k in _PRIM) and kind[i] == k:
+            if k == "id" and prev in ("{", "}", ";", ":", "->") and nxt in _YIELDED and text[x.start[i] : x.end[i]] == "yield":
+                kind[i] = "yieldword"
+                continue
             if k == "id" and nxt == "->" and prev not in ("case", ","):
                 kind[i] = "lid"
                 continue
