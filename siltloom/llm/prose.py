@@ -26,8 +26,18 @@ FUNCTION_WORDS = {
     "ru": "и в во не на с со что это как по к ко у из за от до для или но а о об при без если когда чтобы потому что нет есть был была было были быть нужно можно следует сначала затем потом после перед снова уже ещё еще только все всё его её их мы вы они он она мне вас нас пожалуйста через этот эта эти то же бы ли удалось",
     "ko": "그리고 그러나 하지만 또는 또한 만약 때문에 다시 먼저 전에 후에 있는 없는 있습니다 없습니다 합니다 하세요 주세요 않습니다 것 수 및 등 이 그 저 중에 여기서",
 }
-#: Latin letters carry five of the languages; the other scripts one or two each.
-_LATIN = ("en", "de", "fr", "es")
+#: Function words of other languages of the same scripts: where one of them has the most votes, the language is none of ours.
+OTHER_WORDS = {
+    "it": "il lo gli della dello delle dei degli del nel nella che per con non è una uno sono questo questa dopo prima anche più come quando perché può deve ogni se ma al alla dal dalla si ha hanno stato essere e di da su tra fra",
+    "pt": "o os as um uma não com para por são do da dos das no na nos nas em ao pelo pela você este esta isso mais mas quando também já foi ser ou se que de e depois antes até há está",
+    "nl": "het een van niet voor met zijn wordt worden ook maar naar deze dit dat die er je op om te aan bij of als nog kan moet zou heeft hebben geen wat wanneer hier en de is in was over",
+    "pl": "nie jest się na do że jak ale lub oraz przez dla przed po tylko już może być są został który która to z w i od przy gdy",
+    "sv": "och att det som en ett är inte för med på av till den har om kan ska var från vid eller när men så efter innan",
+    "uk": "та що не є це для як або від після будь ласка який яка які якщо але був була було ще вже має треба з у в і й до на за про коли перед під час",
+    "bg": "и на не се за от да с в по е са той тя това като със при без след преди или ако но има няма може трябва който която",
+}
+#: Letters that Russian does not have, and letters that are Cyrillic at all.
+_NOT_RUSSIAN = re.compile("[іїєґўјљњћђџѓќѕІЇЄҐЎЈЉЊЋЂЏЃЌЅ]")
 _SCRIPTS = re.compile(r"(?P<kana>[ぁ-ゖァ-ヺーｦ-ﾝ]+)|(?P<han>[㐀-䶿一-鿿豈-﫿々]+)|(?P<hangul>[가-힣ᄀ-ᇿㄱ-ㆎ]+)|(?P<cyr>[Ѐ-ԯ]+)|(?P<latin>[A-Za-zÀ-ɏ]+)")
 _WORD = re.compile(r"(?<![\w./@#$\\-])[^\W\d_]+(?:['’][^\W\d_]+)*(?![\w/@#$\\(=]|\.\w)")
 _CODE = re.compile(r"[;{}]\s*$|[\w\])]\s*(?:[-+*/]?=|=>|===?|!==?)\s*[\w'\"\[({]|\w\([\w.,\s'\"]*\)\s*[;.{]|^\s*(?:import|export|return|const|let|var|case|throw|new)\b.*[;'\"(=]|\)\s*=>|</?\w+[^>]*>\s*$", re.S)
@@ -36,24 +46,26 @@ _MARKER = re.compile(r"^\s*(?:(?:TODO|FIXME|XXX|HACK|NOTE|BUG|WARN(?:ING)?|OPTIM
 _TAG = re.compile(r"^\s*@(?:param|throws|property|template|typedef|arg|argument|prop)\s+(?:\{[^}]*\}\s*)?[\w.$\[\]]+|^\s*@\w+(?:\s*\{[^}]*\})?", re.M)
 _ESC = {"n": "\n", "t": "\t", "r": " "}
 MIN_WORDS, MIN_CHARS = 4, 8
+#: Votes that a language needs: more than one word that a third of all share.
+FLOOR = 1.5
 
 
 @lru_cache(1)
 def _automaton() -> ahocorasick.Automaton:
     of: dict[str, set[str]] = {}
-    for lang, words in FUNCTION_WORDS.items():
-        for word in words.split():
+    for lang, words in (*FUNCTION_WORDS.items(), *OTHER_WORDS.items()):
+        for word in set(words.split()):
             of.setdefault(word, set()).add(lang)
     automaton = ahocorasick.Automaton()
     for word, langs in of.items():
-        weight = math.log((1 + len(FUNCTION_WORDS)) / len(langs))
+        weight = math.log((1 + len(FUNCTION_WORDS) + len(OTHER_WORDS)) / len(langs))
         automaton.add_word(word, (len(word), tuple(sorted(langs)), weight))
     automaton.make_automaton()
     return automaton
 
 
 def votes(text: str) -> dict[str, float]:
-    """Weight of the function words of each language in ``text`` (lower case)."""
+    """Weight of the function words of each language, ours and others, in ``text`` (lower case)."""
     found: Counter = Counter()
     n = len(text)
     for end, (size, langs, weight) in _automaton().iter(text):
@@ -118,17 +130,27 @@ def language(span: str) -> str | None:
     words = _WORD.findall(text)
     if len(words) < MIN_WORDS:
         return None
-    if counts["hangul"] > max(counts["cyr"], counts["latin"] / 3):
-        return "ko"
-    if counts["cyr"] > counts["latin"] / 2:
-        return "ru"
-    if _CODE.search(text.strip()) and (is_comment or "\n" in text):
+    script = "ko" if counts["hangul"] > max(counts["cyr"], counts["latin"] / 3) else "ru" if counts["cyr"] > counts["latin"] / 2 else ""
+    if not script and _CODE.search(text.strip()) and (is_comment or "\n" in text):
         return None
-    found = {lang: v for lang, v in votes(text.lower()).items() if lang in _LATIN}
-    if not found:
+    return elected(text, script)
+
+
+def elected(text: str, script: str = "") -> str | None:
+    """The language with the most votes, None where that is none of ours or the votes are too few.
+
+    The words of the text's own script vote.  A text in Hangul or Cyrillic whose function words say nothing, most of them
+    being endings or left out, is Korean, or Russian if it has no letter that Russian lacks.
+    """
+    found = votes(text.lower())
+    ours = {"ko": ("ko",), "ru": ("ru", "uk", "bg")}.get(script, [lang for lang in (*FUNCTION_WORDS, *OTHER_WORDS) if lang not in ("ko", "ru", "uk", "bg")])
+    found = {lang: found[lang] for lang in ours if lang in found}
+    best = max(sorted(found, key=lambda lang: (lang in OTHER_WORDS, lang)), key=found.__getitem__, default=None)
+    if script == "ru" and _NOT_RUSSIAN.search(text):
         return None
-    best = max(sorted(found), key=found.__getitem__)
-    return best if found[best] >= 1.5 else None
+    if script and (best is None or found[best] < FLOOR):
+        return script
+    return best if best in FUNCTION_WORDS and found[best] >= FLOOR else None
 
 
 def spans(text: str | None, java: bool = False) -> list[tuple[int, int, str, str]]:

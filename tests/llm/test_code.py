@@ -22,6 +22,8 @@ VALID_SCRIPT = [
     "try { a() } catch (e) { b(e.code) } finally { }",
     "type A = { a?: string; b: number[] } | null;\nenum E { A = 1, B }\nlabel: for (;;) { break label; }",
     "interface A { a: string; b(): void }",
+    "class A {\n  static {\n    this.a = 1;\n  }\n  b() {}\n}",
+    "const a = <any>b; f(<string[]>a, 1); let c = (<Foo<Bar>>d).e; const g = <T>(h: T) => h; if (a < b) { c > d; }",
 ]
 BROKEN_SCRIPT = [
     ("function f() {\n  a = ;\n}", 21),
@@ -45,6 +47,10 @@ VALID_JAVA = [
     "private void f() { run(() -> { a(); }); list.forEach(x -> b(x)); A[] a = new A[3]; int[] c = {1, 2}; c[0]++; String s = a ? \"x\" : b; Object o = new Runnable() { public void run() {} }; }",
     "void f() { try (A a = b()) { c(); } catch (E | G e) { d(); } finally { } switch (x) { case 1: a(); break; default: b(); } do { } while (x > 1); }",
 ]
+VALID_JAVA += [
+    "class A { int f(int a) { return switch (a) { case 1 -> 2; default -> { yield 3; } }; } }",
+    "void f() { int x = switch (d) { case A: yield 1; default: yield a + 2; }; yield(); int yield = 2; yield = 3; }",
+]
 BROKEN_JAVA = ["void f() { int x = 1 }", "void f() { const x = 1; }", "void f() { g(a b); }", "void f() {", "function f(a: string) {}", 'void f() { String s = "abc; }', "this.x = 1;"]
 
 
@@ -113,6 +119,13 @@ PROSE = [
     ("'common/images/a.png'", None),
     ("// 加载数据", None),
     ("// the list", None),
+    ("// Questo metodo carica la lista e non la salva dopo", None),
+    ("// O método carrega a lista e não salva os dados", None),
+    ("// Deze methode laadt de lijst en slaat het niet op", None),
+    ("// Цей метод завантажує список та не зберігає його", None),
+    ("// Metoda ładuje listę i nie zapisuje jej przed końcem", None),
+    ("// Этот метод загружает список и не сохраняет его", "ru"),
+    ("// Загрузка списка завершена успешно", "ru"),
     ("/**\n * This page shows the list of all items.\n * @param x\n */", "en"),
 ]
 
