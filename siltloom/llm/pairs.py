@@ -40,7 +40,7 @@ _FENCE = re.compile(r"```[\w+-]*\n?|~~~[\w+-]*\n?")
 _ACK = re.compile(r"^\s*(?:ok(?:ay)?|sure|of course|certainly|alright|right|yes|got it|understood|no problem|here (?:you go|it is)|好的|好|当然|没问题|明白(?:了)?|收到|是的|可以|嗯|了解|わかりました|はい|承知(?:いたし|し)ました|もちろん|klar|gerne|natürlich|bien sûr|d'accord|claro|por supuesto|хорошо|конечно|네|알겠습니다|물론)[\s,.:;!，。：；！、-]*", re.I)
 _CODE = re.compile(r"[{}]|;\s*$|=>|\)\s*\{|^\s*(?:import|export|const|let|var|return|function|class|public|private|def)\b.*[=({]", re.M)
 _END = re.compile(r"[.!?。！？…”\"」』)）]\s*$")
-_CLAUSE = re.compile(r"[^。！？!?\n]*?(?:[。！？!?]+[”\"」』]?|\.(?=\s|$)|\n|$)")
+_CLAUSE = re.compile(r"[^。！？!?；;\n]*?(?:[。！？!?；;]+[”\"」』]?|\.(?=\s|$)| / |\n|$)")
 
 
 def guess(text: str) -> str:
@@ -68,7 +68,7 @@ def guess(text: str) -> str:
         return "ko"
     if c["ru"] * 2 >= c["latin"]:
         return "ru"
-    found = {k: v for k, v in votes(text.lower()).items() if k in ("en", "de", "fr", "es")}
+    found = {k: v for k, v in votes(text.lower()).items() if k not in ("ko", "ru", "uk", "bg")}
     return max(sorted(found), key=found.__getitem__) if found else ""
 
 
@@ -77,6 +77,12 @@ def _grams(text: str) -> Counter:
     return Counter(t[i : i + 2] for i in range(len(t) - 1)) if len(t) > 1 else Counter([t] if t else [])
 
 
+def _questions(asked: list[str]) -> list[Counter]:
+    """The character pairs of each wording, and of all wordings together."""
+    each = [_grams(q) for q in asked]
+    return [*each, sum(each, Counter())] if len(each) > 1 else each
+
+
 def _within(text: str, grams: list[Counter]) -> float:
     """The largest share of the text's character pairs that one of the questions has."""
     own = _grams(text)
@@ -95,7 +101,7 @@ def clauses(field: str, text: str | None) -> list[tuple[str, str]]:
     prose = re.sub(r"\*/\s*$", "", prose)
     if field != "description" and len(_CODE.findall(bare)) >= 2:
         return [("code", bare)]
-    return [("text", m[0]) for m in _CLAUSE.finditer(prose) if m[0].strip()] or [("blank", bare)]
+    return [("text", m[0]) for m in _CLAUSE.finditer(prose) if re.search(r"\w|…|\.\.", m[0])] or [("blank", bare)]
 
 
 def _open(text: str) -> bool:
@@ -124,8 +130,8 @@ def features(field: str, parts: list[tuple[str, str]], grams: list[Counter], ask
             deny, own, sorry, task = (bool(p.search(bare)) for p in (_DENY, _SELF, _SORRY, _TASK))
             row.append(f"deny={deny}|self={own}|sorry={sorry}")
             row.append(f"firm={bool(_FIRM.search(bare))}|deny={deny}")
-            row.append(f"deny={deny}|task={task}")
-            row.append(f"deny={deny}|self={own}|task={task}")
+            if deny:
+                row += [f"deny|task={task}", f"deny|self={own}|task={task}"]
             rest = _ACK.sub("", text)
             if not rest.strip():
                 row.append("ack")
@@ -153,7 +159,7 @@ def defects(query: list[str | None] | None, description: str | None, code: str |
     A question without any wording can be neither copied nor answered in another language.
     """
     asked = [q for q in (query if query is not None else []) if q and q.strip()]
-    grams = [_grams(q) for q in asked]
+    grams = _questions(asked)
     langs = Counter(filter(None, map(guess, asked)))
     lang = langs.most_common(1)[0][0] if langs else ""
     out = set()
@@ -170,19 +176,17 @@ def defects(query: list[str | None] | None, description: str | None, code: str |
         if size["refusal"] >= 0.5 * total:
             out.add("refusal")
             continue
-        # a text longer than all questions together says more than they do
-        short = grams and len(text or "") <= 1.1 * sum(map(len, asked)) + 40
-        if grams and (size["echo"] >= 0.9 * total or short and _within(_ACK.sub("", text or ""), [*grams, sum(grams, Counter())]) >= 0.96):
+        if grams and size["echo"] >= 0.9 * total:
             out.add("copy")
             continue
         if tags[-1] == "unfinished" or parts[0][0] == "code" and "unfinished" in tags:
             out.add("truncated")
-        if field == "description" and lang and (guess(text or "") or lang) != lang and size["foreign"] + size["unfinished"] >= 0.5 * total:
+        if field == "description" and lang and size["foreign"] >= 0.5 * total:
             out.add("language")
     return [d for d in ("empty", "truncated", "refusal", "copy", "language") if d in out]
 
 
-def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[str, str]], list[Counter], str, list[str]]]:
+def examples(count: int = 3000, seed: int = 5) -> list[tuple[str, list[tuple[str, str]], list[Counter], str, list[str]]]:
     """Made-up answer fields with the label of each clause."""
     rng = random.Random(seed)
     things = {"en": ["river map", "garden plan", "ticket queue", "harbor log"], "zh": ["河流地图", "花园方案", "票务队列", "港口日志"], "ja": ["川の地図", "庭の計画", "切符の列", "港の記録"], "de": ["die Flusskarte", "den Gartenplan", "die Hafenliste"], "fr": ["la carte", "le plan du jardin", "le journal du port"], "es": ["el mapa del río", "el plan del jardín", "la lista del puerto"], "ru": ["карту реки", "план сада", "журнал порта"], "ko": ["강 지도", "정원 계획", "항구 기록"]}
@@ -217,8 +221,11 @@ def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[str
         def fill(pool: dict, l: str) -> str:
             return rng.choice(pool[l]).format(rng.choice(things[l]), n=name)
 
-        q = fill(questions, lang)
-        grams = [_grams(q)]
+        wordings = [fill(questions, lang) for _ in range(rng.choice([1, 1, 1, 2, 3, 4]))]
+        if rng.random() < 0.4:
+            wordings[0] += {"zh": "？请结合{}给出实现", "ja": "。{}を使ってください"}.get(lang, "? Please use {}").format(rng.choice(things[lang]))
+        q = wordings[0]
+        grams = _questions(wordings)
         asked = guess(q)
         field = rng.choice(["description", "description", "code", "solution"])
         kind = rng.random()
@@ -256,12 +263,15 @@ def examples(count: int = 1600, seed: int = 5) -> list[tuple[str, list[tuple[str
                 texts[0] = q + rng.choice(["：", " - ", ": "]) + texts[0]
         elif kind < 0.86:
             texts, tags = [fill(refusals, lang if rng.random() < 0.9 else rng.choice(["en", "zh"]))], ["refusal"]
-        elif kind < 0.96:
-            texts, tags = [rng.choice(acks.get(lang, [""])) + q + rng.choice(["", "。" if lang in ("zh", "ja") else "."])], ["echo"]
+        elif kind < 0.97:
+            copied = wordings if rng.random() < 0.7 else [q] * rng.randrange(1, 4)
+            whole = rng.choice(acks.get(lang, [""])) + rng.choice(["；", "; "] if lang in ("zh", "ja") else ["; ", " / "]).join(copied) + rng.choice(["", "", "。" if lang in ("zh", "ja") else "."])
+            texts = [t for _, t in clauses("description", whole)]
+            tags = ["echo"] * len(texts)
         else:
             out.append((field, [("blank", "")], grams, asked, ["void"]))
             continue
-        joined = ("" if lang in ("zh", "ja") else " ").join(texts)
+        joined = "".join(texts) if tags[0] == "echo" else ("" if lang in ("zh", "ja") else " ").join(texts)
         parts = clauses("description", joined)
         if len(parts) != len(texts):
             continue

@@ -33,6 +33,16 @@ def test_defects(fields, want):
     assert pairs.defects(*fields) == want
 
 
+def test_copies_come_from_the_tags(monkeypatch):
+    q = "How can I load the map on a page? Please use the cache"
+    for text in (q, " ".join([q + "."] * 3), "; ".join([q] * 3), f"Sure. {q}"):
+        assert pairs.defects([q], text, CODE, CODE) == ["copy"], text
+    assert pairs.defects([q], q + ". The method reads the file and keeps it in memory.", CODE, CODE) == []
+    assert pairs.defects(["Write code that loads the map"], "Questo metodo carica la mappa e non la salva dopo.", CODE, CODE) == ["language"]
+    monkeypatch.setattr(pairs._model(), "viterbi", lambda rows: ["answer"] * len(rows))
+    assert pairs.defects([q], q, CODE, CODE) == [] and pairs.defects([q], None, "", CODE) == []
+
+
 def test_held_out_clauses():
     made = pairs.examples(300, seed=99)
     wrong = sum(pairs._model().viterbi(pairs.features(f, p, g, a)) != t for f, p, g, a, t in made)
