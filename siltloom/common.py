@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,13 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; a local one only where none is set (tests)."""
+    """The shared folder that the session names in spark.checkpoint.dir.
+
+    On one machine (a local master, as in tests) an unset folder is replaced by a temporary one, removed at the end; on a
+    cluster, whose executors share no such folder, an unset one is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="siltloom-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="siltloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
     spark.sparkContext.setCheckpointDir(named)
     return named
 
@@ -35,6 +45,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; trouble in finding out is an error, never a no."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def spread(df: DataFrame, bytes_per_core: int = 8 << 20) -> DataFrame:
     """The same rows over all cores where the input is small and lies in fewer files than there are cores.
 
@@ -95,6 +111,7 @@ def local_session(name: str = "siltloom", cores: int | str = "*", **conf: str) -
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -52,18 +52,51 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) ->
     return seen
 
 
-def cyclic_nodes(edges: DataFrame) -> DataFrame:
-    """(node): nodes that lie on a cycle or lead to and come from one: what is left after sources and sinks are peeled off."""
-    left = durable(edges.select("src", "dst").distinct())
+def _peeled(edges: DataFrame) -> DataFrame:
+    """The edges left after nodes without an edge in or out are taken away again and again."""
+    left = durable(edges)
     n = left.count()
     while n:
         ahead = left.join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
         left = durable(ahead.join(ahead.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"))
-        m = left.count()
-        if m == n:
+        n, before = left.count(), n
+        if n == before:
             break
-        n = m
-    return left.select(F.col("src").alias("node")).distinct()
+    return left
+
+
+def cyclic_nodes(edges: DataFrame) -> DataFrame:
+    """(node): nodes that lie on a cycle; those that only lie between two cycles do not.
+
+    Nodes outside all cycles are peeled off first.  Then every node takes the greatest id that reaches it; the nodes of one
+    such colour that reach the colour's own node are its strong component.  Components are taken out and the rest starts again.
+    """
+    left = _peeled(edges.select("src", "dst").distinct())
+    found: DataFrame | None = None
+    while left.limit(1).count():
+        colours = durable(left.select(F.col("src").alias("id")).unionByName(left.select(F.col("dst").alias("id"))).distinct().withColumn("colour", F.col("id")))
+        while True:
+            seen = left.join(colours.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.max("colour").alias("seen"))
+            new = durable(colours.join(seen, "id", "left").select("id", F.col("colour").alias("old"), F.greatest("colour", "seen").alias("colour")))
+            colours = new.select("id", "colour")
+            if not new.where("colour > old").limit(1).count():
+                break
+        ends = left.join(colours.select(F.col("id").alias("src"), F.col("colour").alias("c")), "src").join(colours.select(F.col("id").alias("dst"), F.col("colour").alias("d")), "dst")
+        back = durable(ends.where("c = d").select("src", "dst"))
+        part = durable(colours.where("id = colour"))
+        frontier = part
+        while frontier.limit(1).count():
+            step = back.join(frontier.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "colour").distinct()
+            frontier = durable(step.join(part.select("id"), "id", "left_anti"))
+            part = durable(part.unionByName(frontier))
+        several = part.groupBy("colour").agg(F.count("*").alias("n")).where("n > 1").select("colour")
+        alone = left.where("src = dst").select(F.col("src").alias("id"))
+        nodes = durable(part.join(several, "colour", "left_semi").select("id").unionByName(part.select("id").join(alone, "id", "left_semi")).distinct())
+        found = nodes if found is None else found.unionByName(nodes)
+        rest = left.join(part.select(F.col("id").alias("src")), "src", "left_anti").join(part.select(F.col("id").alias("dst")), "dst", "left_anti")
+        left = _peeled(rest.select("src", "dst"))
+    nodes = found if found is not None else edges.select(F.col("src").alias("id")).where("false")
+    return nodes.select(F.col("id").alias("node")).distinct()
 
 
 def leaves(nodes: DataFrame) -> DataFrame:

@@ -103,8 +103,8 @@ def ready_folders(files: DataFrame, inputs: tuple[str, ...] = ("ets", "txt"), ta
 
 
 def second_elements(df: DataFrame, column: str) -> DataFrame:
-    """The second element of each list, '' where there is none."""
-    return df.select(F.coalesce(F.get(F.col(column), F.lit(1)), F.lit("")).alias("second"))
+    """Adds ``second``: the second element of each list, '' where there is none."""
+    return df.withColumn("second", F.coalesce(F.get(F.col(column), F.lit(1)), F.lit("")))
 
 
 # joins

@@ -1,19 +1,21 @@
 """Lexical, set and vector retrieval with explicit ties, chunking, fusion.
 
-Scoring goes through postings: a query meets only the documents that share one of its terms, and both sides are
-aggregated before ranking.  A query set is given as a table, never as a driver-side loop.
+Documents are dealt to shards, each with an inverted index of its own, and blocks of queries are sent to the shards: a
+query meets only the documents that share one of its terms, and the k best are taken before anything is shuffled for
+the ranking.  A query set is given as a table, never as a driver-side loop.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltloom.common import map_rows
+from siltloom.common import durable, map_rows
 from siltloom.functions.text import code_tokens, import_features
 
 #: Separators of the two chunkers.
@@ -32,21 +34,73 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9_]+"), F.lit(0)))
 
 
+def _meet(queries: DataFrame, docs: DataFrame, score: Callable[..., tuple[np.ndarray, np.ndarray]], k: int, rows: int = 4096, block: int = 1024) -> DataFrame:
+    """(query_id, doc_id, score): of each shard of documents the k best of each query that share a term with it.
+
+    ``docs`` has doc_id, ids (hashes of terms, sorted) and size, ``queries`` has query_id, ids, weights and size.  The documents
+    are dealt to shards of about ``rows``, each shuffled once; the queries are packed into blocks of about ``block``, and
+    each block goes to every shard.  A shard is an inverted index of its own, so only k rows per query and shard are
+    shuffled for the ranking, whatever common terms they share.  ``score`` takes, for one query, the
+    document and the query's term of each posting hit, the query and the documents' sizes, and gives documents and scores.
+    """
+    shards = max(1, -(-docs.count() // rows))
+    blocks = max(1, -(-queries.count() // block))
+    dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    packed = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).groupBy("block").agg(F.collect_list(F.struct("query_id", "ids", "weights", "size")).alias("qs"))
+    sent = packed.select("qs", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    kinds = dict(queries.dtypes)["query_id"], dict(docs.dtypes)["doc_id"]
+
+    def one(key, d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        names, lists, sizes = d["doc_id"].to_numpy(), d["ids"].to_numpy(), d["size"].to_numpy()
+        n = len(names)
+        out_q, out_d, out_s = [], [], []
+        if n and len(q):
+            flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in lists])
+            owner = np.repeat(np.arange(n), [len(x) for x in lists])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for qs in q["qs"]:
+                for one_q in qs:
+                    ids = np.asarray(one_q["ids"], dtype=np.int64)
+                    begin, end = np.searchsorted(flat, ids, "left"), np.searchsorted(flat, ids, "right")
+                    lengths = end - begin
+                    if not lengths.sum():
+                        continue
+                    at = np.repeat(begin - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
+                    found, total = score(owner[at], np.repeat(np.arange(len(ids)), lengths), one_q, sizes)
+                    best = np.lexsort((names[found], -total))[:k]
+                    out_q += [one_q["query_id"]] * len(best)
+                    out_d += names[found[best]].tolist()
+                    out_s += total[best].tolist()
+        return pd.DataFrame({"query_id": pd.Series(out_q, dtype=object), "doc_id": pd.Series(out_d, dtype=object), "score": pd.Series(out_s, dtype="float64")})
+
+    return dealt.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(one, f"query_id {kinds[0]}, doc_id {kinds[1]}, score double")
+
+
+def _hashed(terms: str) -> Column:
+    return F.array_sort(F.transform(terms, lambda t: F.xxhash64(t)))
+
+
 def jaccard_topk(queries: DataFrame, docs: DataFrame, k: int, terms: str = "terms", pad: bool = False) -> DataFrame:
     """(query_id, doc_id, score, rank) by the Jaccard likeness of term sets.
 
     ``queries`` has query_id and the terms, ``docs`` doc_id and the terms.  Documents that share nothing score 0 and are
     given only with ``pad``: then the smallest doc_ids fill up to k, as a full scan would.
     """
-    q = queries.select("query_id", F.size(terms).alias("nq"), F.explode(terms).alias("t"))
-    d = docs.select("doc_id", F.size(terms).alias("nd"), F.explode(terms).alias("t"))
-    common = q.join(d, "t").groupBy("query_id", "doc_id").agg(F.count("*").alias("c"), F.first("nq").alias("nq"), F.first("nd").alias("nd"))
-    scored = common.select("query_id", "doc_id", (F.col("c") / (F.col("nq") + F.col("nd") - F.col("c"))).alias("score"))
+    q = queries.select("query_id", _hashed(terms).alias("ids"), F.array().cast("array<double>").alias("weights"), F.size(terms).alias("size"))
+    d = docs.select("doc_id", _hashed(terms).alias("ids"), F.size(terms).alias("size"))
+
+    def likeness(owner: np.ndarray, term: np.ndarray, query: dict, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        common = np.bincount(owner, minlength=len(sizes))
+        found = np.flatnonzero(common)
+        return found, common[found] / (query["size"] + sizes[found] - common[found])
+
+    scored = _meet(q, d, likeness, k)
     if pad:
-        # fillers are among the 2 k smallest ids, for at most k of those can be hits that are ranked already
+        # the k smallest ids fill up what k hits leave open: of those k at most the hits themselves are passed over
         firsts = docs.select("doc_id").orderBy("doc_id").limit(2 * k).agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
         fill = queries.select("query_id").join(F.broadcast(firsts)).select("query_id", F.explode("ids").alias("doc_id"), F.lit(0.0).alias("score"))
-        scored = scored.unionByName(fill.join(scored.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti"))
+        scored = scored.unionByName(fill).groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
     return top_k(scored, k)
 
 
@@ -55,44 +109,53 @@ def import_examples(docs: DataFrame, text: str = "pre") -> DataFrame:
     return docs.withColumn("terms", import_features(F.col(text)))
 
 
-def bm25_index(docs: DataFrame, tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
-    """(postings: t, doc_id, tf, dl, avgdl; weights: t, idf) of tokenised documents.
+def bm25_weights(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(t, idf): the weight of each term's hash over all documents.
 
     A term in more than half of the documents would weigh below zero; it gets a quarter of the mean weight instead.
     """
-    flat = docs.select("doc_id", F.size(tokens).alias("dl"), F.explode(tokens).alias("t"))
-    tf = flat.groupBy("t", "doc_id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
-    stats = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens)).alias("avgdl"))
-    df = tf.groupBy("t").agg(F.count("*").alias("df")).join(F.broadcast(stats))
-    raw = df.withColumn("idf", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    df = docs.select(F.explode(F.array_distinct(_hashed(tokens))).alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    stats = docs.agg(F.count("*").alias("n"))
+    raw = df.join(F.broadcast(stats)).withColumn("idf", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = raw.agg(F.avg("idf").alias("mean"))
-    weights = raw.join(F.broadcast(mean)).select("t", F.when(F.col("idf") < 0, 0.25 * F.col("mean")).otherwise(F.col("idf")).alias("idf"))
-    return tf.join(F.broadcast(stats.select("avgdl"))), weights
+    return raw.join(F.broadcast(mean)).select("t", F.when(F.col("idf") < 0, 0.25 * F.col("mean")).otherwise(F.col("idf")).alias("idf"))
 
 
 def bm25_topk(queries: DataFrame, docs: DataFrame, k: int, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """(query_id, doc_id, score, rank); ``queries`` and ``docs`` have tokens, a repeated query token counts again."""
-    postings, weights = bm25_index(docs)
-    q = queries.select("query_id", F.explode("tokens").alias("t")).groupBy("query_id", "t").agg(F.count("*").alias("qf"))
-    part = q.join(weights, "t").join(postings, "t")
-    value = F.col("qf") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return top_k(part.groupBy("query_id", "doc_id").agg(F.sum(value).alias("score")), k)
-
-
-def vector_topk(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", block: int = 1024) -> DataFrame:
+    asked = queries.select("query_id", F.explode(_hashed("tokens")).alias("t")).groupBy("query_id", "t").agg(F.count("*").alias("qf")).join(bm25_weights(docs), "t")
+    mean = docs.agg(F.avg(F.size("tokens")).alias("m"))
+    pairs = F.array_sort(F.collect_list(F.struct("t", (F.col("qf") * F.col("idf")).alias("w"))))
+    whole = asked.groupBy("query_id").agg(pairs.alias("p")).join(F.broadcast(mean))
+    q = whole.select("query_id", F.transform("p", lambda x: x["t"]).alias("ids"), F.transform("p", lambda x: x["w"]).alias("weights"), F.col("m").alias("size"))
+    q = durable(q)  # counted and sent
+    d = docs.select("doc_id", _hashed("tokens").alias("ids"), F.size("tokens").alias("size"))
+
+    def bm25(owner: np.ndarray, term: np.ndarray, query: dict, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(sizes)
+        code, tf = np.unique(term * n + owner, return_counts=True)
+        term, owner = code // n, code % n
+        value = np.asarray(query["weights"])[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[owner] / query["size"]))
+        found = np.unique(owner)
+        return found, np.bincount(owner, weights=value, minlength=n)[found]
+
+    return top_k(_meet(q, d, bm25, k), k)
+
+
+def vector_topk(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine", block: int = 1024, rows: int = 4096) -> DataFrame:
     """(query_id, vec_id, score, rank) by brute force in blocks.
 
-    The query vectors are packed into blocks of ``block`` and each vector partition scores a block at a time with one
-    matrix product, keeping k per query, so that only k rows per query and partition are shuffled.  metric: cosine, or
+    The vectors are dealt to chunks of about ``rows``, each shuffled once; the query vectors are packed into blocks of
+    ``block``, which go to every chunk.  A chunk scores a block at a time with one matrix product, keeping k per query, so
+    that only k rows per query and chunk are shuffled.  metric: cosine, or
     l2, whose score is 1 - squared distance and may be negative.
     """
-    count = queries.count()
-    pieces = max(1, -(-count // block))
+    chunks = max(1, -(-vectors.count() // rows))
+    pieces = max(1, -(-queries.count() // block))
     packed = queries.select("query_id", "embedding").withColumn("b", F.pmod(F.xxhash64("query_id"), F.lit(pieces)))
     blocks = packed.groupBy("b").agg(F.collect_list(F.struct("query_id", "embedding")).alias("qs"))
-    parts = max(8, vectors.rdd.getNumPartitions())
-    data = vectors.select("vec_id", "embedding").groupBy(F.spark_partition_id().alias("slot"), F.pmod(F.xxhash64("vec_id"), F.lit(4)).alias("x")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("vs"))
-    both = data.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))).repartition(parts, "slot", "x", "b").join(blocks, "b")
+    data = vectors.select("vec_id", "embedding").groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("vs"))
+    both = data.join(blocks.select("qs", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).hint("shuffle_hash"), "chunk")
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for qs, vs in rows:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltloom.common import checkpoint_dir, map_rows, table
+from siltloom.common import checkpoint_dir, durable, map_rows, spread, table
 from siltloom.functions import code as C
 from siltloom.functions import text as T
 from siltloom.functions import html as H
@@ -187,7 +187,7 @@ def at_least(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT pair_id, coalesce(query[2], '') AS second FROM instruction_pairs")
 def second_element(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "instruction_pairs").select("pair_id", F.coalesce(F.get("query", F.lit(1)), F.lit("")).alias("second"))
+    return relational.second_elements(table(spark, d, "instruction_pairs"), "query").select("pair_id", "second")
 
 
 @query(r"SELECT record_id, CASE WHEN url IS NULL THEN NULL ELSE replace(regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9_+.-]*://', ''), '/+$', ''), '/', '_') || '.html' END AS file_name, split_part(url, '/', -1) AS object_id FROM fim_records")
@@ -283,8 +283,8 @@ def code_with_context(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT id, unit_id, loaded_at FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, unit_id DESC) AS n FROM function_info) WHERE n = 1")
 def latest_delivery(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "function_info").select("id", "unit_id", "loaded_at")
-    return rows.groupBy("id").agg(F.max(F.struct("loaded_at", "unit_id")).alias("m")).select("id", "m.unit_id", "m.loaded_at")
+    rows = table(spark, d, "function_info").select("id", "unit_id", "loaded_at").withColumn("version", F.struct("loaded_at", "unit_id"))
+    return relational.merged_maps(rows.where("false"), rows, "id").select("id", "unit_id", "loaded_at")
 
 
 # aggregates, windows, sets
@@ -346,8 +346,10 @@ def json_key_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _document_terms(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").where("text is not null").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9_]+"), F.lit(0)).alias("tokens"))
-    return docs.where("size(tokens) > 0")
+    """Documents as tokens and distinct terms, written once, since searches count, weigh and deal them."""
+    docs = spread(table(spark, d, "documents").where("text is not null").select("doc_id", "text"))
+    cut = docs.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9_]+"), F.lit(0)).alias("tokens"))
+    return durable(cut.where("size(tokens) > 0").withColumn("terms", F.array_distinct("tokens")))
 
 
 def _search_queries(docs: DataFrame) -> DataFrame:
@@ -361,7 +363,7 @@ _BM25 = "f AS (SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS t FROM doc),
 
 @query(f"WITH {_TOK}, {_JACCARD} SELECT query_id, doc_id, round(score, 6) AS score, rank::INT AS rank FROM jk")
 def jaccard_topk(spark: SparkSession, d: str) -> DataFrame:
-    docs = _document_terms(spark, d).withColumn("terms", F.array_distinct("tokens"))
+    docs = _document_terms(spark, d)
     return retrieval.jaccard_topk(_search_queries(docs), docs, 5).select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -373,7 +375,7 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_TOK}, {_JACCARD}, {_BM25} SELECT query_id, doc_id, round(0.6 * coalesce(jk.score, 0) + 0.4 * coalesce(bk.score, 0), 4) AS score FROM jk FULL OUTER JOIN bk USING (query_id, doc_id)")
 def fused_search(spark: SparkSession, d: str) -> DataFrame:
-    docs = _document_terms(spark, d).withColumn("terms", F.array_distinct("tokens"))
+    docs = _document_terms(spark, d)
     queries = _search_queries(docs)
     return retrieval.fuse(retrieval.jaccard_topk(queries, docs, 5), retrieval.bm25_topk(queries, docs, 5)).select("query_id", "doc_id", F.round("score", 4).alias("score"))
 
@@ -523,13 +525,13 @@ def _stream_dir(spark: SparkSession) -> str:
 @query("SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
 def stream_new_rows(spark: SparkSession, d: str) -> DataFrame:
     counts = _event_stream(spark, d).groupBy("event_type").agg(F.count("*").alias("events"))
-    return feeds.drain(counts, f"stream_new_rows_{abs(hash(d)) % 10**6}", _stream_dir(spark), "complete")
+    return feeds.drain(counts, _stream_dir(spark), "complete")
 
 
-@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events FROM events GROUP BY ALL")
+@query("SELECT * FROM (SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events FROM events GROUP BY ALL) WHERE start + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events)")
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
-    out = feeds.windows(_event_stream(spark, d), "ts")
-    return feeds.drain(out, f"stream_windows_{abs(hash(d)) % 10**6}", _stream_dir(spark), "complete").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
+    """The windows that the watermark has closed: those that end two hours before the last event."""
+    return feeds.drain(feeds.windows(_event_stream(spark, d), "ts"), _stream_dir(spark)).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
 
 
 # pages, configurations and files, made from rows of the tables
@@ -617,10 +619,11 @@ def repaired_json(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", T.safe_json(made, "a bigint")["a"].alias("a"), T.json_slice(around).alias("slice"))
 
 
-@query("SELECT s_suppkey, s_name || chr(10) || chr(10) || s_nationkey || chr(10) || '---' || chr(10) || s_suppkey || chr(10) || chr(10) || 'Question: why' AS prompt FROM supplier")
+@query("SELECT s_suppkey, 'Use the notes.' || chr(10) || chr(10) || s_nationkey || chr(10) || '---' || chr(10) || s_suppkey || chr(10) || chr(10) || 'Question: why' AS prompt FROM supplier")
 def prompts(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "supplier")
-    return own.select("s_suppkey", F.concat_ws("\n\n", "s_name", F.array_join(F.array(F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string")), "\n---\n"), F.lit("Question: why")).alias("prompt"))
+    contexts = F.array(F.col("s_nationkey").cast("string"), F.col("s_suppkey").cast("string"))
+    return own.select("s_suppkey", retrieval.prompt(F.lit("why"), contexts, "Use the notes.").alias("prompt"))
 
 
 @query("SELECT a.vec_id AS id, round(list_sum(list_transform(list_zip(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) / 64, 5) AS mse FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
@@ -658,7 +661,7 @@ def vector_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def blended_search(spark: SparkSession, d: str) -> DataFrame:
-    docs = _document_terms(spark, d).withColumn("terms", F.array_distinct("tokens"))
+    docs = _document_terms(spark, d)
     queries = _search_queries(docs)
     return retrieval.blend(retrieval.bm25_topk(queries, docs, 10), retrieval.jaccard_topk(queries, docs, 10), cut=5)
 
@@ -667,4 +670,4 @@ def blended_search(spark: SparkSession, d: str) -> DataFrame:
 def stream_first_texts(spark: SparkSession, d: str) -> DataFrame:
     schema = table(spark, d, "documents").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d).where("text is not null").select("doc_id", "text")
-    return feeds.drain(feeds.first_texts(stream), f"stream_first_texts_{abs(hash(d)) % 10**6}", _stream_dir(spark)).select(F.md5("text").alias("hash"))
+    return feeds.drain(feeds.first_texts(stream), _stream_dir(spark)).select(F.md5("text").alias("hash"))

@@ -94,20 +94,21 @@ def json_items(texts: DataFrame, path: str = "path", text: str = "text") -> Data
 
 
 def nested_items(texts: DataFrame) -> DataFrame:
-    """Elements two levels below the top of each file's JSON."""
+    """Elements two levels below the top of each file's JSON; a file that cannot be read is one row with what failed."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for where, body in rows:
             value, error = tolerant_json(body)
             if error:
+                yield where, 0, None, error
                 continue
             n = 0
             for outer in value.values() if isinstance(value, dict) else value if isinstance(value, list) else []:
                 for item in outer.values() if isinstance(outer, dict) else outer if isinstance(outer, list) else []:
-                    yield where, n, json.dumps(item, ensure_ascii=False)
+                    yield where, n, json.dumps(item, ensure_ascii=False), None
                     n += 1
 
-    return map_rows(texts.select("path", "text"), run, "path string, pos int, item string")
+    return map_rows(texts.select("path", "text"), run, "path string, pos int, item string, failed string")
 
 
 def repo_list(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltloom.common import exists
+
 #: Fixed value: the six text columns of a vision record.
 VISION_SCHEMA = "folder_name string, png_content string, jpg_content string, ets_content string, txt_content string, generated_xml string"
 
@@ -39,11 +41,10 @@ def save_table(df: DataFrame, name: str, mode: str = "append") -> None:
 def vector_collection(df: DataFrame, path: str, key: str = "id") -> None:
     """Appends to a collection the entries whose key it lacks."""
     spark = df.sparkSession
-    try:
-        known = spark.read.parquet(path).select(key)
-    except Exception:  # noqa: BLE001 - a collection that does not exist yet
+    if not exists(spark, path):
         df.write.parquet(path)
         return
+    known = spark.read.parquet(path).select(key)
     df.join(known, key, "left_anti").write.mode("append").parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from siltloom.common import exists
 from siltloom.functions import similarity
 from siltloom.sources.files import source_files
 
@@ -19,11 +20,21 @@ def watch(spark: SparkSession, root: str, pattern: str = "*.png") -> DataFrame:
     return source_files(spark, root, pattern, stream=True)
 
 
-def drain(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """All that is available now in a memory table, then the stream ends."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """All that is available now, then the stream ends; the result is read from files below ``folder``, never held by the driver.
+
+    Appended rows go through the file sink, whose log makes a batch that comes again count once; in complete mode each
+    batch's result replaces the last one.
+    """
+    spark, result = df.sparkSession, f"{folder}/result"
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        query = writer.format("parquet").option("path", result).start()
+    else:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(result)
+        query = writer.foreachBatch(lambda rows, number: rows.write.mode("overwrite").parquet(result)).start()
     query.awaitTermination()
-    return df.sparkSession.table(name)
+    return spark.read.schema(df.schema).parquet(result)
 
 
 def run_into(df: DataFrame, path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], key: str, now: bool = True) -> StreamingQuery:
@@ -33,10 +44,8 @@ def run_into(df: DataFrame, path: str, checkpoint: str, work: Callable[[DataFram
     def batch(rows: DataFrame, number: int) -> None:
         made = work(rows).dropDuplicates([key])
         spark = rows.sparkSession
-        try:
+        if exists(spark, path):
             made = made.join(spark.read.parquet(path).select(key), key, "left_anti")
-        except Exception:  # noqa: BLE001 - nothing is stored yet
-            pass
         made.write.mode("append").parquet(path)
 
     writer = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

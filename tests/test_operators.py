@@ -102,6 +102,9 @@ def test_graph(spark):
     got = {(r.root, r.node): r.depth for r in graph.closure(edges, roots).collect()}
     assert got["a", "d"] == 3 and got["e", "d"] == 4 and got["a", "a"] == 0 and len(got) == 9
     assert sorted(r.node for r in graph.cyclic_nodes(edges).collect()) == ["a", "b", "c"]
+    between = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 4), (4, 5), (5, 4), (6, 6), (7, 1), (5, 8), (9, 10), (10, 11), (11, 9), (11, 10)], "src long, dst long")
+    assert sorted(r.node for r in graph.cyclic_nodes(between).collect()) == [1, 2, 4, 5, 6, 9, 10, 11]  # 3 only lies between two
+    assert graph.cyclic_nodes(between.where("src = 7")).count() == 0
     crawl = graph.frontier_crawl(edges, spark.createDataFrame([("e",)], "url string"), 2)
     assert sorted((r.url, r.depth) for r in crawl.collect()) == [("a", 1), ("b", 2), ("e", 0)]
 
@@ -159,6 +162,7 @@ def test_sources_and_sinks(spark, tmp_path):
     assert got.where("path = 'a'").first().item == '{"x": 1}' and got.where("path = 'b'").count() == 2
     assert got.where("failed is not null").count() == 2 and got.where("path = 'd'").first().item == '["ab"]' or got.where("path = 'd'").first().item == '"ab"'
     assert files.nested_items(texts.where("path = 'f'")).count() == 2
+    assert {r.path for r in files.nested_items(texts).where("failed is not null").collect()} == {"c", "e"}
     listing = tmp_path / "list.csv"
     listing.write_text("# COMPLETED\n1,a,u,1\n\n2,b,v,0\n")
     assert files.repo_list(spark, str(listing)).count() == 2
@@ -193,16 +197,16 @@ def test_streams(spark, tmp_path):
     df = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c d")], "id long, text string")
     df.write.mode("append").parquet(str(src))
     stream = spark.readStream.schema("id long, text string").parquet(str(src))
-    assert feeds.drain(feeds.first_texts(stream), "firsts", str(tmp_path / "c1")).count() == 2
+    assert feeds.drain(feeds.first_texts(stream), str(tmp_path / "c1")).count() == 2
     out = str(tmp_path / "out")
     for _ in range(2):
         feeds.run_into(stream, out, str(tmp_path / "c2"), lambda rows: rows, "id").awaitTermination()
     assert spark.read.parquet(out).count() == 3
-    kept = feeds.drain(feeds.simhash_stream(stream), "sims", str(tmp_path / "c3"))
+    kept = feeds.drain(feeds.simhash_stream(stream), str(tmp_path / "c3"))
     assert sorted((r.id, r.kept) for r in kept.collect()) == [(1, True), (2, False), (3, True)]
     (tmp_path / "png").mkdir()
     (tmp_path / "png" / "a.png").write_bytes(b"x")
-    assert feeds.drain(feeds.watch(spark, str(tmp_path / "png")).select("path"), "watch", str(tmp_path / "c4")).count() == 1
+    assert feeds.drain(feeds.watch(spark, str(tmp_path / "png")).select("path"), str(tmp_path / "c4")).count() == 1
 
 
 @pytest.mark.parametrize("boundary", [False, True])
