@@ -1,9 +1,9 @@
 """Credentials in code: a conditional random field labels the tokens of suspicious lines, its spans are masked.
 
-A line is looked at when it holds a word of secrets, a known key form (``TRIGGERS``, one Aho-Corasick pass over the
-whole text), or a literal that mixes upper case, lower case and digits.  Its tokens get the labels O, B (a value
-begins) and I (it goes on, perhaps as a further piece); Viterbi spans say which characters are masked, and a
-final check refuses placeholders.  The chain was trained on lines made by ``examples`` (see ``__main__``).
+A line is looked at when it holds a word of secrets or logins, a known key form (``TRIGGERS``, one Aho-Corasick pass over
+the whole text), or a literal that mixes letters and digits and is no numbered word or path.  Its tokens get the labels O, B (a value
+begins) and I (it goes on, perhaps as a further piece); the Viterbi spans alone say which characters are masked.
+The chain was trained on lines made by ``examples`` (see ``__main__``).
 """
 
 from __future__ import annotations
@@ -20,14 +20,16 @@ import ahocorasick
 from siltloom.llm.crf import Chain, train
 
 MODEL = Path(__file__).with_name("secrets_crf.json")
-_PEM = r"-----BEGIN [A-Z0-9 ]+-----.*?(?:-----END [A-Z0-9 ]+-----|\Z)"
+#: A key block to its end mark, over no code; one that breaks off goes as far as its lines of key material do.
+_PEM = r"-----BEGIN [A-Z0-9 ]+-----(?:[^;(){}<>]*?-----END [A-Z0-9 ]+-----|(?:(?:\\[nr]|['\"`+\s])*[A-Za-z0-9+/=]{24,})*)"
 #: Parts of words (lower case) that make a line suspicious.
-TRIGGERS = "passw pwd passphrase passcode secret token apikey api_key appkey app_key signkey sign_key accesskey access_key aeskey aes_key hmac privatekey private_key authkey auth_key encryptionkey clientkey masterkey licensekey servicekey sharedkey sshkey credential authori bearer basic\x20 jwt cookie 密码 口令 密钥 令牌 凭证 秘钥 パスワード -----begin akia ghp_ gho_ ghu_ ghs_ ghr_ _live_ jdbc:".split(" ")
+TRIGGERS = "passw pwd passphrase passcode secret token apikey api_key appkey app_key signkey sign_key accesskey access_key aeskey aes_key hmac privatekey private_key authkey auth_key encryptionkey clientkey masterkey licensekey servicekey sharedkey sshkey credential authori bearer basic\x20 jwt cookie 密码 口令 密钥 令牌 凭证 秘钥 パスワード login signin authenticate -----begin akia ghp_ gho_ ghu_ ghs_ ghr_ _live_ jdbc:".split(" ")
 _LITERAL = re.compile(r"['\"`]([^'\"`\s]{8,})['\"`]|://[^/\s'\"`]*:[^/\s'\"`]*@|\b(?:pass|auth|[kK]ey)\b(?=\s*['\"]?\s*[:=：])|[a-z]Pass\b|_AUTH\b")
-_MIX = re.compile(r"(?=.*[a-z])(?=.*[A-Z])(?=.*\d)|(?:.*[^0-9a-f])?[0-9a-f]{24,}")
+#: Letters with digits, but no word or path with a number behind it; long hexadecimal numbers.
+_MIX = re.compile(r"(?=.*[A-Za-z])(?=.*\d)(?![A-Za-z]+(?:[_./-]?[A-Za-z]+)*[_.-]?\d+(?:\.[a-z]+)?$)|(?:.*[^0-9a-f])?[0-9a-f]{24,}")
 _TOKEN = re.compile(
-    rf"(?P<pem>{_PEM})|(?P<url>[A-Za-z][\w+.-]*://[^\s'\"`<>\\]+)|(?P<data>data:[\w/+.-]+;base64,[A-Za-z0-9+/=]*)|(?P<quote>['\"`])|(?P<open>//|/\*|\*/)"
-    r"|(?P<word>(?:[^\s'\"`,;(){}\[\]:=<>：]|\\.){8,}?={1,2}(?=['\"`\s]|$)|[^\s'\"`,;(){}\[\]:=<>：]+)|(?P<sign>[=!]==?|[,;(){}\[\]:=<>：])",
+    rf"(?P<pem>{_PEM})|(?P<url>[A-Za-z][\w+.-]*://[^\s'\"`<>\\]+)|(?P<data>data:[\w/+.-]+;base64,[A-Za-z0-9+/=]*)|(?P<hole>\$\{{[^{{}}'\"`]*\}})|(?P<quote>['\"`])|(?P<open>//|/\*|\*/)"
+    rf"|(?P<word>(?:(?!\$\{{)[^\s'\"`,;(){{}}\[\]:=<>：]|\\.){{8,}}?={{1,2}}(?=['\"`\s]|$)|(?:(?!\$\{{)[^\s'\"`,;(){{}}\[\]:=<>：])+)|(?P<sign>[=!]==?|[,;(){{}}\[\]:=<>：])",
     re.S,
 )
 _CODE_WORD = re.compile(r"[\w$]+")
@@ -35,9 +37,11 @@ _CRED_URL = re.compile(r"([A-Za-z][\w+.-]*://)([^:/\s@]*)(:)(.+)(@)([\w.-]+(?::\
 _PARAM = re.compile(r"([?&])([\w.-]+)(=)([^&#]+)")
 _SPLIT = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+|[一-鿿]+|[ァ-ヶー]+")
 #: Words that name secrets, and words that name what only looks like one.
-SECRET_WORDS = frozenset("password passwd pwd pass passphrase passcode secret token apikey auth authorization authorize credential credentials jwt bearer basic hmac aes signin authenticate login 密码 口令 密钥 令牌 凭证 秘钥 パスワード".split())
+SECRET_WORDS = frozenset("password passwd pwd pass passphrase passcode secret token apikey auth authorization authorize ak sk credential credentials jwt bearer basic hmac aes signin authenticate login 密码 口令 密钥 令牌 凭证 秘钥 パスワード".split())
 KEY_BEFORE = frozenset("api app sign access aes des hmac private auth encryption encrypt client master store license service shared ssh rsa secret signing set".split())
 PUBLIC_WORDS = frozenset("checksum commit sha md digest hash etag revision request trace uuid guid icon image font color colour public fingerprint version build hint rule regex pattern placeholder label title template type name policy length min max error msg message tip".split())
+#: Calls whose second literal is a password.
+ENTRY_CALLS = frozenset("login signin logon authenticate signup".split())
 CONN_WORDS = frozenset("jdbc conn connect connection open dsn datasource admin input login".split())
 _PLACEHOLDER = re.compile(
     r"(?:.*(?:your|example|sample|dummy|changeme|change_me|placeholder|redacted|todo|fixme|replace|insert|enter|here|test_?key|填写|请输入|替换).*|<.*>?|\W*|(.)\1{3,}|[xX*.#_-]{4,}.*|\$\{.*|\{\{.*|%\w+%?|\$[A-Z_]+|null|none|undefined|true|false|bearer|basic|(?:1234567890?|abcdefg?h?|qwerty)\w*)$",
@@ -50,6 +54,8 @@ _WORDPW = re.compile(r"[A-Z]?[a-z]+[@#_\-&%!?*.$+=]?\d{2,}[!?*@#$%&+=.]?")
 def shape(t: str) -> str:
     """What a token looks like, as one of a few names."""
     n = len(t)
+    if n < 4:
+        return "short"
     if t.startswith("-----BEGIN"):
         return "pempriv" if "PRIVATE" in t[:40] else "pempub"
     if _PLACEHOLDER.match(t):
@@ -134,7 +140,8 @@ def tokens(line: str) -> list[tuple[int, int, str, str]]:
                     if c[g]:
                         out.append((a + c.start(g), a + c.end(g), c[g], "urlpass" if g == 4 else "url"))
                 continue
-            out.append((a, m.end(), t.partition("?")[0], "url"))
+            base = t.partition("?")[0]
+            out.append((a, a + len(base), base, "url"))
             for p in _PARAM.finditer(t):
                 for g in (2, 3, 4):
                     out.append((a + p.start(g), a + p.end(g), p[g], "param"))
@@ -142,6 +149,8 @@ def tokens(line: str) -> list[tuple[int, int, str, str]]:
         if kind == "word" and place == "code":
             for w in _CODE_WORD.finditer(t):
                 out.append((a + w.start(), a + w.end(), w[0], "code"))
+            if t == "+":
+                out.append((a, m.end(), t, "code"))
             continue
         out.append((a, m.end(), t, "data" if kind == "data" else place))
     return out
@@ -154,9 +163,15 @@ def features(toks: list[tuple[int, int, str, str]]) -> list[list[str]]:
     shapes = [("sign" if p == "quote" or not any(c.isalnum() for c in t) and len(t) < 4 else shape(t)) for _, _, t, p in toks]
     every = {_name_class(t) for _, _, t, p in toks if p != "quote"}
     wide = "secret" if "secret" in every else "conn" if "conn" in every else ""
+    piece, nth = "", 0
     for i, (_, _, t, place) in enumerate(toks):
-        s = shapes[i]
+        s, chained = shapes[i], ""
         nxt = next((x[2] for x in toks[i + 1 : i + 4] if x[3] != "quote"), "")
+        if place == "literal" and i > 1:
+            # pieces of a sum or list: what the piece before looked like
+            sign = next((x[2] for x in reversed(toks[:i]) if x[3] != "quote"), "")
+            if sign in ("+", ",") and piece:
+                chained = f"s={s}|chain={piece}"
         row = [f"s={s}", f"s={s}|g={govern}", f"s={s}|p={place}", f"p={place}|g={govern}", f"s={s}|d={direct}", f"s={s}|w={wide}", f"s={s}|g={govern}|p={place}"]
         if user:
             row.append(f"s={s}|user")
@@ -164,11 +179,21 @@ def features(toks: list[tuple[int, int, str, str]]) -> list[list[str]]:
             row.append(f"s={s}|next={nxt}")
         if assigned:
             row.append(f"s={s}|after={assigned}")
+        if govern == "entry" and place == "literal":
+            nth += 1
+            row.append(f"s={s}|nth={min(nth, 3)}")
+        if chained:
+            row.append(f"{chained}|g={govern}")
         rows.append(row)
-        if s in ("name", "other", "placeholder", "piece", "sign", "path") and place not in ("quote", "url", "urlpass"):
-            c = _name_class(t)
+        if place == "literal":
+            # a piece that looks like a name goes on as what the pieces before it were
+            piece = piece if chained and s in ("name", "other", "short") else s
+        elif place == "code" and s != "sign":
+            piece = ""
+        if s in ("name", "other", "placeholder", "piece", "short", "sign", "path") and place not in ("quote", "url", "urlpass"):
+            c = "entry" if place == "code" and nxt == "(" and t.lower() in ENTRY_CALLS else _name_class(t)
             if c:
-                govern = c
+                govern, nth = c, 0
             low = t.lower()
             if low in ("bearer", "basic"):
                 direct = low
@@ -235,31 +260,14 @@ def find(text: str | None) -> list[list[tuple[int, int]]]:
         for (x, y, t, place), label in zip(toks, _model().viterbi(features(toks))):
             if label == "O" or place == "quote":
                 continue
-            if _PLACEHOLDER.match(t) or len(t) < 4:
-                continue
             if label == "B" or current is None:
                 current = [(a + x, a + y)]
                 found.append(current)
             else:
                 current.append((a + x, a + y))
-        if current is not None:
-            _complete(toks, a, current)
     return found
 
 
-def _complete(toks: list[tuple[int, int, str, str]], a: int, value: list[tuple[int, int]]) -> None:
-    """Adds to a value the pieces of its list or sum that look like plain words by chance."""
-    first = next(i for i, t in enumerate(toks) if a + t[0] == value[0][0])
-    pieces = []
-    for x, y, t, place in toks[first:]:
-        if place == "literal":
-            pieces.append((a + x, a + y))
-        elif place == "code" and t not in (",", "+"):
-            break
-    if len(pieces) > len(value) and set(value) <= set(pieces):
-        value[:] = pieces
-
-
 def lines(text: str | None) -> list[int]:
     """The numbers (from 1) of the lines on which a value begins, each once, in order."""
     return sorted({text.count("\n", 0, value[0][0]) + 1 for value in find(text)})
@@ -276,7 +284,7 @@ def redact(text: str | None, mask: str = "*") -> str | None:
     return "".join([*out, text[at:]])
 
 
-def examples(count: int = 1500, seed: int = 11) -> list[tuple[str, list[tuple[int, int]]]]:
+def examples(count: int = 2600, seed: int = 11) -> list[tuple[str, list[tuple[int, int]]]]:
     """Made-up lines with the spans of their values; about half have none."""
     rng = random.Random(seed)
     nouns = "order panel river window cloud ticket mirror garden engine violet basket harbor copper".split()
@@ -294,6 +302,11 @@ def examples(count: int = 1500, seed: int = 11) -> list[tuple[str, list[tuple[in
             if re.search("[a-z]", t) and re.search("[A-Z]", t) and (n < 10 or re.search(r"\d", t)):
                 return t
 
+    def piece(n: int) -> str:
+        """A piece of a value; many have letters alone and may look like names."""
+        kind = rng.random()
+        return (word() + word() + word()).capitalize()[:n] if kind < 0.3 else "".join(rng.choice(string.ascii_letters) for _ in range(n)) if kind < 0.45 else rand(n)
+
     def hexa(n: int) -> str:
         return "".join(rng.choice("0123456789abcdef") for _ in range(n))
 
@@ -310,14 +323,23 @@ def examples(count: int = 1500, seed: int = 11) -> list[tuple[str, list[tuple[in
     def pem(kind: str) -> str:
         return f"-----BEGIN {kind}-----\n" + "\n".join(rand(64, "+/") for _ in range(rng.randrange(1, 4))) + f"\n-----END {kind}-----"
 
+    def prose() -> str:
+        """A sentence in which words of secrets and logins are talked about."""
+        pool = "the a your this please keep open after before stale list page user needs another look is empty seconds restore sync filter times destroyed together with note may be when it first later again".split()
+        said = [rng.choice(pool) for _ in range(rng.randrange(4, 12))]
+        said.insert(rng.randrange(len(said)), rng.choice(["login", "password", "token", "secret", "sign in", "login session", "authentication", "cookie", "密码", "key"]))
+        more = rng.choice(["", "", f"{rng.choice('.?')} {' '.join(rng.choice(pool) for _ in range(3)).capitalize()}"])
+        return rng.choice(["", "", "TODO ", "FIXME: "]) + " ".join(said).capitalize() + more + rng.choice(["", "", ".", "?", "!"])
+
     made = []
     for _ in range(count):
         q = rng.choice("'\"`") if rng.random() < 0.3 else "'"
         v, up, w = pw(), word().upper(), word()
         b64 = base64.b64encode(f"{w}:{pw()}".encode()).decode()
         tok = rng.choice([f"sk-{rand(32)}", f"key-{rand(32)}", f"ghp_{rand(36)}", f"qk_live_{rand(32)}", rand(32), rand(28)])
-        four = [rand(8) for _ in range(4)]
-        three = [rand(rng.choice([8, 12])) for _ in range(3)]
+        four = [piece(8) for _ in range(4)]
+        three = [piece(rng.choice([8, 12])) for _ in range(3)]
+        four[0], three[0] = rand(8), rand(12)
         uuid = f"{hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}"
         secretname = rng.choice(["appSecret", "clientSecret", "aesKey", "hmacKey", "signKey", "accessToken", "apiKey", "token", "secretKey", "encryptionKey"])
         passname = rng.choice(["pwd", "password", "passwd", "dbPass", "loginPwd", "storePassword", "keyPass", "passphrase"])
@@ -339,12 +361,14 @@ def examples(count: int = 1500, seed: int = 11) -> list[tuple[str, list[tuple[in
             (f"  /* {rng.choice(['密码', 'pwd', 'password', 'secret'])}: {v} */", [v]),
             (f"const conf = '{{\"user\":\"{w}\",\"{rng.choice(['password', 'secret', 'token'])}\":\"{v}\"}}';", [v]),
             (f"const {camel()} = '{rng.choice(['ftp', 'mysql', 'https', 'redis', 'mongodb'])}://{w}:{(t := rand(12))}@{word()}.example.org:{rng.randrange(1000, 9999)}/{word()}';", [t]),
-            (f"const url = 'https://{w}.example.org/v1?{rng.choice(['access_token', 'api_key', 'token', 'secret'])}={(t := rand(28))}&page=3';", [t]),
+            (f"const url = 'https://{w}.example.org/v1?{rng.choice(['access_token', 'api_key', 'token', 'secret', 'ak', 'sk'])}={(t := rand(28))}&page=3';", [t]),
             (f"conn = open(\"jdbc:mysql://{w}.example.org:3306/{word()}\", \"{word()}\", \"{v}\");", [v]),
             (f"const k = {'`' if q == chr(39) else q}{(t := pem(kind))}{'`' if q == chr(39) else q};", [t]),
             (f"this.{w}Cfg = {{ user: '{word()}', {rng.choice(['pass', 'secret', 'credential', 'passphrase', 'pwd'])}: '{v}' }};", [v]),
             (f"const accessKeyId = '{(t := 'AKIA' + ''.join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(16)))}';", [t]),
             (f"const {rng.choice(['githubToken', 'ciToken', 'deployToken'])} = 'ghp_{(t := rand(36))}';".replace("ghp_" + t, (t2 := "ghp_" + t)), [t2]),
+            (f"{rng.choice([camel() + '.', ''])}{rng.choice(['login', 'signIn', 'authenticate'])}('{word()}', '{(t := rng.choice([v, word() + str(rng.randrange(10, 9999)) + rng.choice('xyzk')]))}');", [t]),
+            (f"const {rng.choice(['pwd', 'password', 'dbPass'])}{rng.choice(['', w.capitalize()])} = '{(t := word() + str(rng.randrange(10, 9999)) + rng.choice(['', '!', 'x']))}';", [t]),
             (f"if (input{w.capitalize()} === '{v}') {{ this.isAdmin = true; }}", [v]),
         ]
         bad = [
@@ -372,7 +396,26 @@ def examples(count: int = 1500, seed: int = 11) -> list[tuple[str, list[tuple[in
             f"hilog.info(0x{hexa(4).upper()}, '{word().capitalize()}Model', 'token {word()} updated');",
             f"const {camel()} = preferences.getSync('{rng.choice(['token', 'password', 'secret'])}', '');",
             f"TextInput({{ placeholder: '{rng.choice(['password', 'Password', '密码'])}' }}).type(InputType.Password)",
+            f"const url{w.capitalize()} = 'https://{w}.example.org/v1?{rng.choice(['page', 'id', 'sort', 'lang', 'v'])}={rand(rng.choice([10, 24]))}&size=3';",
+            f"this.{camel()} = '{word()}.{word()}.{word()}{word().capitalize()}';",
+            f"{camel()}.{word()}('{rng.choice([rand(8), rand(12), hexa(8), word() + str(rng.randrange(99)) + 'b', 'v' + str(rng.randrange(9)) + '.2b'])}', {rng.randrange(9)});",
+            f"const {rng.choice(['names', 'items', 'parts'])}{w.capitalize()} = ['{rand(8)}', '{word()}', '{rand(8)}'].join('-');",
+            f"this.{camel()}Label = '{word()}' + '{word()}{word().capitalize()}' + '{rand(8)}';",
+            f"router.login('{word()}', this.{camel()});",
+            f"const {rng.choice(['token', 'password', 'secret', 'pwd'])}{w.capitalize()} = '{rng.choice(['abc', 'xx', '', 'n/a', '***', 'none', 'todo'])}';",
             f"const tok{w.capitalize()} = await this.fetchToken('{word()}-{word()}');",
+            f"// {prose()}",
+            f"//{prose()}",
+            f"//{prose()}",
+            f"throw new Error(`{prose()} (${{this.{camel()}}})`);",
+            f"{camel()}.{word()}({{ message: `{prose()} (${{this.{camel()}}})`, duration: {rng.randrange(9999)} }});",
+            f"{camel()}('https://{w}.example.org/{word()}/{rng.randrange(999)}', `${{this.{camel()}}}/${{{word()}.{camel()}}}`);",
+            f"const {camel()}Value = 'https://{w}.example.org/{word()}/{rng.randrange(999)}';  // {prose()}",
+            f"{camel()}({{ {camel()}: 'https://{w}.example.org/{word()}', {word()}Key: {rng.randrange(9999)} }});  // {prose()}",
+            f" * {prose()}",
+            f"/* {prose()} */",
+            f"Text('{prose()}')",
+            f"hilog.info(0x{hexa(4).upper()}, '{word().capitalize()}', \"{prose()}\");",
             f"const pass = window.{camel()}.{word()}Password;",
             f"  cookie.name = '{word()}{word().capitalize()}{rng.randrange(9)}';",
         ]
