@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from siltloom.common import durable
 
 K, DROP, ORDERS, BLOCK, BROADCAST_ROWS = 6, 2, 5, 64, 200_000
+#: Rows of one class that meet in one task.
+MEMBERS = 4096
 
 
 def triple_sets(texts: DataFrame) -> DataFrame:
@@ -113,13 +115,27 @@ def similar_pairs(texts: DataFrame, threshold: float = 0.7) -> DataFrame:
     texts = texts.select("source_table", "row_id", "text")
     prints = durable(fingerprints(texts))
     firsts = durable(representatives(prints))
-    members = prints.select("source_table", "row_id", "class_id")
     links = similar_classes(texts, prints, firsts, threshold).select("a", "b")
     repeated = firsts.where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
-    m1 = members.select(F.col("class_id").alias("a"), F.col("row_id").alias("r1"), "source_table")
-    m2 = members.select(F.col("class_id").alias("b"), F.col("row_id").alias("r2"))
-    rows = links.unionByName(repeated).join(m1, "a").join(m2, "b").where("r1 < r2 or (a <> b and r1 <> r2)")
-    return rows.select("source_table", F.least("r1", "r2").alias("row_a"), F.greatest("r1", "r2").alias("row_b"))
+    # a class of many rows is cut into blocks of about MEMBERS rows, and each pair of blocks is a join key of its own
+    blocks = firsts.select("class_id", F.ceil(F.col("n") / MEMBERS).cast("int").alias("blocks"))
+    many = blocks.where("blocks > 1")
+    known = many.agg(F.count("*").alias("c")).first()["c"]
+    rows = prints.select("source_table", "row_id", "class_id")
+    if known:
+        rows = rows.join(many, "class_id", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("row_id"), F.col("blocks")), F.lit(0)).cast("int")).drop("blocks")
+    else:
+        rows = rows.withColumn("block", F.lit(0))
+    sides = links.unionByName(repeated)
+    if known:
+        sides = sides.join(many.select(F.col("class_id").alias("a"), F.col("blocks").alias("na")), "a", "left").join(many.select(F.col("class_id").alias("b"), F.col("blocks").alias("nb")), "b", "left")
+        sides = sides.withColumn("x", F.explode(F.sequence(F.lit(0), F.coalesce("na", F.lit(1)) - 1))).withColumn("y", F.explode(F.sequence(F.lit(0), F.coalesce("nb", F.lit(1)) - 1))).drop("na", "nb")
+    else:
+        sides = sides.select("*", F.lit(0).alias("x"), F.lit(0).alias("y"))
+    m1 = rows.select(F.col("class_id").alias("a"), F.col("block").alias("x"), F.col("row_id").alias("r1"), "source_table")
+    m2 = rows.select(F.col("class_id").alias("b"), F.col("block").alias("y"), F.col("row_id").alias("r2"))
+    found = sides.join(m1, ["a", "x"]).join(m2, ["b", "y"]).where("r1 < r2 or (a <> b and r1 <> r2)")
+    return found.select("source_table", F.least("r1", "r2").alias("row_a"), F.greatest("r1", "r2").alias("row_b"))
 
 
 def groups(texts: DataFrame, threshold: float = 0.7) -> DataFrame:

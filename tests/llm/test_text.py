@@ -347,7 +347,9 @@ def near_texts(seed, n=70):
 def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 3)  # so that groups are cut into blocks
     monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0 if seed == 1 else 10)
+    monkeypatch.setattr(neardup, "MEMBERS", 2 if seed == 1 else 4096)  # so that classes are cut into blocks
     data = near_texts(seed)
+    data += [("t0", 900_000 + i, data[0][2]) for i in range(9)]
     df = spark.createDataFrame(data, "source_table string, row_id long, text string")
     got = sorted(tuple(r) for r in neardup.similar_pairs(df).collect())
     want = jaccard_pairs(data)
