@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from siltloom.plans import catalogue
+from siltloom.plans import catalogue, further  # noqa: F401
 from tests.oracle import connect, same
 
 SF = "/root/testdata/sf0.001"
