@@ -175,9 +175,9 @@ def origin_only(spark: SparkSession, d: str) -> DataFrame:
     return relational.origin_only(named).select("analysis_id")
 
 
-@query("SELECT unit_id FROM ui_info WHERE length(coalesce(content, '')) < 30")
+@query("SELECT doc_id FROM documents WHERE length(coalesce(text, '')) < 30")
 def tiny_units(spark: SparkSession, d: str) -> DataFrame:
-    return relational.tiny(table(spark, d, "ui_info"), "content").select("unit_id")
+    return relational.tiny(table(spark, d, "documents"), "text").select("doc_id")
 
 
 @query("SELECT event_id, value FROM events WHERE value >= 50")
@@ -332,9 +332,9 @@ def numbered_rows(spark: SparkSession, d: str) -> DataFrame:
     return numbered(table(spark, d, "documents").select("doc_id"), ["doc_id"]).select("doc_id", "id")
 
 
-@query("SELECT DISTINCT repo_id FROM function_info EXCEPT SELECT repo_id FROM ui_info")
+@query("SELECT DISTINCT file FROM function_info EXCEPT SELECT file FROM ui_info")
 def new_listing(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.new_listing(table(spark, d, "function_info").select("repo_id").distinct(), table(spark, d, "ui_info").select("repo_id"))
+    return feeds.new_listing(table(spark, d, "function_info").select("file").distinct(), table(spark, d, "ui_info").select("file"))
 
 
 @query("SELECT event_type, sum(CASE WHEN json_valid(props) THEN len(json_keys(props)) ELSE 0 END)::BIGINT AS keys FROM events GROUP BY event_type")
@@ -402,10 +402,21 @@ def recursive_chunks(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.chunks(table(spark, d, "documents")).select("chunk_id", "doc_id", "chunk_index", "total_chunks", "document")
 
 
-@query()
+_FEATURES = r"""a AS (SELECT analysis_id AS doc_id, array_to_string(list_transform(list_filter(imports, lambda x: x.full_import IS NOT NULL), lambda x: x.full_import), chr(10)) AS pre FROM ets_file_analysis),
+w AS (SELECT doc_id, unnest(regexp_extract_all(pre, '(?s)import\s+.+?\s+from\s+[''"].*?[''"]\s*;')) AS w FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_extract(w, '(?s)import\s+(.+?)\s+from\s+[''"]', 1), '[{}]', ',', 'g') AS c, trim(regexp_extract(w, '(?s)\sfrom\s+[''"](.*?)[''"]\s*;$', 1)) AS m FROM w),
+p AS (SELECT doc_id, m, unnest(list_transform(string_split(c, ','), lambda x: regexp_replace(regexp_replace(x, '(?s) as .*$', ''), '^\s+|\s+$', '', 'g'))) AS x FROM c),
+t AS (SELECT DISTINCT doc_id, x || '@' || m AS t FROM p WHERE x <> ''), n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+k AS (SELECT q.doc_id AS query_id, d.doc_id, count(*) AS c FROM t q JOIN t d USING (t) WHERE q.doc_id % 100 = 0 GROUP BY ALL),
+s AS (SELECT query_id, k.doc_id, c / (a.n + b.n - c)::DOUBLE AS score FROM k JOIN n a ON a.doc_id = query_id JOIN n b ON b.doc_id = k.doc_id)"""
+
+
+@query("WITH " + _FEATURES + " SELECT query_id, doc_id, round(score, 6) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
 def import_feature_topk(spark: SparkSession, d: str) -> DataFrame:
-    pairs = table(spark, d, "instruction_pairs").where("size(imports) > 0").select(F.col("pair_id").alias("doc_id"), F.array_join("imports", "\n").alias("pre"))
-    examples = retrieval.import_examples(pairs).where("size(terms) > 0")
+    """The files most alike by what they import."""
+    texts = F.filter(F.transform("imports", lambda e: e["full_import"]), lambda t: t.isNotNull())
+    made = table(spark, d, "ets_file_analysis").select(F.col("analysis_id").alias("doc_id"), F.array_join(texts, "\n").alias("pre"))
+    examples = retrieval.import_examples(made).where("size(terms) > 0")
     return retrieval.jaccard_topk(examples.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"), examples, 5).select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -640,14 +651,16 @@ def image_matches(spark: SparkSession, d: str) -> DataFrame:
     return dedup.perceptual_match(images.hashes(made), [0, -1])
 
 
-@query()
+@query(f"WITH {_TOK}, {_JACCARD} SELECT query_id, len(list_filter(list(jk.rank ORDER BY jk.rank), lambda x: x > 0))::INT AS hits, coalesce(string_agg(CASE WHEN doc_type <> 'reference' THEN jk.doc_id::VARCHAR END, ',' ORDER BY jk.rank), '') AS ids FROM jk JOIN documents USING (doc_id) GROUP BY query_id")
 def enriched_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Every instruction pair whose id is divisible by 100 with the pairs most alike by imports and by words."""
-    pairs = table(spark, d, "instruction_pairs").select(F.col("pair_id").alias("doc_id"), F.array_join(F.coalesce("imports", F.array().cast("array<string>")), "\n").alias("pre"), F.coalesce("code", F.lit("")).alias("code_snippet"), F.coalesce("description", F.lit("")).alias("parent_text"))
-    docs = retrieval.import_examples(pairs).withColumn("tokens", F.regexp_extract_all(F.lower("parent_text"), F.lit("[a-z0-9_]+"), F.lit(0)))
-    queries = docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id")
-    fused = retrieval.fuse(retrieval.jaccard_topk(queries, docs, 5), retrieval.bm25_topk(queries, docs, 5))
-    return retrieval.enrich(queries.select("query_id"), fused, docs.withColumn("type", F.lit("Reference")))
+    """Every document whose id is divisible by 100 with the documents most alike; references are left out only afterwards."""
+    docs = _document_terms(spark, d)
+    queries = _search_queries(docs)
+    found = retrieval.jaccard_topk(queries, docs, 5)
+    info = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_type") == "reference", "Import").otherwise("Reference").alias("type"), F.col("title").alias("code_snippet"), F.col("source").alias("parent_text"))
+    enriched = retrieval.enrich(queries.select("query_id"), found, info)
+    hits = found.groupBy("query_id").agg(F.count("*").cast("int").alias("hits"))
+    return enriched.join(hits, "query_id").select("query_id", "hits", F.array_join(F.transform("similar_examples", lambda e: e["id"].cast("string")), ",").alias("ids"))
 
 
 @query()
