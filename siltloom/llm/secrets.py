@@ -21,12 +21,12 @@ from siltloom.llm.crf import Chain, train
 
 MODEL = Path(__file__).with_name("secrets_crf.json")
 #: A key block to its end mark, over no code; one that breaks off goes as far as its lines of key material do.
-_PEM = r"-----BEGIN [A-Z0-9 ]+-----(?:[^;(){}<>]*?-----END [A-Z0-9 ]+-----|(?:(?:\\[nr]|['\"`+\s])*[A-Za-z0-9+/=]{24,})*)"
+_PEM = r"-----BEGIN [A-Z0-9 ]+-----(?:[^;(){}<>]*?-----END [A-Z0-9 ]+-----|(?:(?:\\[nr]|['\"`+\s])*[A-Za-z0-9+/=]{24,}+)*+)"
 #: Parts of words (lower case) that make a line suspicious.
 TRIGGERS = "passw pwd passphrase passcode secret token apikey api_key appkey app_key signkey sign_key accesskey access_key aeskey aes_key hmac privatekey private_key authkey auth_key encryptionkey clientkey masterkey licensekey servicekey sharedkey sshkey credential authori bearer basic\x20 jwt cookie 密码 口令 密钥 令牌 凭证 秘钥 パスワード login signin authenticate -----begin akia ghp_ gho_ ghu_ ghs_ ghr_ _live_ jdbc:".split(" ")
 _LITERAL = re.compile(r"['\"`]([^'\"`\s]{8,})['\"`]|://[^/\s'\"`]*:[^/\s'\"`]*@|\b(?:pass|auth|[kK]ey)\b(?=\s*['\"]?\s*[:=：])|[a-z]Pass\b|_AUTH\b")
 #: Letters with digits, but no word or path with a number behind it; long hexadecimal numbers.
-_MIX = re.compile(r"(?=.*[A-Za-z])(?=.*\d)(?![A-Za-z]+(?:[_./-]?[A-Za-z]+)*[_.-]?\d+(?:\.[a-z]+)?$)|(?:.*[^0-9a-f])?[0-9a-f]{24,}")
+_MIX = re.compile(r"(?=.*[A-Za-z])(?=.*\d)(?![A-Za-z]+(?:[_./-][A-Za-z]+)*[_.-]?\d+(?:\.[a-z]+)?$)|(?:.*[^0-9a-f])?[0-9a-f]{24,}")
 _TOKEN = re.compile(
     rf"(?P<pem>{_PEM})|(?P<url>[A-Za-z][\w+.-]*://[^\s'\"`<>\\]+)|(?P<data>data:[\w/+.-]+;base64,[A-Za-z0-9+/=]*)|(?P<hole>\$\{{[^{{}}'\"`]*\}})|(?P<quote>['\"`])|(?P<open>//|/\*|\*/)"
     rf"|(?P<word>(?:(?!\$\{{)[^\s'\"`,;(){{}}\[\]:=<>：]|\\.){{8,}}?={{1,2}}(?=['\"`\s]|$)|(?:(?!\$\{{)[^\s'\"`,;(){{}}\[\]:=<>：])+)|(?P<sign>[=!]==?|[,;(){{}}\[\]:=<>：])",
@@ -163,14 +163,13 @@ def features(toks: list[tuple[int, int, str, str]]) -> list[list[str]]:
     shapes = [("sign" if p == "quote" or not any(c.isalnum() for c in t) and len(t) < 4 else shape(t)) for _, _, t, p in toks]
     every = {_name_class(t) for _, _, t, p in toks if p != "quote"}
     wide = "secret" if "secret" in every else "conn" if "conn" in every else ""
-    piece, nth = "", 0
+    piece, nth, before = "", 0, ""
     for i, (_, _, t, place) in enumerate(toks):
         s, chained = shapes[i], ""
         nxt = next((x[2] for x in toks[i + 1 : i + 4] if x[3] != "quote"), "")
         if place == "literal" and i > 1:
             # pieces of a sum or list: what the piece before looked like
-            sign = next((x[2] for x in reversed(toks[:i]) if x[3] != "quote"), "")
-            if sign in ("+", ",") and piece:
+            if before in ("+", ",") and piece:
                 chained = f"s={s}|chain={piece}"
         row = [f"s={s}", f"s={s}|g={govern}", f"s={s}|p={place}", f"p={place}|g={govern}", f"s={s}|d={direct}", f"s={s}|w={wide}", f"s={s}|g={govern}|p={place}"]
         if user:
@@ -185,6 +184,8 @@ def features(toks: list[tuple[int, int, str, str]]) -> list[list[str]]:
         if chained:
             row.append(f"{chained}|g={govern}")
         rows.append(row)
+        if place != "quote":
+            before = t
         if place == "literal":
             # a piece that looks like a name goes on as what the pieces before it were
             piece = piece if chained and s in ("name", "other", "short") else s
