@@ -7,6 +7,7 @@ Greedy order is not connected components: an item is dropped only where an earli
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -123,18 +124,35 @@ def simhash_column(text: Column) -> Column:
     return call(text)
 
 
+def _signatures(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, sig) of the rows that have a text, made once."""
+    return durable(spread(df.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("id"), simhash_column(F.col(text)).alias("sig")))
+
+
+def _close(firsts: DataFrame, distance: int) -> DataFrame:
+    """(earlier, later) of distinct signatures within ``distance`` bits.
+
+    The bits are cut into distance + 3 blocks, of which close signatures share three whole: they meet under the blocks of one
+    of all such choices, about half of the bits, so that few others do.
+    """
+    n = distance + 3
+    cuts = [round(i * 64 / n) for i in range(n + 1)]
+    masks = [sum(((1 << b) - 1) ^ ((1 << a) - 1) for a, b in (cuts[i : i + 2] for i in chosen)) for chosen in combinations(range(n), 3)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keyed = firsts.withColumn("meet", F.explode(F.array(*[F.struct(F.lit(i).alias("n"), F.col("sig").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(signed)])))
+    a = keyed.select("meet", F.col("id").alias("earlier"), F.col("sig").alias("sa"))
+    b = keyed.select("meet", F.col("id").alias("later"), F.col("sig").alias("sb"))
+    near = a.join(b, "meet").where((F.col("earlier") < F.col("later")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= distance))
+    return near.select("earlier", "later").distinct()
+
+
 def simhash_edges(df: DataFrame, key: str = "id", text: str = "text", distance: int = 3) -> DataFrame:
-    """(earlier, later) within ``distance`` bits: signatures that close share one of distance+1 bands whole."""
-    signed = durable(spread(df.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key).alias("id"), simhash_column(F.col(text)).alias("sig")))
-    # equal signatures are linked to their first row only, so that a hot one gives no square of pairs
+    """(earlier, later) within ``distance`` bits; rows of equal signatures are linked to their first row only, so that a hot
+    signature gives no square of pairs."""
+    signed = _signatures(df, key, text)
     firsts = signed.groupBy("sig").agg(F.min("id").alias("id"))
     same = signed.join(firsts.withColumnRenamed("id", "earlier"), "sig").where("id > earlier").select("earlier", F.col("id").alias("later"))
-    bands, width = distance + 1, 64 // (distance + 1)
-    keyed = firsts.withColumn("band", F.explode(F.array(*[F.struct(F.lit(i).alias("n"), F.shiftright(F.col("sig"), i * width).bitwiseAND(F.lit((1 << width) - 1)).alias("v")) for i in range(bands)])))
-    a = keyed.select("band", F.col("id").alias("earlier"), F.col("sig").alias("sa"))
-    b = keyed.select("band", F.col("id").alias("later"), F.col("sig").alias("sb"))
-    near = a.join(b, "band").where((F.col("earlier") < F.col("later")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= distance))
-    return near.select("earlier", "later").unionByName(same).distinct()
+    return _close(firsts, distance).unionByName(same)
 
 
 def simhash_dedup(df: DataFrame, key: str = "id", text: str = "text", distance: int = 3) -> DataFrame:
@@ -142,11 +160,9 @@ def simhash_dedup(df: DataFrame, key: str = "id", text: str = "text", distance:
 
     Rows of one signature stand or fall with the first of them, so they take its links.
     """
-    signed = durable(spread(df.where(F.col(text).isNotNull()).select(key, text)).select(F.col(key), simhash_column(F.col(text)).alias("sig")))
-    firsts = signed.groupBy("sig").agg(F.min(key).alias(key))
-    edges = simhash_edges(df.join(firsts.select(key), key, "left_semi"), key, text, distance)
-    kept = greedy(firsts, edges, key)
-    return df.join(kept.select(key), key, "left_semi").unionByName(df.where(F.col(text).isNull()))
+    firsts = durable(_signatures(df, key, text).groupBy("sig").agg(F.min("id").alias("id")))
+    kept = greedy(firsts, _close(firsts, distance), "id").select(F.col("id").alias(key))
+    return df.join(kept, key, "left_semi").unionByName(df.where(F.col(text).isNull()))
 
 
 def dedup_statistics(df: DataFrame, text: str, group: str) -> DataFrame:
