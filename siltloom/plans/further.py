@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltloom.common import table
+from siltloom.common import map_rows, table
+from siltloom.functions import code as C
 from siltloom.functions import text as T
 from siltloom.operators import dataset, dedup, graph, relational, retrieval
 from siltloom.plans.catalogue import _BM25, _IMPORTS_SQL, _JACCARD, _TOK, _document_terms, _imports, _search_queries, _stream_dir, query
-from siltloom.sources import files, sinks
+from siltloom.sources import files, pictures, sinks
 from siltloom.streaming import feeds
 
 # sinks and sources: written to the shared folder, read again
@@ -342,3 +344,35 @@ def short_texts_kept(spark: SparkSession, d: str) -> DataFrame:
     """Short texts deduplicated by exact greedy order within their length, a threshold that only equal texts reach."""
     short = table(spark, d, "documents").where("length(text) < 40").select("doc_id", "text", F.length("text").alias("size"))
     return dedup.ratio_dedup(short, "doc_id", "text", 0.9999, within="size").select("doc_id")
+
+
+# Java calls and pictures
+
+
+@query("SELECT s_suppkey, c AS class, m AS method, l AS line FROM supplier, (VALUES ('android.widget.Toast', 'show', 6), ('androidx.core.Box', 'get', 7), ('android.util.Log', 'd', 9)) v(c, m, l)")
+def java_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Calls on a field, on a generic parameter and on a class; names in literals and comments are none."""
+    made = F.concat(F.lit("import android.widget.Toast;\nimport androidx.core.Box;\nimport android.util.Log;\nclass A"), "s_suppkey", F.lit(" { private Toast[] t, u;\n  void f(Map<String, Box<? extends T>> m, Box<T> b) {\n    u.show(1);\n    b.<String>get(2); // b.put(3)\n    String s = \"t.show()\";\n    Log.d(s); m.clear();\n  }\n}"))
+
+    def run(rows):
+        for key, text in rows:
+            for r in C.java_api_calls(text):
+                yield key, r["class"], r["method"], r["line"]
+
+    return map_rows(table(spark, d, "supplier").select("s_suppkey", made.alias("t")), run, "s_suppkey long, class string, method string, line int")
+
+
+@query("SELECT vec_id, h::INT AS height, w::INT AS width, round(list_sum(list_transform(embedding[1:h * w], lambda x: least(greatest(floor(abs(x::DOUBLE) * 100), 0), 255))), 3) AS light, false AS failed FROM (SELECT vec_id, embedding, 4 AS h, 16 AS w FROM embeddings WHERE vec_id % 10 <> 0) UNION ALL SELECT vec_id, NULL, NULL, NULL, true FROM embeddings WHERE vec_id % 10 = 0")
+def decoded_pictures(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors as grey pictures of 4 by 16, written as PNG bytes and read again; every tenth breaks off."""
+
+    def run(rows):
+        for key, vector in rows:
+            grey = np.clip(np.floor(np.abs(np.array(vector[:64], dtype=np.float64)) * 100), 0, 255).reshape(4, 16)
+            data = pictures.encode_png(grey)
+            yield str(key), data[: len(data) // 2] if key % 10 == 0 else data
+
+    made = map_rows(table(spark, d, "embeddings").select("vec_id", "embedding"), run, "path string, content binary")
+    got = pictures.decoded_images(made)
+    light = F.round(F.aggregate("image.pixels", F.lit(0.0), lambda a, x: a + x), 3)
+    return got.select(F.col("path").cast("long").alias("vec_id"), "image.height", "image.width", light.alias("light"), F.col("failed").isNotNull().alias("failed"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from siltloom.functions import code, html, similarity
@@ -186,3 +187,39 @@ def test_table_functions(spark):
 def test_folder_names(spark):
     got = [(one(spark, T.folder_prefix, n), one(spark, T.folder_number, n)) for n in ("a_12", "a", "a_b_3", "a_x")]
     assert got == [("a", 12), ("a", 0), ("a_b", 3), ("a_x", 0)]
+
+
+def test_png_round_trip_and_filters():
+    import struct
+    import zlib
+
+    from siltloom.sources import pictures
+
+    rng = np.random.default_rng(1)
+    for shape in ((5, 7), (3, 4, 3), (1, 1)):
+        pixels = rng.integers(0, 256, shape)
+        assert (pictures.decode_png(pictures.encode_png(pixels)).reshape(shape) == pixels).all()
+    # every filter, by hand: each row of three pixels of four samples is filtered in its own way
+    rows = rng.integers(0, 256, (5, 12)).astype(int)
+    raw, above = b"", [0] * 12
+    for kind, row in enumerate(rows):
+        line = []
+        for x in range(12):
+            a, b, c = (row[x - 4] if x >= 4 else 0), above[x], (above[x - 4] if x >= 4 else 0)
+            p = a + b - c
+            line.append((row[x] - (0, a, b, (a + b) // 2, min((a, b, c), key=lambda v: abs(p - v)))[kind]) & 255)
+        raw += bytes([kind, *line])
+        above = row
+    chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + b"0000"
+    data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 3, 5, 8, 6, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw))
+    assert (pictures.decode_png(data).reshape(5, 12) == rows).all()
+    for bad in (b"", b"JFIF", data[:40], data[:-30]):
+        with pytest.raises(ValueError):
+            pictures.decode_png(bad)
+
+
+def test_java_calls_by_tokens():
+    src = "import android.app.Dialog;\nimport android.os.Handler;\nimport java.util.List;\nclass A {\n  Dialog d = new Dialog(1), e;\n  void f(final Handler... h) {\n    for (Dialog x : all) { x.show(); }\n    if (o instanceof Dialog) { e.hide(); }\n    h.post(() -> d.cancel());\n    this.d.dismiss(); // d.no()\n    List<Dialog> l; l.add(d); Handler.main(\"d.never()\");\n  }\n}"
+    got = [(r["class"].rpartition(".")[2], r["method"], r["line"]) for r in code.java_api_calls(src)]
+    assert got == [("Dialog", "show", 7), ("Dialog", "hide", 8), ("Handler", "post", 9), ("Dialog", "cancel", 9), ("Dialog", "dismiss", 10), ("Handler", "main", 11)]
+    assert code.java_api_calls("") == [] and code.java_api_calls("import android.a.B") == []
