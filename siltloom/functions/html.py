@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -192,6 +193,50 @@ def _records(kind: str, rows: list[dict], **more: str) -> list[dict]:
     return [{"kind": kind, "name": r.get("名称") or r.get("参数名") or next(iter(r.values()), ""), "fields": {**more, **r}} for r in rows]
 
 
+#: What the words above a table or a text say that it holds; a table without such a word holds parameters.
+LABELS = {"参数": "parameters", "返回": "returns", "错误码": "errors", "成员": "members", "枚举": "values", "示例": "example", "起始版本": "since", "系统能力": "capability", "需要权限": "permission", "元服务": "service"}
+
+
+def _label(text: str) -> str | None:
+    return next((name for word, name in LABELS.items() if word in text), None)
+
+
+def _flow(node: Node) -> Iterator[Node]:
+    """The headings, paragraphs, tables and code blocks below a node in their order, none inside another."""
+    for child in node.children:
+        if isinstance(child, Node):
+            if child.tag in ("h4", "h5", "h6", "p", "strong", "table", "pre"):
+                yield child
+            else:
+                yield from _flow(child)
+
+
+def _described(kind: str, part: Node) -> dict:
+    """A function, interface, event or class of a page: its name, what is said first, its tables as JSON by what the words
+    above them say, its first code block, and the facts that a paragraph names with a colon."""
+    heading = part.find("h4")
+    fields: dict[str, str] = {}
+    above = ""
+    for node in _flow(part):
+        text = node.text().replace("\xa0", " ").strip()
+        if node is heading:
+            continue
+        if node.tag == "table":
+            name = _label(above) or "parameters"
+            rows = json.loads(fields[name]) if name in fields else []
+            fields[name] = json.dumps(rows + table_records(node, strict=False), ensure_ascii=False)
+        elif node.tag == "pre":
+            fields.setdefault("example", text)
+        else:
+            fact, colon, value = re.sub("：", ":", text, count=1).partition(":")
+            if colon and value.strip() and (name := _label(fact)):
+                fields[name] = value.strip()
+            elif _label(text) is None and text:
+                fields.setdefault("text", text)
+            above = text
+    return {"kind": kind, "name": heading.text().strip(), "fields": fields}
+
+
 #: Ids of the sections by what they describe.
 SECTIONS = {"成员变量": "class", "枚举": "enum", "枚举类型说明": "enum", "函数说明": "function", "类型定义": "typedef", "pub-attribs": "struct", "子组件": "component", "接口": "component", "属性": "attribute", "事件": "event"}
 
@@ -214,14 +259,11 @@ def page_records(url: str | None, html: str | None) -> list[dict]:
         section = _section(root, name)
         if section is None:
             continue
-        found = [r for t in section.find_all("table") for r in _records(kind, table_records(t, strict=False))]
-        if kind == "function":
-            found = []
-            for part in section.find_all("div", class_="section"):
-                heading = part.find("h4")
-                if heading:
-                    params = [r for t in part.find_all("table") for r in table_records(t, strict=False)]
-                    found.append({"kind": kind, "name": heading.text().strip(), "fields": {"text": part.text().strip(), "parameters": str(len(params))}})
+        parts = [p for p in section.find_all("div", class_="section") if p.find("h4") is not None and not p.find_all("div", class_="section")]
+        if kind in ("function", "component", "event", "class") and parts:
+            found = [_described(kind, part) for part in parts]
+        else:
+            found = [r for t in section.find_all("table") for r in _records(kind, table_records(t, strict=False))]
         if kind == "typedef":
             for r in found:
                 value = " ".join(r["fields"].values())

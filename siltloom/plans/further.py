@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siltloom.common import map_rows, table
 from siltloom.functions import code as C
+from siltloom.functions import html as H
 from siltloom.functions import text as T
 from siltloom.operators import dataset, dedup, graph, relational, retrieval
 from siltloom.plans.catalogue import _BM25, _IMPORTS_SQL, _JACCARD, _TOK, _document_terms, _imports, _search_queries, _stream_dir, query
@@ -376,3 +377,19 @@ def decoded_pictures(spark: SparkSession, d: str) -> DataFrame:
     got = pictures.decoded_images(made)
     light = F.round(F.aggregate("image.pixels", F.lit(0.0), lambda a, x: a + x), 3)
     return got.select(F.col("path").cast("long").alias("vec_id"), "image.height", "image.width", light.alias("light"), F.col("failed").isNotNull().alias("failed"))
+
+
+@query("""SELECT r_name AS url, n_name AS name, 'about ' || n_nationkey AS text, '[{"参数名": "a", "类型": "' || n_nationkey || '"}, {"参数名": "b", "类型": "T"}]' AS parameters, CASE WHEN n_nationkey % 2 = 0 THEN '[{"类型": "R' || n_nationkey || '"}]' END AS returns, '[{"错误码ID": "401", "错误信息": "bad"}]' AS errors, 'API ' || n_regionkey AS since, 'call(' || n_nationkey || ')' AS example FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def page_functions(spark: SparkSession, d: str) -> DataFrame:
+    """Functions of reference pages with their facts, parameters, results, errors and examples; one page per region."""
+    both = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("n_nationkey").cast("string")
+    returns = F.when(key.cast("int") % 2 == 0, F.concat(F.lit("<p>返回值：</p><table><tr><th>类型</th></tr><tr><td>R"), key, F.lit("</td></tr></table>"))).otherwise("")
+    part = F.concat(
+        F.lit("<div class='section'><h4>"), "n_name", F.lit("</h4><p>about "), key, F.lit("</p><p><strong>起始版本：</strong>API "), F.col("n_regionkey").cast("string"),
+        F.lit("</p><p>参数：</p><table><tr><th>参数名</th><th>类型</th></tr><tr><td>a</td><td>"), key, F.lit("</td></tr><tr><td>b</td><td>T</td></tr></table>"), returns,
+        F.lit("<p>错误码：</p><table><tr><th>错误码ID</th><th>错误信息</th></tr><tr><td>401</td><td>bad</td></tr></table><p>示例：</p><pre>call("), key, F.lit(")</pre></div>"),
+    )
+    pages = both.groupBy(F.col("r_name").alias("url")).agg(F.concat(F.lit("<div id='函数说明'>"), F.array_join(F.collect_list(part), ""), F.lit("</div>")).alias("html"))
+    found = H.record_rows(pages).where("kind = 'function'")
+    return found.select("url", "name", *[F.col("fields")[k].alias(k) for k in ("text", "parameters", "returns", "errors", "since", "example")])
