@@ -25,11 +25,16 @@ def import_edges(imports: DataFrame, files: DataFrame) -> DataFrame:
     return edges.join(files.select(F.col("file").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
 
 
-def reference_edges(units: DataFrame, symbols: DataFrame) -> DataFrame:
-    """(src, ref_type, dst): declared symbols of the same file that a unit's content names, itself and the file's base name left out."""
+def reference_edges(units: DataFrame, symbols: DataFrame, exclude: bool = True) -> DataFrame:
+    """(src, ref_type, dst): declared symbols of the same file that a unit's content names.
+
+    With ``exclude`` the unit itself and the file's base name are left out.
+    """
     from siltloom.operators.relational import uses
 
     used = uses(units.select("unit_id", "file", "content"), symbols.select("file", "name", "ref_type"))
+    if not exclude:
+        return used.select(F.col("unit_id").alias("src"), "ref_type", F.col("name").alias("dst")).distinct()
     named = used.join(units.select("unit_id", F.col("name").alias("own")), "unit_id")
     base = F.regexp_extract("file", r"([^/]*?)(?:\.[^./]*)?$", 1)
     return named.where((F.coalesce(F.col("own"), F.lit("")) != F.col("name")) & (F.col("name") != base)).select(F.col("unit_id").alias("src"), "ref_type", F.col("name").alias("dst")).distinct()

@@ -393,3 +393,46 @@ def page_functions(spark: SparkSession, d: str) -> DataFrame:
     pages = both.groupBy(F.col("r_name").alias("url")).agg(F.concat(F.lit("<div id='函数说明'>"), F.array_join(F.collect_list(part), ""), F.lit("</div>")).alias("html"))
     found = H.record_rows(pages).where("kind = 'function'")
     return found.select("url", "name", *[F.col("fields")[k].alias(k) for k in ("text", "parameters", "returns", "errors", "since", "example")])
+
+
+@query("SELECT doc_id, i::INT AS chunk_index, n::INT AS total_chunks, md5(trim(substr(t, (i * 7 * 2 + 1)::INT, 14))) AS hash FROM (SELECT s_suppkey AS doc_id, repeat('word' || lpad((s_suppkey % 100)::VARCHAR, 2, '0') || ' ', 9) AS t, unnest(range(0, 5)) AS i, 5 AS n FROM supplier)")
+def document_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Nine words of six signs in pieces of at most 14 signs, cut at blanks: two words each, one in the last."""
+    word = F.concat(F.lit("word"), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0"), F.lit(" "))
+    docs = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"), F.repeat(word, 9).alias("text"))
+    found = retrieval.chunks(docs, size=14, overlap=0, separators=retrieval.DOCUMENT_SEPARATORS)
+    return found.select("doc_id", "chunk_index", "total_chunks", F.md5("document").alias("hash"))
+
+
+@query("SELECT DISTINCT u.unit_id AS src, 'import' AS ref_type, i.name AS dst FROM function_info u JOIN " + _IMPORTS_SQL + " i USING (file) WHERE i.name <> '' AND contains(u.content, i.name)")
+def reference_edges_all(spark: SparkSession, d: str) -> DataFrame:
+    """References without the exclusion of the unit's and the file's own names."""
+    units = table(spark, d, "function_info").select("unit_id", "file", "name", "content")
+    return graph.reference_edges(units, _imports(spark, d).select("file", "name", F.lit("import").alias("ref_type")), exclude=False)
+
+
+@query("SELECT n_name AS url, '40' || n_nationkey AS name, 'Title ' || n_nationkey AS title, 'bad ' || n_regionkey AS info, 'cause' AS causes, 'retry' AS steps FROM nation")
+def page_error_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Error codes with what they say, why and what to do."""
+    key = F.col("n_nationkey").cast("string")
+    html = F.concat(F.lit("<body><div class='section'><h4>40"), key, F.lit(" Title "), key, F.lit("</h4><p>错误信息</p><p>bad "), F.col("n_regionkey").cast("string"), F.lit("</p>\n<p>可能原因</p><p>cause</p>\n<p>处理步骤</p><p>retry</p></div></body>"))
+    pages = table(spark, d, "nation").select(F.concat(F.lit("https://docs.example/errorcode-"), "n_name").alias("url"), html.alias("html"))
+    found = H.record_rows(pages).where("kind = 'errorcode'")
+    f = F.col("fields")
+    return found.select(F.regexp_replace("url", "^.*errorcode-", "").alias("url"), "name", f["title"].alias("title"), f["错误信息"].alias("info"), f["可能原因"].alias("causes"), f["处理步骤"].alias("steps"))
+
+
+@query("SELECT r_name AS url, r_name AS name, '起始版本：API ' || r_regionkey AS since FROM region")
+def page_modules(spark: SparkSession, d: str) -> DataFrame:
+    """Modules by their heading and the version they began with."""
+    html = F.concat(F.lit("<body><h1>"), "r_name", F.lit("</h1><p><strong>起始版本：</strong>API "), F.col("r_regionkey").cast("string"), F.lit("</p><h4>导入模块</h4></body>"))
+    found = H.record_rows(table(spark, d, "region").select(F.col("r_name").alias("url"), html.alias("html"))).where("kind = 'module'")
+    return found.select("url", "name", F.col("fields")["since"].alias("since"))
+
+
+@query("SELECT n_name AS url, (i - 1)::INT AS pos, 'x' || i AS a, CASE i WHEN 1 THEN 'y' END AS b FROM nation, (VALUES (1), (2)) v(i)")
+def page_tables_lenient(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of another length than the head are kept: short ones as they are, long ones cut."""
+    html = F.lit("<table><tr><th>a</th><th>b</th></tr><tr><td>x1</td><td>y</td><td>z</td></tr><tr><td>x2</td></tr></table>")
+    found = H.table_rows(table(spark, d, "nation").select(F.col("n_name").alias("url"), html.alias("html")), strict=False)
+    return found.select("url", "pos", F.col("cells")["a"].alias("a"), F.col("cells")["b"].alias("b"))
