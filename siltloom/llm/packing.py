@@ -138,27 +138,34 @@ def pack(sizes: np.ndarray, of: list[np.ndarray], capacity: int = CAPACITY, tf:
                 score = rows[row_of[at[row_of[at] >= 0]]].sum(axis=0)
                 at = at[row_of[at] < 0]
                 if len(at):
-                    hits = np.concatenate([owner[begin[k] : end[k]] for k in at])
-                    score += np.bincount(hits, weights=np.concatenate([weight[begin[k] : end[k]] for k in at]), minlength=n)
+                    held = end[at] - begin[at]
+                    hits = np.repeat(begin[at] - np.append(0, np.cumsum(held)[:-1]), held) + np.arange(held.sum())
+                    score += np.bincount(owner[hits], weights=weight[hits], minlength=n)
                 score[used | (sizes > room)] = 0
                 near = np.flatnonzero(score)
-                known: dict[int, bool] = {}  # whether an item of a size fits, until one is taken
-                for i in near[np.lexsort((near, -score[near]))]:
-                    behind = room - int(sizes[i])
-                    if behind < 0:
-                        continue
-                    fits = known.get(behind)
-                    if fits is None:
-                        left[sizes[i]] -= 1
-                        fits = known[behind] = behind == 0 or behind >= WIDE or bool(closing(behind))
-                        left[sizes[i]] += 1
-                    if fits:
-                        box.append(int(i))
-                        take(int(i))
-                        room = behind
-                        known.clear()
-                        if room < least:
+                near = near[np.argsort(-score[near], kind="stable")]
+                while len(near) and room >= least:
+                    behind = room - sizes[near]
+                    sure = np.flatnonzero((behind == 0) | (behind >= WIDE))
+                    first = int(sure[0]) if len(sure) else len(near)
+                    known: dict[int, bool] = {}  # whether an item of a size can be closed behind
+                    for j in np.flatnonzero((behind[:first] > 0) & (behind[:first] < WIDE)).tolist():
+                        gap, i = int(behind[j]), near[j]
+                        fits = known.get(gap)
+                        if fits is None:
+                            left[sizes[i]] -= 1
+                            fits = known[gap] = bool(closing(gap))
+                            left[sizes[i]] += 1
+                        if fits:
+                            first = j
                             break
+                    if first == len(near):
+                        break
+                    i = int(near[first])
+                    box.append(i)
+                    take(i)
+                    room -= int(sizes[i])
+                    near = near[first + 1 :]
         if room >= least:
             for size in closing(room):
                 i = unused(size)
