@@ -34,7 +34,6 @@ _WIDE = re.compile("[０-９Ａ-Ｚａ-ｚ＠＄]+")
 _CJK = "ぁ-ヿ㐀-鿿가-힣"
 _GAP = re.compile(rf"(?<=[{_CJK}])[*\-·_ 　.~]{{1,2}}(?=[{_CJK}])")
 _MASK = re.compile(r"([ぁ-ヿ㐀-鿿])\*{1,3}([ぁ-ヿ㐀-鿿])")
-_CAMEL = re.compile(r"[a-z][A-Z][a-z]")
 #: Letters that digits and signs stand for.
 _FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 #: Groups that no list can name: people of somewhere, capitalised plurals behind "all", 人 behind a place.
@@ -222,14 +221,12 @@ def word_class(token: str) -> str | None:
 
 
 def _class(token: str) -> str | None:
-    """``word_class``, remembered; a word in mixed case that is none as it stands may be none in its parts either."""
+    """``word_class``, remembered."""
     try:
         return _seen[token]
     except KeyError:
         pass
     found = None if token.isdigit() else word_class(token)
-    if found is not None and _CAMEL.search(token) and token.lower() != token.swapcase().lower() and len(token) > 12 and token.lower() not in _words():
-        found = None
     if len(_seen) >= 400_000:
         _seen.clear()
     _seen[token] = found
