@@ -235,3 +235,22 @@ def test_import_closure_of_a_long_chain(spark, monkeypatch):
     monkeypatch.setattr(catalogue.graph, "import_edges", lambda imports, files: edges)
     found = {r.node: r.depth for r in catalogue.import_closure(spark, "").where("root = 'f0'").collect()}
     assert found == {f"f{i}": i for i in range(20)}
+
+
+def test_checkpoint_folder_is_required_on_clusters():
+    from types import SimpleNamespace
+
+    from siltloom.common import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: None)
+    context = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_existence_is_asked_not_guessed(spark, tmp_path):
+    from siltloom.common import exists
+
+    assert not exists(spark, str(tmp_path / "none")) and exists(spark, str(tmp_path))
+    with pytest.raises(Exception):
+        exists(spark, "nosuchscheme://a/b")
