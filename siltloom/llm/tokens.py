@@ -14,13 +14,15 @@ stable is kept:
   (``Borders``), it is a token's border with two bytes of lookahead.  The segments between such borders and whole
   pieces recur; what they gave is remembered in tables of bounded size.
 
-``Decoder`` turns ids back into text piece by piece.
+``sizes`` counts the ids of texts without making them: the same pieces, borders and automaton, each new piece's borders
+found together with those of others.  ``Decoder`` turns ids back into text piece by piece.
 """
 
 from __future__ import annotations
 
 import base64
 import codecs
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -245,6 +247,83 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+class SegmentSizes(dict):
+    """The numbers of tokens of segments, remembered; a segment that is not known goes through the automaton."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.runner = Runner(path)
+
+    def __missing__(self, data: bytes) -> int:
+        found = len(self.runner.feed(data)) + len(self.runner.finish())
+        if len(data) <= KNOWN_CHARS:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[data] = found
+        return found
+
+
+class PieceSizes:
+    """The numbers of tokens of pieces; those of many new pieces are found at once, their borders in tables of three bytes."""
+
+    def __init__(self, path: str = VOCABULARY):
+        self.known: dict[str, int] = {}
+        self.segments = SegmentSizes(path)
+        borders = Borders(path)
+        #: of three bytes in a row, 1: a token may cross behind the first, 2: behind the second
+        self.across = np.zeros((256, 256, 256), dtype=np.uint8)
+        for token in borders.ranks:
+            if len(token) == 2:
+                self.across[token[0], token[1]] = 1
+        for a, b, c in (head for head in borders.heads if len(head) == 3):
+            self.across[a, b, c] |= 1
+        for a, b, c in borders.parts:
+            self.across[a, b, c] |= 2
+        self.across = self.across.ravel()
+
+    def of(self, texts: list[list[str]]) -> list[int]:
+        """The number of tokens of each text, given as its pieces."""
+        met, known = set().union(*texts), self.known
+        new = met.difference(known)
+        if len(known) + len(new) > KNOWN:
+            known.clear()
+            new = met
+        if new:
+            self._learn(list(new))
+        out = [sum(map(known.__getitem__, found)) for found in texts]
+        for piece in new:
+            if len(piece) > KNOWN_CHARS:
+                del known[piece]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        parts = list(map(_bytes, new))
+        data = b"".join(parts)
+        row = np.frombuffer(data, dtype=np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
+        begins = np.append(0, ends[:-1])
+        cut = np.zeros(len(row), dtype=bool)
+        if len(row) > 3:
+            three = row[:-2].astype(np.int32) << 16
+            three |= row[1:-1].astype(np.int32) << 8
+            three |= row[2:]
+            across = self.across[three]
+            cut[2:-1] = (across[1:] & 1 | across[:-1] & 2) == 0
+            cut[begins[ends - begins > 1] + 1] = False  # a border shows by two bytes of the piece on either side
+            cut[ends - 1] = False
+        cut[begins] = True
+        at = np.flatnonzero(cut)
+        found = at.tolist()
+        sizes = np.fromiter(map(self.segments.__getitem__, [data[a:b] for a, b in zip(found, [*found[1:], len(data)])]), dtype=np.int64, count=len(found))
+        self.known.update(zip(new, np.add.reduceat(sizes, np.searchsorted(at, begins)).tolist()))
+
+
+@lru_cache(4)
+def piece_sizes(path: str) -> PieceSizes:
+    """The worker's table of pieces' sizes."""
+    return PieceSizes(path)
+
+
 class Transducer:
     """Ids of a text that comes in parts; memory is bounded by the block, whatever the text's or a piece's length."""
 
@@ -333,6 +412,47 @@ def encode(text: str | None, path: str = VOCABULARY) -> list[int]:
     return list(chain.from_iterable(stream(text, path))) if text else []
 
 
+@lru_cache(1)
+def _plane() -> tuple[re.Pattern, re.Pattern]:
+    """Characters beyond the first plane, and PATTERN with its classes listed within that plane, where ``re`` is faster."""
+
+    def listed(kind: str) -> str:
+        of = regex.compile(kind)
+        held = [0, *(of.match(chr(c)) is not None for c in range(1 << 16)), 0]
+        edge = [c for c in range(len(held) - 1) if held[c] != held[c + 1]]
+        return "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(edge[::2], edge[1::2]))
+
+    letters, numbers, blanks = map(listed, (r"\p{L}", r"\p{N}", r"\s"))
+    others = f"[^{blanks}{letters}{numbers}]"
+    return re.compile("[\U00010000-\U0010ffff]"), re.compile(rf"'(?:[stmd]|re|ve|ll)| ?(?:[{letters}]+|[{numbers}]+|{others}+)|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
+def cut(text: str) -> list[str]:
+    """The pieces of a text that is read as a whole."""
+    beyond, within = _plane()
+    return (_PIECES if beyond.search(text) else within).findall(text)
+
+
+def sizes(texts: Iterable[str | None], path: str = VOCABULARY) -> list[int]:
+    """The number of ids of each text, by the same pieces, borders and automaton, without the ids.
+
+    The pieces of about four blocks of text are held at a time; a text longer than a block is streamed.
+    """
+    known, out, row, held = piece_sizes(path), [], [], 0
+    for text in texts:
+        text = text or ""
+        if len(text) > BLOCK:
+            out += [*known.of(row), sum(map(len, stream(text, path)))]
+            row, held = [], 0
+            continue
+        row.append(cut(text))
+        held += len(text)
+        if held > 4 * BLOCK:
+            out += known.of(row)
+            row, held = [], 0
+    return out + known.of(row)
+
+
 def decode(ids: Iterable[int], path: str = VOCABULARY) -> str:
     d = Decoder(path)
     return d.feed(ids) + d.finish()

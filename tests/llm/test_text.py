@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -313,6 +314,49 @@ def test_runner_emits_early_with_bounded_memory(library):
     assert out == list(library._encode_single_piece(text))
 
 
+def _odd_texts(seed: int) -> list[str]:
+    """Any characters, in runs and beside each other."""
+    rng = random.Random(seed)
+    pool = "abcAB '\n\r\t\x1c\x1f\x85\xa0\u2028\u3000 é漢字地图カタ가ру12٣²½Ⅷ_-.=*#’`%stmdrvl\ud800"
+    made = ["".join(rng.choice(pool) * rng.choice([1, 1, 2, 7]) for _ in range(rng.randrange(400))) for _ in range(150)]
+    made += ["".join(chr(rng.randrange(0x3000 if i % 2 else 0x110000)) for _ in range(300)) for i in range(40)]
+    return [*made, *(t + "😀" for t in made[:20])]
+
+
+@pytest.mark.parametrize("block", [16, 1 << 16])
+def test_sizes_are_the_numbers_of_ids(monkeypatch, library, block):
+    monkeypatch.setattr(tokens, "BLOCK", block)
+    monkeypatch.setattr(tokens, "KNOWN", 1000)
+    texts = [None, *TEXTS, *_odd_texts(block), "harborLogView" * 30]
+    assert tokens.sizes(texts) == [len(tokens.encode(t)) for t in texts]
+    assert tokens.sizes(TEXTS) == [len(library.encode_ordinary(t)) for t in TEXTS]
+    assert tokens.sizes([]) == [] and tokens.sizes([None, ""]) == [0, 0]
+    known = tokens.piece_sizes(tokens.VOCABULARY).known
+    assert len(known) <= 1000 + 4 * 16 and max(map(len, known)) <= tokens.KNOWN_CHARS
+
+
+def test_pieces_within_the_first_plane():
+    for text in [*TEXTS, *_odd_texts(5), *(f"a{chr(c)}{chr(c)} {chr(c)}'s" for c in range(1 << 16))]:
+        assert tokens.cut(text) == tokens._PIECES.findall(text)
+
+
+def test_sizes_take_less_time_than_ids():
+    rng = random.Random(3)
+    words = ["harbor", "Log", "View", "ticket", "Label", "route", "Clinic", "pump", "Bill", "Garden", "地图", "列表", "保存", "更新", "之前", "缓存数据"]
+    shares = []
+    for _ in range(3):  # each time with other pieces, which neither has met
+        texts = [" ".join("".join(rng.choices(words, k=4)) for _ in range(200)) for _ in range(60)]
+        times = []
+        for count in (tokens.sizes, lambda texts: [len(tokens.encode(t)) for t in texts]):
+            count(TEXTS)
+            began = time.process_time()
+            found = count(texts)
+            times.append(time.process_time() - began)
+        assert found == tokens.sizes(texts)
+        shares.append(times[0] / times[1])
+    assert min(shares) < 0.7, shares
+
+
 def test_document_ids(spark, library):
     df = spark.createDataFrame([(1, None, [9]), (2, "", [9]), (3, "Hello world", [9])], "doc_id long, text string, ids array<int>")
     assert {r.doc_id: r.ids for r in tokens.document_ids(df).collect()} == {1: [], 2: [], 3: library.encode_ordinary("Hello world")}
@@ -418,6 +462,53 @@ def test_common_terms_and_frequencies_rank_neighbours():
     assert [(t >> packing.TF_BITS, t & 7) for t in packing.terms("word word other")] == sorted((zlib.crc32(w), n) for w, n in ((b"word", 2), (b"other", 1)))
 
 
+def test_seeds_take_the_best_of_what_fits():
+    """Against scores over all items: the postings that are read leave out used items and such as do not fit."""
+    rng = np.random.default_rng(8)
+    n, capacity = 400, 4000
+    sizes = rng.integers(1, 8, n) * 500
+    of = [np.unique(rng.integers(0, 300, rng.integers(0, 40)) // rng.integers(1, 9)) for _ in range(n)]
+    tf = [rng.integers(1, 9, len(t)) for t in of]
+    table = np.zeros((n, 300))
+    for i in range(n):
+        table[i, of[i]] = tf[i]
+    held = (table > 0).sum(axis=0)
+    lengths = table.sum(axis=1)
+    weight = np.log(1 + (n - held + 0.5) / (held + 0.5)) * table * (packing.K1 + 1) / (table + (packing.K1 * (1 - packing.B + packing.B * lengths / lengths.mean()))[:, None])
+    used = np.zeros(n, dtype=bool)
+    for box in packing.pack(sizes, of, capacity, tf):
+        used[box[0]] = True
+        score, room, best = weight[:, of[box[0]]].sum(axis=1), capacity - sizes[box[0]], []
+        for i in np.argsort(-score, kind="stable"):
+            if score[i] > 0 and not used[i] and sizes[i] <= room:
+                best.append(i)
+                room -= sizes[i]
+        assert np.allclose(score[box[1 : 1 + len(best)]], score[best])
+        used[box] = True
+    assert used.all()
+
+
+def test_terms_stay_with_loose_items_only(spark):
+    data = [(0, i, 0, 0, size, [i << packing.TF_BITS | 1]) for i, size in enumerate((60, 40, 50, 30))]
+    df = spark.createDataFrame(data, "shard int, doc_id long, part int, start int, tokens int, terms array<long>")
+    got = {r.doc_id: (r.fill, r.terms) for r in packing._packed(df, 100, 1).collect()}
+    assert got == {0: (100, None), 1: (100, None), 2: (80, [2 << packing.TF_BITS | 1]), 3: (80, [3 << packing.TF_BITS | 1])}
+
+
+def test_items(spark):
+    data = [(1, "word other word"), (2, None), (3, ""), (4, "long text " * 100), (5, " ")]
+    df = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    sizes = {k: len(tokens.encode(t)) for k, t in data}
+    for rows in (2, 512):
+        got = sorted(tuple(r) for r in packing.items(df, 50, rows=rows).collect())
+        want = []
+        for k, t in data:
+            full, rest = divmod(sizes[k], 50)
+            want += [(k, i, 50 * i, 50, []) for i in range(full)]
+            want += [(k, full, 50 * full, rest, packing.terms(t) if rest else [])] if rest or not full else []
+        assert got == want
+
+
 def test_containers(spark):
     data = [(i, "word " * (i * 37 % 900)) for i in range(60)] + [(100, "long text " * 3000), (101, None), (102, ""), (103, "same text"), (104, "same text")]
     df = spark.createDataFrame([(*r, 1, "x") for r in data], "doc_id long, text string, tokens int, container_id string")
