@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream of files, be it one file or a folder of them.
+
+    The path is a pattern since a stream takes a plain path for a folder; a filter by name would see the names of the
+    files inside a folder, not the folder's, and pass over all of them.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("basePath", sf_dir).parquet(f"{sf_dir}/{name}[.]parquet")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the session names in spark.checkpoint.dir.
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltloom.common import checkpoint_dir, durable, map_rows, spread, table
+from siltloom.common import checkpoint_dir, durable, map_rows, spread, table, table_stream
 from siltloom.functions import code as C
 from siltloom.functions import text as T
 from siltloom.functions import html as H
@@ -523,26 +523,20 @@ def frontier_crawl(spark: SparkSession, d: str) -> DataFrame:
 # streams
 
 
-def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream of files."""
-    schema = table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-
-
 def _stream_dir(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 @query("SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
 def stream_new_rows(spark: SparkSession, d: str) -> DataFrame:
-    counts = _event_stream(spark, d).groupBy("event_type").agg(F.count("*").alias("events"))
+    counts = table_stream(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("events"))
     return feeds.drain(counts, _stream_dir(spark), "complete")
 
 
 @query("SELECT * FROM (SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events FROM events GROUP BY ALL) WHERE start + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events)")
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """The windows that the watermark has closed: those that end two hours before the last event."""
-    return feeds.drain(feeds.windows(_event_stream(spark, d), "ts"), _stream_dir(spark)).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
+    return feeds.drain(feeds.windows(table_stream(spark, d, "events"), "ts"), _stream_dir(spark)).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
 
 
 # pages, configurations and files, made from rows of the tables
@@ -681,6 +675,5 @@ def blended_search(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT md5(text) AS hash FROM documents WHERE text IS NOT NULL")
 def stream_first_texts(spark: SparkSession, d: str) -> DataFrame:
-    schema = table(spark, d, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d).where("text is not null").select("doc_id", "text")
+    stream = table_stream(spark, d, "documents").where("text is not null").select("doc_id", "text")
     return feeds.drain(feeds.first_texts(stream), _stream_dir(spark)).select(F.md5("text").alias("hash"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltloom.common import map_rows, table
+from siltloom.common import map_rows, table, table_stream
 from siltloom.functions import code as C
 from siltloom.functions import html as H
 from siltloom.functions import text as T
@@ -61,14 +61,12 @@ def vector_collection(spark: SparkSession, d: str) -> DataFrame:
 def resumed_batches(spark: SparkSession, d: str) -> DataFrame:
     """A stream run twice from the start into one folder: the second run finds every key stored and adds nothing."""
     folder = _stream_dir(spark)
-    schema = table(spark, d, "documents").schema
 
     def work(rows: DataFrame) -> DataFrame:
         return rows.where("text is not null").groupBy(F.md5("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
 
     for run in (1, 2):
-        stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
-        feeds.run_into(stream, f"{folder}/out", f"{folder}/checkpoint{run}", work, "h").awaitTermination()
+        feeds.run_into(table_stream(spark, d, "documents"), f"{folder}/out", f"{folder}/checkpoint{run}", work, "h").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("doc_id", "h")
 
 

@@ -209,6 +209,21 @@ def test_streams(spark, tmp_path):
     assert feeds.drain(feeds.watch(spark, str(tmp_path / "png")).select("path"), str(tmp_path / "c4")).count() == 1
 
 
+def test_streams_of_tables_that_are_folders(spark, tmp_path, rows):
+    import __spark_entry__
+    from tests.oracle import connect, same
+
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d"), (3, "a b"), (4, None), (5, ""), (6, "c d")], "doc_id long, text string")
+    events = spark.sql("SELECT timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 9) AS ts, concat('k', id % 2) AS event_type FROM range(40)")
+    for name, df in (("documents", docs), ("events", events)):
+        df.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    con, queries = connect(str(tmp_path)), __spark_entry__.queries()
+    for name in ("resumed_batches", "stream_first_texts", "stream_new_rows", "stream_windows"):
+        same(queries[name](spark, str(tmp_path)), con, __spark_entry__.oracle_sql()[name])
+    docs.write.mode("overwrite").partitionBy("doc_id").parquet(f"{tmp_path}/documents.parquet")
+    assert rows(queries["resumed_batches"](spark, str(tmp_path)).select("doc_id")) == [(1,), (2,), (5,)]
+
+
 @pytest.mark.parametrize("boundary", [False, True])
 def test_uses(spark, boundary):
     units = spark.createDataFrame([(1, "f", "use Abc here"), (2, "f", "xAbcx"), (3, "g", "Abc"), (4, "f", None)], "unit_id long, file string, content string")
